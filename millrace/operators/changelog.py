@@ -60,23 +60,29 @@ def change_time() -> Column:
     return times.from_second_text("ts")
 
 
-def latest_by_key(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
-    """The last version of each key by ``order`` (later columns break ties).
+def _pick(df: DataFrame, keys: Sequence[Column | str], pick) -> DataFrame:
+    """One row per key, packed and picked by an aggregate.
 
-    An aggregate, not a ranked window: copies of one key are reduced where they are read, before the exchange.
+    Not a ranked window: copies of one key are reduced where they are read, before the exchange. Named keys stay
+    grouping columns of the result, so a later step on them needs no exchange.
     """
+    named = [k for k in keys if isinstance(k, str)]
+    rest = [c for c in df.columns if c not in named]
+    made = [k.alias(f"_key_{i}") for i, k in enumerate(keys) if not isinstance(k, str)]
+    picked = df.groupBy(*named, *made).agg(pick(F.struct(*rest)).alias("_row"))
+    return picked.select(*[F.col(c) if c in named else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
+def latest_by_key(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
+    """The last version of each key by ``order`` (later columns break ties)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
-    columns = df.columns
-    best = F.max_by(F.struct(*columns), F.struct(*order)).alias("_row")
-    return df.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(best).select("_row.*")
+    return _pick(df, keys, lambda row: F.max_by(row, F.struct(*order)))
 
 
 def first_by_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key by ``order``; reduced before the exchange like ``latest_by_key``."""
-    best = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
-    named = [(F.col(k) if isinstance(k, str) else k).alias(f"_key_{i}") for i, k in enumerate(keys)]
-    return df.groupBy(*named).agg(best).select("_row.*")
+    """The first row of each key by ``order``."""
+    return _pick(df, keys, lambda row: F.min_by(row, F.struct(*order)))
 
 
 def current_config(changes: DataFrame, seq: str | Sequence[str] = "ts_ms") -> DataFrame:

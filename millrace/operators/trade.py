@@ -273,12 +273,7 @@ def refund_pay(
 # --- orders per product ---------------------------------------------------------------------------------------
 
 
-def latest_lines(orders: DataFrame, *tie: str) -> DataFrame:
-    """One row per line id: the version written last (``tie`` columns settle equal times)."""
-    return latest_by_key(orders, "id", ("row_op_ts", *tie))
-
-
-def order_measures(lines: DataFrame) -> DataFrame:
+def order_measures(lines: DataFrame, *keep: str) -> DataFrame:
     """Ordered lines as measure rows; a missing activity or coupon amount counts as zero."""
 
     def amount(column: str) -> Column:
@@ -294,9 +289,19 @@ def order_measures(lines: DataFrame) -> DataFrame:
         zero_if_null(amount("split_coupon_amount")).alias("coupon_amount"),
         amount("split_total_amount").alias("order_amount"),
         times.from_second_text("ts").alias("ts"),
+        *keep,
     )
 
 
+def latest_measures(orders: DataFrame, *tie: str) -> DataFrame:
+    """Measure rows of the last written version of each line id (``tie`` columns settle equal times).
+
+    The rows are cut down to what the report needs before they are shuffled by id.
+    """
+    extra = ("row_op_ts", *[c for c in tie if c not in ("order_id", "user_id", "sku_id")])
+    return latest_by_key(order_measures(orders, *extra), "id", ("row_op_ts", *tie)).drop(*extra)
+
+
 def flag_order_users(lines: DataFrame) -> DataFrame:
     """Add ``order_uu_count``: 1 on the first line of each user and date, 0 on the others. Line ids must be unique.
 

@@ -95,18 +95,22 @@ def flag_visits(log: DataFrame, timeout: str = "10 seconds", hot_rows: int = HOT
     Bounce: a visit start whose next row is another visit start, or comes ``timeout`` or more later, or never.
     """
     hot = hot_keys(log, "mid", hot_rows).select(F.col("mid").alias("_hot_mid"), F.lit(True).alias("_hot"))
+    is_hot = F.col("mid").eqNullSafe(F.col("_hot_mid"))
     chunk = F.when(F.col("_hot"), F.floor(F.unix_seconds("ts") / CHUNK_SECONDS))
-    rows = (
-        log.join(F.broadcast(hot), F.col("mid").eqNullSafe(F.col("_hot_mid")), "left")
-        .withColumn("_chunk", chunk)
-        .drop("_hot_mid", "_hot")
-        .withColumn("_entry", is_entry())
-        .withColumn("_anchor", _anchor_of_row())
-        .withColumn("_entry_day", F.when(is_entry(), _day()))
-    )
 
+    def marked(how: str) -> DataFrame:
+        return (
+            log.join(F.broadcast(hot), is_hot, how)
+            .withColumn("_chunk", chunk)
+            .drop("_hot_mid", "_hot")
+            .withColumn("_entry", is_entry())
+            .withColumn("_anchor", _anchor_of_row())
+            .withColumn("_entry_day", F.when(is_entry(), _day()))
+        )
+
+    # an inner join: without hot devices this branch is found empty at run time and its scan is skipped
     heads = (
-        rows.where("_chunk IS NOT NULL")
+        marked("inner")
         .groupBy("mid", "_chunk")
         .agg(
             F.min(F.struct(*ORDER, "_entry", "_anchor")).alias("_head"),
@@ -148,7 +152,8 @@ def flag_visits(log: DataFrame, timeout: str = "10 seconds", hot_rows: int = HOT
     before = visits.rowsBetween(W.unboundedPreceding, -1)
     upto = visits.rowsBetween(W.unboundedPreceding, 0)
     seen = (
-        rows.withColumn("_place", F.lit(1))
+        marked("left")
+        .withColumn("_place", F.lit(1))
         .unionByName(edges, allowMissingColumns=True)
         .withColumn("_first_anchor", F.first("_anchor").over(upto))
         .withColumn("_last_entry_day", F.max("_entry_day").over(before))

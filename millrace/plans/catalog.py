@@ -335,8 +335,7 @@ def refund_pay_fact(spark, folder):
 
 def _measures(spark, folder):
     ties = ("split_total_amount", "sku_id", "source_id", "sku_num")
-    lines = trade.latest_lines(trade.order_detail(_wide(spark, folder)), *ties)
-    return trade.flag_order_users(trade.order_measures(lines))
+    return trade.flag_order_users(trade.latest_measures(trade.order_detail(_wide(spark, folder)), *ties))
 
 
 @query

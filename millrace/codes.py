@@ -69,6 +69,12 @@ KEYWORD_ORDER = "ORDER"
 BOOTSTRAP_TYPES = ("bootstrap-start", "bootstrap-complete")
 
 
+def local_rows(spark: SparkSession, entries: dict[str, str]) -> DataFrame:
+    """Code and name pairs as a literal relation, whose size the planner knows."""
+    pairs = ", ".join(f"('{code}', '{name}')" for code, name in entries.items())
+    return spark.sql(f"SELECT * FROM VALUES {pairs} AS t({', '.join(DICTIONARY.fieldNames())})")
+
+
 def code_dictionary(spark: SparkSession) -> DataFrame:
     """The built-in dictionary as ``dic_code, dic_name``; production reads it with ``load_dictionary``."""
-    return spark.createDataFrame(list(CODE_NAMES.items()), DICTIONARY)
+    return local_rows(spark, CODE_NAMES)

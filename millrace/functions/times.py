@@ -39,7 +39,7 @@ def date_time_text(ts) -> Column:
 def date_of_text(text) -> Column:
     """Date part of a date-time text, null where it cannot be read."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.date_format(text.try_cast("timestamp"), DATE)
+    return text.try_cast("date").cast("string")
 
 
 def text_to_millis(text, zone: str = "+08:00", full: bool = False) -> Column:

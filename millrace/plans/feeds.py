@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.codes import CODE_NAMES
-from millrace.schemas import CONFIG_ROW, DICTIONARY
+from millrace.codes import CODE_NAMES, local_rows
+from millrace.schemas import CONFIG_ROW
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,7 +80,7 @@ DIC = {code: name for code, name in CODE_NAMES.items() if code[:2] in ("11", "13
 
 
 def dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DIC.items()), DICTIONARY)
+    return local_rows(spark, DIC)
 
 
 def _change(
@@ -300,15 +300,16 @@ def dimension_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 def config_rows(spark: SparkSession) -> DataFrame:
     """Configuration changes of the dimension tables: created, one widened, one deleted."""
-    rows = [
-        (1, "c", "region", "dim_region", "r_regionkey,r_name"),
-        (2, "c", "nation", "dim_nation", "n_nationkey,n_name"),
-        (3, "c", "part", "dim_part", "p_partkey,p_brand"),
-        (4, "c", "supplier", "dim_supplier", "s_suppkey,s_name"),
-        (5, "u", "nation", "dim_nation", "n_nationkey,n_name,n_regionkey"),
-        (6, "d", "supplier", "dim_supplier", "s_suppkey,s_name"),
-    ]
-    table_rows = spark.createDataFrame(rows, "ts_ms long, op string, source_table string, sink_table string, sink_columns string")
+    table_rows = spark.sql(
+        """SELECT * FROM VALUES
+            (1L, 'c', 'region', 'dim_region', 'r_regionkey,r_name'),
+            (2L, 'c', 'nation', 'dim_nation', 'n_nationkey,n_name'),
+            (3L, 'c', 'part', 'dim_part', 'p_partkey,p_brand'),
+            (4L, 'c', 'supplier', 'dim_supplier', 's_suppkey,s_name'),
+            (5L, 'u', 'nation', 'dim_nation', 'n_nationkey,n_name,n_regionkey'),
+            (6L, 'd', 'supplier', 'dim_supplier', 's_suppkey,s_name')
+        AS t(ts_ms, op, source_table, sink_table, sink_columns)"""
+    )
     return config_records(table_rows)
 
 

@@ -19,7 +19,7 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     # Dictionaries and dimensions are broadcast only while their measured size stays under this limit;
     # above it Spark falls back to a shuffle join.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
 }

@@ -14,6 +14,15 @@ def jdbc_options(url: str, table: str, user: str = "", password: str = "", drive
     return {key: value for key, value in options.items() if value}
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows; otherwise leave the join to Spark.
+
+    For sources whose size the planner cannot know, such as database tables; files carry their size. The check reads
+    at most ``max_rows`` + 1 rows.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def load_dictionary(spark: SparkSession, path: str | None = None, jdbc: dict[str, str] | None = None) -> DataFrame:
     """``dic_code, dic_name`` from a Parquet folder or a database table.
 
@@ -22,7 +31,7 @@ def load_dictionary(spark: SparkSession, path: str | None = None, jdbc: dict[str
     names = DICTIONARY.fieldNames()
     if path is not None:
         return spark.read.schema(DICTIONARY).parquet(path)
-    return spark.read.format("jdbc").options(**(jdbc or {})).load().select(*names)
+    return broadcast_if_small(spark.read.format("jdbc").options(**(jdbc or {})).load().select(*names))
 
 
 def config_changes(text: DataFrame, value: str = "value") -> DataFrame:

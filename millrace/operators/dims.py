@@ -39,7 +39,8 @@ def dimension_schema(sink_columns: str) -> StructType:
     return StructType(strings(*sink_columns.split(",")))
 
 
-def dimension_rows(routed: DataFrame, sink_table: str, sink_columns: str) -> DataFrame:
-    """The routed rows of one dimension table as columns."""
+def dimension_rows(routed: DataFrame, sink_table: str, sink_columns: str, *keep: str) -> DataFrame:
+    """The routed rows of one dimension table as columns, with ``op`` and the change time ``_seconds``."""
     rows = routed.where(F.col("sink_table") == sink_table)
-    return rows.select(*[F.col("data")[c].alias(c) for c in sink_columns.split(",")], "op", "ts")
+    columns = [F.col("data")[c].alias(c) for c in sink_columns.split(",")]
+    return rows.select(*columns, "op", F.col("ts").try_cast("bigint").alias("_seconds"), *keep)

@@ -26,7 +26,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 def load_dictionary(spark: SparkSession, path: str | None = None, jdbc: dict[str, str] | None = None) -> DataFrame:
     """``dic_code, dic_name`` from a Parquet folder or a database table.
 
-    In a stream the frame is read again for every micro-batch, so changed names are seen without a cache to expire.
+    A database table is queried again for every micro-batch of a stream, so changed names are seen without a cache to
+    expire; a folder is listed once, when this is called.
     """
     names = DICTIONARY.fieldNames()
     if path is not None:

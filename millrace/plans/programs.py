@@ -109,7 +109,10 @@ def keyword_window(pages: DataFrame) -> DataFrame:
 
 
 def traffic_window(pages: DataFrame, unique: DataFrame, bounced: DataFrame) -> DataFrame:
-    return windows.traffic_window(_watermarked(windows.union_measures(pages, unique, bounced)))
+    """Each input of a stream has its own watermark, and the slowest one counts: bounces come later than their page."""
+    return windows.traffic_window(
+        windows.union_measures(_watermarked(pages), _watermarked(unique), _watermarked(bounced))
+    )
 
 
 def home_detail_window(pages: DataFrame) -> DataFrame:

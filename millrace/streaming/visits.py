@@ -48,12 +48,15 @@ def unique_visitors(log: DataFrame) -> DataFrame:
 
 
 def bounces(log: DataFrame, timeout_millis: int = 10_000) -> DataFrame:
+    """Bounces come out behind the watermark, by the time that had to pass first.
+
+    They therefore end a query; a report reads them as an input of its own, with its own watermark.
+    """
     return log.groupBy("mid").transformWithStateInPandas(
         Bounces(log.schema, visits.ORDER, timeout_millis),
         outputStructType=log.schema,
         outputMode="append",
         timeMode="eventTime",
-        eventTimeColumnName="ts",
     )
 
 

@@ -37,44 +37,36 @@ def join_within(
     on: On,
     left_time: str,
     right_time: str,
-    before: str,
-    after: str,
+    before_millis: int,
+    after_millis: int,
     how: str = "inner",
 ) -> DataFrame:
-    """Rows with equal keys whose right time lies in ``[left time - before, left time + after]``.
+    """Rows with equal keys whose right time lies in ``[left time - before, left time + after]``, both ends included.
 
-    On streams both times must carry a watermark; the range lets the state be dropped.
+    Time is cut into slots at least as wide as that range. A left row has one slot, a right row the one or two slots
+    it can match in, and the slot joins key equality: rows of one hot key meet only their neighbours in time, on many
+    tasks. For inner and left joins of tables, and of streams whose times carry watermarks; there the range also
+    tells when state can be dropped.
     """
-    condition = reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in on])
-    low = left[left_time] - F.expr(f"INTERVAL {before}")
-    high = left[left_time] + F.expr(f"INTERVAL {after}")
-    return left.join(right, condition & (right[right_time] >= low) & (right[right_time] <= high), how)
+    width = max(before_millis + after_millis, 1000)
+    first = F.floor((F.unix_millis(right_time) - after_millis) / width)
+    last = F.floor((F.unix_millis(right_time) + before_millis) / width)
+    left = left.withColumn("_slot_l", F.floor(F.unix_millis(left_time) / width))
+    right = right.withColumn("_slot_r", F.explode(F.sequence(first, last)))
+    equal = reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in [*on, ("_slot_l", "_slot_r")]])
+
+    def shifted(millis: int) -> Column:
+        return left[left_time] + F.expr(f"INTERVAL '{millis / 1000:.3f}' SECONDS")
+
+    in_range = (right[right_time] >= shifted(-before_millis)) & (right[right_time] <= shifted(after_millis))
+    return left.join(right, equal & in_range, how).drop("_slot_l", "_slot_r")
 
 
 def interval_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: On,
-    left_time: str,
-    right_time: str,
-    bound_millis: int,
-    how: str = "inner",
+    left: DataFrame, right: DataFrame, on: On, left_time: str, right_time: str, bound_millis: int, how: str = "inner"
 ) -> DataFrame:
-    """Symmetric interval join, both ends included, for keys that may be hot.
-
-    Time is cut into slots at least as wide as the reach of a row. A left row has one slot, a right row the one or
-    two slots it can match in, and slot joins key equality: rows of one hot key meet only their neighbours in time,
-    on many tasks. Works for inner and left joins, on tables and on watermarked streams.
-    """
-    width = max(2 * bound_millis, 1000)
-    low_slot = F.floor((F.unix_millis(right_time) - bound_millis) / width)
-    high_slot = F.floor((F.unix_millis(right_time) + bound_millis) / width)
-    slotted_left = left.withColumn("_slot_l", F.floor(F.unix_millis(left_time) / width))
-    slotted_right = right.withColumn("_slot_r", F.explode(F.sequence(low_slot, high_slot)))
-    bound = f"{bound_millis / 1000:.3f} SECONDS"
-    return join_within(
-        slotted_left, slotted_right, [*on, ("_slot_l", "_slot_r")], left_time, right_time, bound, bound, how
-    ).drop("_slot_l", "_slot_r")
+    """``join_within`` the same bound on both sides."""
+    return join_within(left, right, on, left_time, right_time, bound_millis, bound_millis, how)
 
 
 def lookup_name(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:

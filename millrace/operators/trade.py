@@ -16,14 +16,14 @@ from millrace.operators.changelog import became, change_time, first_by_key, late
 from millrace.operators.joins import Link, enrich, join_within, lookup_name, regular_join
 from millrace.operators.windows import SIZE, window_report
 
-# How long the joins of each fact wait for a partner.
-ORDER_WAIT = "905 seconds"
-REFUND_WAIT = "5 seconds"
+# How long the joins of each fact wait for a partner, in milliseconds.
+ORDER_WAIT = 905_000
+REFUND_WAIT = 5_000
 
 
-def _timed(side: DataFrame, name: str, within: str | None) -> DataFrame:
+def _timed(side: DataFrame, name: str, within: int | None) -> DataFrame:
     """Keep the change time ``name`` only where a bounded join needs it."""
-    return side.withWatermark(name, within) if within else side.drop(name)
+    return side.withWatermark(name, f"{within} milliseconds") if within else side.drop(name)
 
 
 def _join(left, right, on, left_time, right_time, within, how="inner") -> DataFrame:
@@ -70,7 +70,7 @@ def cart_add_user_times(facts: DataFrame) -> DataFrame:
 
 
 def order_pre_process(
-    changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: str | None = None
+    changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: int | None = None
 ) -> DataFrame:
     """Wide order lines: line, every state of its order, activity, coupon and source name.
 
@@ -161,7 +161,7 @@ def pay_detail(
     orders: DataFrame,
     dictionary: DataFrame,
     only_success: bool = False,
-    within: str | None = None,
+    within: int | None = None,
 ) -> DataFrame:
     """Paid lines: every payment change joined with the ordered lines of its order.
 
@@ -185,7 +185,7 @@ def pay_detail(
 
 
 def order_refund(
-    changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: str | None = None
+    changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: int | None = None
 ) -> DataFrame:
     """Refund requests of orders that went into refunding, with the names of refund type and reason."""
     requests = select_changes(
@@ -224,7 +224,7 @@ def order_refund(
 
 
 def refund_pay(
-    changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: str | None = None
+    changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: int | None = None
 ) -> DataFrame:
     """Refunds paid out: the payment, its finished refund line and its order that became refunded."""
     payments = select_changes(

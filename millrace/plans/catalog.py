@@ -449,7 +449,7 @@ def join_retention(spark, folder):
         changes, "payment_info", {"pi_id": "order_id", "payment_type": "payment_type"}, (), None,
         pi_time=changelog.change_time(),
     )
-    pairs = joins.join_within(orders, paid, [("oi_id", "pi_id")], "oi_time", "pi_time", "905 SECONDS", "8105 SECONDS")
+    pairs = joins.join_within(orders, paid, [("oi_id", "pi_id")], "oi_time", "pi_time", 905_000, 8_105_000)
     return pairs.select("oi_id", "payment_type", times.date_time_text("pi_time").alias("paid_at"))
 
 

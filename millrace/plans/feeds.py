@@ -15,15 +15,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
+def events_of(raw: DataFrame) -> DataFrame:
     """Events with the number in their property text as ``k`` and the time as an instant."""
-    return (
-        table(spark, folder, "events")
-        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-        .withColumn("ts", F.col("ts").cast("timestamp"))
+    return raw.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn(
+        "ts", F.col("ts").cast("timestamp")
     )
 
 
+def events(spark: SparkSession, folder: str) -> DataFrame:
+    return events_of(table(spark, folder, "events"))
+
+
 PAGE_FIELDS = (
     "CAST(user_id AS STRING) AS mid",
     "CASE WHEN k % 10 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS uid",
@@ -41,9 +43,13 @@ PAGE_FIELDS = (
 )
 
 
-def page_log(spark: SparkSession, folder: str) -> DataFrame:
+def page_log_of(raw: DataFrame) -> DataFrame:
     """The flat page log: one row per event."""
-    return events(spark, folder).selectExpr("event_id AS log_id", "ts", *PAGE_FIELDS)
+    return events_of(raw).selectExpr("event_id AS log_id", "ts", *PAGE_FIELDS)
+
+
+def page_log(spark: SparkSession, folder: str) -> DataFrame:
+    return page_log_of(table(spark, folder, "events"))
 
 
 def click_log_text(spark: SparkSession, folder: str) -> DataFrame:

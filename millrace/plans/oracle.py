@@ -454,3 +454,9 @@ ORACLE = {
         "ev",
     ),
 }
+
+# The streams must end in the rows of the same rule on tables.
+ORACLE["stream_page_window"] = ORACLE["traffic_page_window"]
+ORACLE["stream_keyword_window"] = ORACLE["keyword_window"]
+ORACLE["stream_new_visitor_repair"] = ORACLE["new_visitor_repair"]
+ORACLE["stream_unique_visitor"] = ORACLE["unique_visitor_detail"]

@@ -38,6 +38,17 @@ def read_latest(
     return latest_by_key(read_changes(spark, path, schema), keys, ("batch_id", *order)).drop("batch_id")
 
 
+def compact(
+    spark: SparkSession, path: str, target: str, schema: StructType, keys: str | Sequence[str], order: Sequence[str] = ()
+) -> None:
+    """Write only the last version of each key to the new folder ``target``, in the same layout.
+
+    A stopped stream continues there under its old checkpoint; ``path`` stays until it is no longer read.
+    """
+    latest = latest_by_key(read_changes(spark, path, schema), keys, ("batch_id", *order))
+    latest.repartition("batch_id", *([keys] if isinstance(keys, str) else keys)).write.partitionBy("batch_id").parquet(target)
+
+
 def key_and_value(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows as JSON ``key`` and ``value`` texts, the form of a keyed topic."""
     return df.select(

@@ -12,6 +12,7 @@ from millrace.operators.changelog import current_config, latest_by_key
 from millrace.operators.dims import dimension_rows, route_dimensions
 from millrace.schemas import TEXT_MAP, strings
 from millrace.sinks.changelog import BatchWriter, append_changes, read_changes
+from millrace.sources.tables import broadcast_if_small
 
 ROUTED = StructType(strings("sink_table", "sink_pk", "op", "ts")).add("data", TEXT_MAP)
 
@@ -48,7 +49,7 @@ def route_and_store(load_config: Callable[[], DataFrame], path: str) -> BatchWri
     store = dimension_writer(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store(route_dimensions(batch, current_config(load_config())), batch_id)
+        store(route_dimensions(batch, broadcast_if_small(current_config(load_config()))), batch_id)
 
     return write
 

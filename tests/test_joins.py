@@ -72,3 +72,11 @@ def test_lookup_rows(spark):
     table = spark.createDataFrame([("1", "a", 5), ("1", "b", 6)], "id string, kind string, v int")
     wanted = spark.createDataFrame([("1", "b"), ("9", "a")], "id string, kind string")
     assert sorted(map(tuple, joins.lookup_rows(wanted, table, ["id", "kind"]).collect())) == [("1", "b", 6), ("9", "a", None)]
+
+
+def test_unequal_bounds(spark):
+    left = spark.createDataFrame([(1, 50_000)], "k int, l_ms long").withColumn("l_ts", F.timestamp_millis("l_ms"))
+    times = [39_999, 40_000, 50_000, 52_000, 52_001]
+    right = spark.createDataFrame([(1, t) for t in times], "rk int, r_ms long").withColumn("r_ts", F.timestamp_millis("r_ms"))
+    got = joins.join_within(left, right, [("k", "rk")], "l_ts", "r_ts", 10_000, 2_000)
+    assert sorted(r.r_ms for r in got.collect()) == [40_000, 50_000, 52_000]

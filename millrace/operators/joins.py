@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.changelog import first_by_key
+
 On = Sequence[tuple[str, str]]
 
 
@@ -45,9 +47,26 @@ def join_within(
 
     Time is cut into slots at least as wide as that range. A left row has one slot, a right row the one or two slots
     it can match in, and the slot joins key equality: rows of one hot key meet only their neighbours in time, on many
-    tasks. For inner and left joins of tables, and of streams whose times carry watermarks; there the range also
-    tells when state can be dropped.
+    tasks. Streams need watermarks on both times; the range then also tells when state can be dropped.
+
+    ``how``: inner, left, left_semi, left_anti, right, full. A full join of streams is made without slots, as only
+    one pass over both sides can tell which right rows found no partner.
     """
+    flipped = [(r, l) for l, r in on]
+    if how == "right":
+        rows = join_within(right, left, flipped, right_time, left_time, after_millis, before_millis, "left")
+        return rows.select(*left.columns, *right.columns)
+    if how == "full" and not left.isStreaming:
+        lonely = join_within(right, left, flipped, right_time, left_time, after_millis, before_millis, "left_anti")
+        rows = join_within(left, right, on, left_time, right_time, before_millis, after_millis, "left")
+        return rows.unionByName(lonely, allowMissingColumns=True)
+
+    def in_range() -> Column:
+        low, high = (F.expr(f"INTERVAL '{m / 1000:.3f}' SECONDS") for m in (-before_millis, after_millis))
+        return (right[right_time] >= left[left_time] + low) & (right[right_time] <= left[left_time] + high)
+
+    if how == "full":
+        return left.join(right, reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in on]) & in_range(), how)
     width = max(before_millis + after_millis, 1000)
     first = F.floor((F.unix_millis(right_time) - after_millis) / width)
     last = F.floor((F.unix_millis(right_time) + before_millis) / width)
@@ -55,11 +74,7 @@ def join_within(
     right = right.withColumn("_slot_r", F.explode(F.sequence(first, last)))
     equal = reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in [*on, ("_slot_l", "_slot_r")]])
 
-    def shifted(millis: int) -> Column:
-        return left[left_time] + F.expr(f"INTERVAL '{millis / 1000:.3f}' SECONDS")
-
-    in_range = (right[right_time] >= shifted(-before_millis)) & (right[right_time] <= shifted(after_millis))
-    return left.join(right, equal & in_range, how).drop("_slot_l", "_slot_r")
+    return left.join(right, equal & in_range(), how).drop("_slot_l", "_slot_r")
 
 
 def interval_join(
@@ -103,8 +118,10 @@ def enrich(df: DataFrame, *links: Link) -> DataFrame:
 
 
 def lookup_rows(wanted: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Table rows for many requested keys at once; requests without a row give nulls.
+    """One table row for each of many requests at once; requests without a row give nulls.
 
-    ``on`` names the columns compared, all of them by equality.
+    ``on`` names the columns compared, all of them by equality. Of several rows for one request the first in column
+    order is taken.
     """
-    return wanted.join(table, list(on), "left")
+    rest = [c for c in table.columns if c not in on]
+    return wanted.join(first_by_key(table, list(on), rest), list(on), "left")

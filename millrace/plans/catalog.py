@@ -438,6 +438,18 @@ def join_interval_left(spark, folder):
     return pairs.select("click_id", "buy_id", "c_user")
 
 
+@query
+def join_interval_right(spark, folder):
+    pairs = joins.interval_join(*_clicks_and_purchases(spark, folder), "c_ts", "b_ts", 3_600_000, "right")
+    return pairs.select("click_id", "buy_id", "b_user")
+
+
+@query
+def join_interval_full(spark, folder):
+    pairs = joins.interval_join(*_clicks_and_purchases(spark, folder), "c_ts", "b_ts", 3_600_000, "full")
+    return pairs.select("click_id", "buy_id")
+
+
 @query
 def join_retention(spark, folder):
     """Orders and their payments, at most 905 seconds plus two hours apart."""

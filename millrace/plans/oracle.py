@@ -427,6 +427,16 @@ ORACLE = {
             AND b_ts BETWEEN c_ts - INTERVAL '1 hour' AND c_ts + INTERVAL '1 hour'""",
         "click", "buy",
     ),
+    "join_interval_right": _sql(
+        """SELECT click_id, buy_id, b_user FROM click RIGHT JOIN buy ON c_user = b_user
+            AND b_ts BETWEEN c_ts - INTERVAL '1 hour' AND c_ts + INTERVAL '1 hour'""",
+        "click", "buy",
+    ),
+    "join_interval_full": _sql(
+        """SELECT click_id, buy_id FROM click FULL JOIN buy ON c_user = b_user
+            AND b_ts BETWEEN c_ts - INTERVAL '1 hour' AND c_ts + INTERVAL '1 hour'""",
+        "click", "buy",
+    ),
     "join_retention": _sql(
         """SELECT oi_id, payment_type, callback_time AS paid_at FROM order_info JOIN payment ON oi_id = pi_order_id
             AND CAST(pi_ts AS BIGINT) BETWEEN CAST(oi_ts AS BIGINT) - 905 AND CAST(oi_ts AS BIGINT) + 8105

@@ -12,7 +12,6 @@ import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
-DAY_MILLIS = 24 * 3600 * 1000
 
 
 def _days(ts: pd.Series) -> pd.Series:
@@ -29,16 +28,27 @@ class FirstOfDay(StatefulProcessor):
     """Marks rows whose date differs from the last marked row's date.
 
     Adds ``previous_day`` (text, null at first) and ``is_first`` (0/1). Unless ``keep_all``, only marked rows go on.
-    ``ttl_millis`` lets the state of idle keys expire in processing time.
+    With ``expire`` the state of a key is dropped by an event-time timer one day after its date has ended. By then a
+    row that is not late has another date anyway, so only ``previous_day`` depends on it.
     """
 
-    def __init__(self, order: tuple[str, ...], keep_all: bool = False, ttl_millis: int | None = None):
+    def __init__(self, order: tuple[str, ...], keep_all: bool = False, expire: bool = True):
         self.order = list(order)
         self.keep_all = keep_all
-        self.ttl_millis = ttl_millis
+        self.expire = expire
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last_day = handle.getValueState("last_day", "day string", self.ttl_millis)
+        self.handle = handle
+        self.last_day = handle.getValueState("last_day", "day string, timer long")
+
+    def _remember(self, day: str, old_timer: int | None) -> None:
+        timer = None
+        if self.expire:
+            if old_timer is not None:
+                self.handle.deleteTimer(old_timer)
+            timer = int((pd.Timestamp(day) + pd.Timedelta(days=2)).timestamp() * 1000)
+            self.handle.registerTimer(timer)
+        self.last_day.update((day, timer))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         chunks = []
@@ -48,17 +58,21 @@ class FirstOfDay(StatefulProcessor):
                 chunk = chunk[chunk["_day"] != chunk["_day"].shift()]
             chunks.append(chunk)
         frame = pd.concat(chunks).sort_values(self.order)
-        last = self.last_day.get()[0] if self.last_day.exists() else None
+        last, timer = self.last_day.get() if self.last_day.exists() else (None, None)
         before = frame["_day"].shift().astype(object)
         before.iloc[0] = last
         first = frame["_day"] != before
         # the date before a marked row is the date of the row before it, as unmarked rows share their mark's date
         frame = frame.assign(previous_day=before.where(before.notna(), None), is_first=first.astype("int64"))
         if first.any():
-            self.last_day.update((frame["_day"].iloc[-1],))
+            self._remember(frame["_day"].iloc[-1], timer)
         frame = frame.drop(columns="_day")
         yield frame if self.keep_all else frame[first.to_numpy()]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last_day.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 

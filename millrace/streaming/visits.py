@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from millrace.operators import visits
-from millrace.streaming.processors import DAY_MILLIS, Bounces, FirstOfDay, LatestAfterDelay, NewFlagRepair
+from millrace.streaming.processors import Bounces, FirstOfDay, LatestAfterDelay, NewFlagRepair
 
 # Watermark delay of the reports, wait of the version filter.
 WATERMARK = "3 seconds"
@@ -22,13 +22,13 @@ def with_watermark(log: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return log.withWatermark("ts", delay)
 
 
-def _marked(rows: DataFrame, keys: list[str], order, keep_all=False, ttl_millis=None) -> DataFrame:
+def _marked(rows: DataFrame, keys: list[str], order, keep_all=False, expire=True) -> DataFrame:
     schema = StructType(list(rows.schema.fields)).add("previous_day", StringType()).add("is_first", LongType())
     return rows.groupBy(*keys).transformWithStateInPandas(
-        FirstOfDay(order, keep_all, ttl_millis),
+        FirstOfDay(order, keep_all, expire),
         outputStructType=schema,
         outputMode="append",
-        timeMode="processingTime" if ttl_millis else "eventTime",
+        timeMode="eventTime",
         eventTimeColumnName="ts",
     )
 
@@ -74,7 +74,7 @@ def login_days(log: DataFrame, back_after_days: int = 8) -> DataFrame:
     """The state of this rule never expires: a user may return after any time."""
     rows = visits.logins(log).select("uid", "ts", "log_id")
     gap = F.datediff(F.to_date("ts"), F.col("previous_day").cast("date"))
-    return _marked(rows, ["uid"], visits.ORDER).select(
+    return _marked(rows, ["uid"], visits.ORDER, expire=False).select(
         "uid",
         "ts",
         F.lit(1).cast("bigint").alias("uu_ct"),

@@ -34,7 +34,7 @@ def test_interval_bounds_are_inclusive(spark):
 
 
 @pytest.mark.parametrize("bound", [5, 700, 100_000])
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
 def test_interval_join_against_all_pairs(spark, bound, how):
     rng = random.Random(bound)
     a = [(i, rng.randrange(2), rng.randrange(-3_000_000, 3_000_000)) for i in range(300)]
@@ -43,11 +43,12 @@ def test_interval_join_against_all_pairs(spark, bound, how):
     right = spark.createDataFrame(b, "b int, bk int, b_ms long").withColumn("b_ts", F.timestamp_millis("b_ms"))
     got = joins.interval_join(left, right, [("ak", "bk")], "a_ts", "b_ts", bound, how).select("a", "b").collect()
     expected = [(x[0], y[0]) for x in a for y in b if x[1] == y[1] and abs(x[2] - y[2]) <= bound]
-    if how == "left":
-        matched = {p[0] for p in expected}
-        expected += [(x[0], None) for x in a if x[0] not in matched]
-    order = lambda p: (p[0], -1 if p[1] is None else p[1])
-    assert sorted(map(tuple, got), key=order) == sorted(expected, key=order)
+    pairs = list(expected)
+    if how in ("left", "full"):
+        expected += [(x[0], None) for x in a if x[0] not in {p[0] for p in pairs}]
+    if how in ("right", "full"):
+        expected += [(None, y[0]) for y in b if y[0] not in {p[1] for p in pairs}]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
 
 
 def test_lookup_drops_unknown_codes(spark):
@@ -69,7 +70,7 @@ def test_enrich_keeps_rows_without_entry(spark):
 
 
 def test_lookup_rows(spark):
-    table = spark.createDataFrame([("1", "a", 5), ("1", "b", 6)], "id string, kind string, v int")
+    table = spark.createDataFrame([("1", "a", 5), ("1", "b", 7), ("1", "b", 6)], "id string, kind string, v int")
     wanted = spark.createDataFrame([("1", "b"), ("9", "a")], "id string, kind string")
     assert sorted(map(tuple, joins.lookup_rows(wanted, table, ["id", "kind"]).collect())) == [("1", "b", 6), ("9", "a", None)]
 

@@ -328,8 +328,8 @@ def test_interval_join_on_streams(spark, folder, tmp_path):
         clicks = df.where("event_type = 'click'").select(F.col("event_id").alias("click_id"), F.col("user_id").alias("cu"), F.col("ts").alias("c_ts"))
         bought = df.where("event_type = 'purchase'").select(F.col("event_id").alias("buy_id"), F.col("user_id").alias("bu"), F.col("ts").alias("b_ts"))
         joined = joins.interval_join(clicks, bought, [("cu", "bu")], "c_ts", "b_ts", 3_600_000, how)
-        return joined.where("click_id >= 0").select("click_id", "buy_id")
+        return joined.where("coalesce(click_id, buy_id) >= 0").select("click_id", "buy_id")
 
-    for how in ("inner", "left"):
+    for how in ("inner", "left", "right", "full"):
         got = run(spark, pairs(stream_of(spark, path, events.schema), how), tmp_path)
         assert rows(got) == rows(pairs(events, how)), how

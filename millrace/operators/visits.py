@@ -69,7 +69,8 @@ def repair_new_flag_records(records: DataFrame) -> DataFrame:
         first_visit_dates(flat).withColumnRenamed("mid", "_mid"), "_mid", "left"
     )
     wrong = (F.col("common.is_new") == "1") & (F.col("_anchor") != F.to_date(F.timestamp_millis("ts")))
-    common = F.when(wrong, F.col("common").withField("is_new", F.lit("0"))).otherwise(F.col("common"))
+    # only this field depends on the join, so it is planned away where the flag is not used
+    common = F.col("common").withField("is_new", F.when(wrong, F.lit("0")).otherwise(F.col("common.is_new")))
     return rows.withColumn("common", common).select(*records.columns)
 
 

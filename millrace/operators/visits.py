@@ -20,7 +20,7 @@ ORDER = ("ts", "log_id")
 # A key is cut up when it has at least this many rows and at least 1/HOT_SHARE of all rows. The second test keeps
 # the list of such keys at HOT_SHARE entries or fewer, which is what makes it safe to broadcast.
 HOT_ROWS = 1_000_000
-HOT_SHARE = 4096
+HOT_SHARE = 65_536
 CHUNK_SECONDS = 10
 
 

@@ -20,6 +20,7 @@ from millrace.sinks.changelog import BatchWriter
 from millrace.sinks.reports import COMMIT_INTERVAL, start_stream, topic_frame
 from millrace.sources.click_log import page_columns
 from millrace.sources.kafka import as_records
+from millrace.streaming.visits import DAY_MILLIS
 
 Read = Callable[[str], DataFrame]
 
@@ -47,15 +48,24 @@ def _facts(read: Read, job: str, schema: T.StructType) -> DataFrame:
 
 
 def job_frame(
-    name: str, read: Read, dictionary: DataFrame | None = None, sku: DataFrame | None = None
+    name: str,
+    read: Read,
+    dictionary: DataFrame | None = None,
+    sku: DataFrame | None = None,
+    continuous: bool = True,
 ) -> DataFrame:
-    """The result of job ``name`` over its topics. Fact jobs need ``dictionary``, the product report needs ``sku``."""
+    """The result of job ``name`` over its topics. Fact jobs need ``dictionary``, the product report needs ``sku``.
+
+    ``continuous``: the stream stays up, so state may expire in processing time.
+    """
     if name == "newest_lines":
         return programs.newest_lines(_facts(read, "order_detail", schemas.ORDER_DETAIL_RECORD).drop("log_id"))
     run = JOBS[name].run
     if name == "log_split":
         return run(read(CLICKS))
-    if name in ("unique_visitor", "user_jump", "keyword_window", "home_detail_window", "login_window"):
+    if name == "unique_visitor":
+        return run(_pages(read), DAY_MILLIS if continuous else None)
+    if name in ("user_jump", "keyword_window", "home_detail_window", "login_window"):
         return run(_pages(read))
     if name in ("cart_add", "order_pre_process", "order_refund", "refund_pay"):
         return run(_changes(read), dictionary)
@@ -100,5 +110,5 @@ def start_job(
     interval: str | None = COMMIT_INTERVAL,
 ) -> StreamingQuery:
     """Run a job continuously; ``write`` gets each micro-batch of ``output_frame``. Restarts resume from the checkpoint."""
-    result = output_frame(name, job_frame(name, read, dictionary, sku))
+    result = output_frame(name, job_frame(name, read, dictionary, sku, continuous=interval is not None))
     return start_stream(result, f"{checkpoint_root.rstrip('/')}/{name}", write, interval=interval)

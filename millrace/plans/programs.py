@@ -38,14 +38,12 @@ def click_log_topics(text: DataFrame) -> DataFrame:
     records = click_log.clean_records(parsed)
     if text.isStreaming:
         flagged = streams.repair_new_flag(
-            streams.with_watermark(
-                records.select(
-                    F.col("common.mid").alias("mid"),
-                    F.col("common.is_new").alias("is_new"),
-                    times.from_millis("ts").alias("ts"),
-                    "log_id",
-                    F.struct(*records.columns).alias("record"),
-                )
+            records.select(
+                F.col("common.mid").alias("mid"),
+                F.col("common.is_new").alias("is_new"),
+                times.from_millis("ts").alias("ts"),
+                "log_id",
+                F.struct(*records.columns).alias("record"),
             )
         )
         kept = [F.col(f"record.{c}").alias(c) for c in records.columns if c != "common"]
@@ -55,8 +53,8 @@ def click_log_topics(text: DataFrame) -> DataFrame:
     return log_split.topic_rows(records).unionByName(dirty)
 
 
-def unique_visitor_detail(pages: DataFrame) -> DataFrame:
-    return streams.unique_visitors(_watermarked(pages)) if pages.isStreaming else visits.unique_visitors(pages)
+def unique_visitor_detail(pages: DataFrame, ttl_millis: int | None = None) -> DataFrame:
+    return streams.unique_visitors(pages, ttl_millis) if pages.isStreaming else visits.unique_visitors(pages)
 
 
 def user_jump_detail(pages: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def _pages(spark, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     schema = feeds.table(spark, folder, "events").schema
     raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    return visits.with_watermark(feeds.page_log_of(raw))
+    return feeds.page_log_of(raw)
 
 
 def _worked_off(spark, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -43,12 +43,14 @@ def _worked_off(spark, df: DataFrame, keys: list[str] | None = None) -> DataFram
 
 
 def stream_page_window(spark, folder):
-    report = windows.traffic_window(windows.page_measures(_pages(spark, folder)))
+    pages = visits.with_watermark(_pages(spark, folder))
+    report = windows.traffic_window(windows.page_measures(pages))
     return _worked_off(spark, report, ["stt", *windows.TRAFFIC_KEYS]).drop("uv_ct", "uj_ct")
 
 
 def stream_keyword_window(spark, folder):
-    return _worked_off(spark, windows.keyword_window(_pages(spark, folder)), ["stt", "keyword"])
+    pages = visits.with_watermark(_pages(spark, folder))
+    return _worked_off(spark, windows.keyword_window(pages), ["stt", "keyword"])
 
 
 def stream_new_visitor_repair(spark, folder):

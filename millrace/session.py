@@ -27,13 +27,29 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "millrace", master: str | None = None, **overrides: str) -> SparkSession:
-    """A session with the settings above; ``overrides`` use ``__`` for the dots of a setting name."""
+SHUFFLE_PARTITION_BYTES = 128 * 1024**2
+
+
+def shuffle_partitions(data_bytes: int) -> int:
+    """How many partitions a shuffle of that much data should start with; small ones are merged at run time."""
+    return min(max(-(-data_bytes // SHUFFLE_PARTITION_BYTES), 8), 100_000)
+
+
+def build_session(
+    app: str = "millrace", master: str | None = None, data_bytes: int | None = None, **overrides: str
+) -> SparkSession:
+    """A session with the settings above; ``overrides`` use ``__`` for the dots of a setting name.
+
+    ``data_bytes``: how much data the largest shuffle of the job moves, if known.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if data_bytes is not None:
+        initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        builder = builder.config(initial, str(shuffle_partitions(data_bytes)))
     for key, value in overrides.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

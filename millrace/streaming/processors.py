@@ -28,18 +28,23 @@ class FirstOfDay(StatefulProcessor):
     """Marks rows whose date differs from the last marked row's date.
 
     Adds ``previous_day`` (text, null at first) and ``is_first`` (0/1). Unless ``keep_all``, only marked rows go on.
-    With ``expire`` the state of a key is dropped by an event-time timer one day after its date has ended. By then a
-    row that is not late has another date anyway, so only ``previous_day`` depends on it.
+
+    State of idle keys goes away in one of two ways. ``ttl_millis``: so long after it was written, in processing time.
+    ``expire``: by an event-time timer one day after its date has ended; a row that is not late has another date by
+    then anyway, so only ``previous_day`` depends on it.
     """
 
-    def __init__(self, order: tuple[str, ...], keep_all: bool = False, expire: bool = True):
+    def __init__(
+        self, order: tuple[str, ...], keep_all: bool = False, expire: bool = False, ttl_millis: int | None = None
+    ):
         self.order = list(order)
         self.keep_all = keep_all
         self.expire = expire
+        self.ttl_millis = ttl_millis
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last_day = handle.getValueState("last_day", "day string, timer long")
+        self.last_day = handle.getValueState("last_day", "day string, timer long", self.ttl_millis)
 
     def _remember(self, day: str, old_timer: int | None) -> None:
         timer = None

@@ -1,6 +1,6 @@
-"""Streaming forms of the visit rules, on page logs whose ``ts`` carries a watermark.
+"""Streaming forms of the visit rules.
 
-Results chain into the window reports. Against the batch forms: rows of earlier micro-batches are not revisited, so a
+Those that feed a window report work on logs whose ``ts`` carries a watermark and chain into it. Against the batch forms: rows of earlier micro-batches are not revisited, so a
 row that arrives after later ones is judged against the state it finds.
 """
 
@@ -13,20 +13,25 @@ from pyspark.sql.types import LongType, StringType, StructType
 from millrace.operators import visits
 from millrace.streaming.processors import Bounces, FirstOfDay, LatestAfterDelay, NewFlagRepair
 
-# Watermark delay of the reports, wait of the version filter.
+# Watermark delay of the reports, wait of the version filter, life of a day's state.
 WATERMARK = "3 seconds"
 VERSION_WAIT_MILLIS = 5000
+DAY_MILLIS = 24 * 3600 * 1000
 
 
 def with_watermark(log: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return log.withWatermark("ts", delay)
 
 
+def _added(rows: DataFrame) -> StructType:
+    return StructType(list(rows.schema.fields)).add("previous_day", StringType()).add("is_first", LongType())
+
+
 def _marked(rows: DataFrame, keys: list[str], order, keep_all=False, expire=True) -> DataFrame:
-    schema = StructType(list(rows.schema.fields)).add("previous_day", StringType()).add("is_first", LongType())
+    """First rows per date, in event time: late rows are dropped, and a window report may follow."""
     return rows.groupBy(*keys).transformWithStateInPandas(
         FirstOfDay(order, keep_all, expire),
-        outputStructType=schema,
+        outputStructType=_added(rows),
         outputMode="append",
         timeMode="eventTime",
         eventTimeColumnName="ts",
@@ -34,17 +39,26 @@ def _marked(rows: DataFrame, keys: list[str], order, keep_all=False, expire=True
 
 
 def repair_new_flag(log: DataFrame) -> DataFrame:
+    """No row is late here and the state is kept for good; ``log`` needs no watermark."""
     return log.groupBy("mid").transformWithStateInPandas(
-        NewFlagRepair(visits.ORDER),
-        outputStructType=log.schema,
-        outputMode="append",
-        timeMode="eventTime",
-        eventTimeColumnName="ts",
+        NewFlagRepair(visits.ORDER), outputStructType=log.schema, outputMode="append", timeMode="none"
     )
 
 
-def unique_visitors(log: DataFrame) -> DataFrame:
-    return _marked(log.where(visits.is_entry()), ["mid"], visits.ORDER).select(*log.columns)
+def unique_visitors(log: DataFrame, ttl_millis: int | None = None) -> DataFrame:
+    """No row is late here; ``log`` needs no watermark.
+
+    With ``ttl_millis`` idle devices are forgotten after that long. Such a stream has to be started with an interval:
+    it runs on processing time and so never counts as worked off.
+    """
+    rows = log.where(visits.is_entry())
+    marked = rows.groupBy("mid").transformWithStateInPandas(
+        FirstOfDay(visits.ORDER, ttl_millis=ttl_millis),
+        outputStructType=_added(rows),
+        outputMode="append",
+        timeMode="none" if ttl_millis is None else "processingTime",
+    )
+    return marked.select(*log.columns)
 
 
 def bounces(log: DataFrame, timeout_millis: int = 10_000) -> DataFrame:

@@ -12,7 +12,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import codes, schemas
-from millrace.functions import times
 from millrace.operators import joins, trade, visits, windows
 from millrace.plans import feeds, programs
 from millrace.session import shared_dir
@@ -92,16 +91,59 @@ def known(df):
     return df.where("mid <> 'sentinel'")
 
 
-def test_repair(spark, log, pages, tmp_path):
-    got = run(spark, known(streams.repair_new_flag(pages)), tmp_path)
+def test_repair(spark, log, log_path, tmp_path):
+    got = run(spark, known(streams.repair_new_flag(stream_of(spark, log_path, log.schema))), tmp_path)
     assert rows(got, "log_id", "is_new") == rows(visits.repair_new_flag(log), "log_id", "is_new")
 
 
-def test_unique_visitors(spark, log, pages, tmp_path):
-    got = run(spark, known(streams.unique_visitors(pages)), tmp_path)
+def test_unique_visitors(spark, log, log_path, tmp_path):
+    got = run(spark, known(programs.unique_visitor_detail(stream_of(spark, log_path, log.schema))), tmp_path)
     assert rows(got, "log_id", "mid", "is_new") == rows(programs.unique_visitor_detail(log), "log_id", "mid", "is_new")
 
 
+def test_rules_without_event_time_keep_late_rows(spark, log, tmp_path):
+    """A micro-batch of older rows is judged against the state the newer ones left."""
+    path = str(tmp_path / "late")
+    first, second, third = parts_of(spark, log)
+    write_parts([first, third, second], path)
+    days, anchors, unique, flags = {}, {}, set(), {}
+    for part in (first, third, second):
+        for r in sorted(part.collect(), key=lambda r: (r.ts, r.log_id)):
+            day = r.ts.date()
+            anchors.setdefault(r.mid, day if r.is_new == "1" else day - timedelta(days=1))
+            flags[r.log_id] = "0" if r.is_new == "1" and anchors[r.mid] != day else r.is_new
+            if not r.last_page_id and days.get(r.mid) != day:
+                days[r.mid] = day
+                unique.add(r.log_id)
+    got = run(spark, programs.unique_visitor_detail(stream_of(spark, path, log.schema)), tmp_path)
+    assert {r.log_id for r in got.collect()} == unique
+    got = run(spark, streams.repair_new_flag(stream_of(spark, path, log.schema)), tmp_path)
+    assert {r.log_id: r.is_new for r in got.collect()} == flags
+
+
+def wait_for_rows(spark, df, tmp_path, n):
+    """Run a processing-time stream until ``n`` rows are out; it would never end by itself."""
+    out = str(tmp_path / uuid.uuid4().hex)
+    query = start_stream(df, shared_dir(spark, "test"), path=out, interval="1 second")
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            time.sleep(1)
+            got = spark.read.schema(df.schema).parquet(out) if os.path.isdir(out) else None
+            if got is not None and got.count() >= n:
+                break
+    finally:
+        query.stop()
+    return got
+
+
+def test_unique_visitors_with_expiring_state(spark, log, log_path, tmp_path):
+    expected = visits.unique_visitors(log)
+    rules = programs.unique_visitor_detail(stream_of(spark, log_path, log.schema), streams.DAY_MILLIS)
+    got = wait_for_rows(spark, known(rules), tmp_path, expected.count())
+    assert rows(got, "log_id") == rows(expected, "log_id")
+
+
 @pytest.mark.parametrize("timeout", [10_000, 6 * 3_600_000])
 def test_bounces(spark, log, pages, tmp_path, timeout):
     got = run(spark, known(streams.bounces(pages, timeout)), tmp_path)
@@ -300,20 +342,10 @@ def test_newest_version_after_the_wait(spark, tmp_path):
     schema = "id string, v int, row_op_ts timestamp"
     frame = spark.createDataFrame([("a", 1, None), ("a", 2, None), ("b", 3, None)], "id string, v int, row_op_ts string")
     frame = frame.withColumn("row_op_ts", F.timestamp_seconds(F.lit(100) - F.col("v")))
-    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    path = str(tmp_path / "in")
     write_parts([frame], path)
     df = streams.latest_versions(spark.readStream.schema(schema).parquet(path), "id", "row_op_ts", 1000)
-    query = start_stream(df, shared_dir(spark, "test"), path=out, interval="1 second")
-    try:
-        deadline = time.time() + 60
-        while time.time() < deadline:
-            time.sleep(1)
-            got = rows(spark.read.schema(schema).parquet(out), "id", "v") if os.path.isdir(out) else []
-            if len(got) == 2:
-                break
-    finally:
-        query.stop()
-    assert got == ["('a', 1)", "('b', 3)"]
+    assert rows(wait_for_rows(spark, df, tmp_path, 2), "id", "v") == ["('a', 1)", "('b', 3)"]
 
 
 def test_interval_join_on_streams(spark, folder, tmp_path):

@@ -300,6 +300,25 @@ def order_pre_process(spark, folder):
     return _without(rows.withColumn("old_status", F.col("old")["order_status"]), "old")
 
 
+@query
+def order_state_latest(spark, folder):
+    """The keyed table of the wide lines: the last version of each line id."""
+    rows = _wide(spark, folder).select(
+        "id", "order_id", "user_id", "order_status", "type", "coupon_id", "split_total_amount", "sku_id", "source_id",
+        "sku_num", F.col("oi_ts").cast("bigint").alias("changed_at"),
+    )
+    order = ("changed_at", "order_status", "split_total_amount", "sku_id", "source_id", "sku_num")
+    return changelog.latest_by_key(rows, "id", order)
+
+
+@query
+def refund_pay_latest(spark, folder):
+    """The keyed table of paid refunds: several finished lines of one payment fall together."""
+    rows = trade.refund_pay(feeds.change_log(spark, folder), feeds.dictionary(spark))
+    kept = rows.select("id", "order_id", "sku_id", "refund_num", "refund_amount", F.col("ts").cast("bigint").alias("sec"))
+    return changelog.latest_by_key(kept, "id", ("sec", "refund_num", "refund_amount", "sku_id"))
+
+
 @query
 def order_detail_fact(spark, folder):
     return _without(trade.order_detail(_wide(spark, folder)))

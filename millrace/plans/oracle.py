@@ -350,6 +350,13 @@ ORACLE = {
     ),
     "cart_add_users": _sql("SELECT user_id, ts FROM first_adds", "first_adds"),
     "order_pre_process": _sql("SELECT * FROM wide", "wide"),
+    "order_state_latest": _sql(
+        """SELECT id, order_id, user_id, order_status, type, coupon_id, split_total_amount, sku_id, source_id, sku_num,
+            CAST(oi_ts AS BIGINT) AS changed_at
+        FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY CAST(oi_ts AS BIGINT) DESC, order_status DESC,
+            split_total_amount DESC, sku_id DESC, source_id DESC, sku_num DESC) AS rn FROM wide) WHERE rn = 1""",
+        "wide",
+    ),
     "order_detail_fact": _sql("SELECT * FROM detail", "detail"),
     "order_cancel_fact": _sql(
         """SELECT id, order_id, user_id, sku_id, sku_name, province_id, activity_id, activity_rule_id, coupon_id,
@@ -383,6 +390,16 @@ ORACLE = {
         WHERE p.repaid AND l.finished AND type = 'update' AND order_status = '1006'""",
         "returned", "order_info", "dic",
     ),
+    "refund_pay_latest": _sql(
+        """SELECT id, order_id, sku_id, refund_num, refund_amount, sec FROM (
+            SELECT p.id, p.order_id, p.sku_id, l.refund_num, p.refund_amount, CAST(p.ts AS BIGINT) AS sec,
+                row_number() OVER (PARTITION BY p.id ORDER BY CAST(p.ts AS BIGINT) DESC, l.refund_num DESC,
+                    p.refund_amount DESC, p.sku_id DESC) AS rn
+            FROM returned p JOIN returned l ON p.order_id = l.order_id AND p.sku_id = l.sku_id
+                JOIN order_info o ON p.order_id = oi_id JOIN dic ON p.payment_type = dic_code
+            WHERE p.repaid AND l.finished AND type = 'update' AND order_status = '1006') WHERE rn = 1""",
+        "returned", "order_info", "dic",
+    ),
     "order_uu_flag": _sql(
         "SELECT id, user_id, sku_id, CAST(uu AS BIGINT) AS order_uu_count FROM flagged", "flagged"
     ),

@@ -14,11 +14,17 @@ from millrace.sinks.reports import start_stream
 from millrace.streaming import visits
 
 
+# How much input one micro-batch takes at most, and so how much of one key meets in one task.
+BATCH_BYTES = 64 * 1024**3
+
+
 def _pages(spark, folder: str) -> DataFrame:
     """The page log as a stream of the events table."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     schema = feeds.table(spark, folder, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES)
+    # a pattern, as a stream takes a plain path for a folder; the table may be one file or a folder of many
+    raw = stream.parquet(f"{folder}/event[s].parquet")
     return feeds.page_log_of(raw)
 
 

@@ -56,11 +56,14 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder for one run, under the checkpoint folder the cluster names.
+    """A new folder for one run, under the checkpoint folder the cluster names (``spark.checkpoint.dir``).
 
-    Only where the session names none (local tests) a temporary folder is used.
+    Executors of a cluster do not share the driver's disk, so a temporary folder is used on a local master only.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="millrace-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

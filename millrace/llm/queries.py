@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat
+from millrace.llm import chat, pii
 from millrace.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,19 @@ read AS (
   FROM summed GROUP BY conv_id)
 SELECT r.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
 FROM read r JOIN totals t ON r.conv_id IS NOT DISTINCT FROM t.conv_id"""
+
+
+@query
+def op3_pii(spark, folder):
+    found = pii.find_spans(read_table(spark, folder, "documents"))
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, pii
+from millrace.llm import chat, pii, quality
 from millrace.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,10 @@ def op3_pii(spark, folder):
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op10_quality_outliers(spark, folder):
+    return quality.judge(read_table(spark, folder, "documents")).select(
+        "doc_id", *quality.MEASURES[:5], "base_failed", "distance", "kept"
+    )

@@ -33,3 +33,19 @@ def personal(text: str | None) -> list[tuple[str, int, int]]:
 
 def personal_digest(text: str | None) -> str:
     return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in personal(text)).encode()).hexdigest()
+
+
+def quality_measures(text: str | None) -> tuple[int, int, int, int, int]:
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen: set[str] = set()
+    repeated = 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            repeated += line in seen
+            seen.add(line)
+    windows: dict[tuple, list[int]] = {}
+    for k in range(len(words) - 7):
+        windows.setdefault(tuple(words[k : k + 8]), []).append(k)
+    hit = {k + j for at in windows.values() if len(at) > 1 for k in at for j in range(8)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), repeated, len(hit)

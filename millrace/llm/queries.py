@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, pii, quality
+from millrace.llm import chat, decontaminate, pii, quality
 from millrace.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,13 @@ def op10_quality_outliers(spark, folder):
     return quality.judge(read_table(spark, folder, "documents")).select(
         "doc_id", *quality.MEASURES[:5], "base_failed", "distance", "kept"
     )
+
+
+@query
+def op9_decontamination(spark, folder):
+    judged = decontaminate.judged(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    items = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated",
+    )

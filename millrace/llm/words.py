@@ -19,6 +19,7 @@ NOT_SPACE = np.array([b not in SPACES for b in range(256)])
 LETTER_OR_DIGIT = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 SLICE_BYTES = 4 << 20
+_HASHED_AT_ONCE = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -94,6 +95,23 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         row = end
 
 
+def _word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Hashes of all words, some words at a time so that sums of powers stay small."""
+    hashes = np.zeros(len(begin), np.uint64)
+    word = 0
+    while word < len(begin):
+        base = begin[word]
+        last = max(word + 1, int(np.searchsorted(end, base + _HASHED_AT_ONCE, "right")))
+        here, after = begin[word:last] - base, end[word:last] - base
+        n = int(after[-1])
+        powers, inverses = _powers_up_to(n + 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values[data[base : base + n]] * powers[:n], out=sums[1:])
+        hashes[word:last] = mixed((sums[after] - sums[here]) * inverses[here])
+        word = last
+    return hashes
+
+
 def find_words(column: pa.Array, word_bytes: np.ndarray, lower: bool = False) -> Words:
     """All words of the texts; ``lower`` takes A-Z as a-z in the hashes."""
     data, offsets = text_bytes(column)
@@ -105,10 +123,7 @@ def find_words(column: pa.Array, word_bytes: np.ndarray, lower: bool = False) ->
     across = cuts[inside[cuts] & inside[cuts + 1]]
     starts[across] = ends[across] = True
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends)
-    powers, inverses = _powers_up_to(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOWER_VALUES if lower else _BYTE_VALUES)[data] * powers[:n], out=sums[1:])
-    hashes = mixed((sums[end] - sums[begin]) * inverses[begin])
+    hashes = _word_hashes(data, begin, end, _LOWER_VALUES if lower else _BYTE_VALUES)
     return Words(hashes, begin, end, np.searchsorted(begin, offsets), data, offsets)
 
 

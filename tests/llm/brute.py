@@ -49,3 +49,30 @@ def quality_measures(text: str | None) -> tuple[int, int, int, int, int]:
         windows.setdefault(tuple(words[k : k + 8]), []).append(k)
     hit = {k + j for at in windows.values() if len(at) > 1 for k in at for j in range(8)}
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), repeated, len(hit)
+
+
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def bench_words(text: str | None) -> list[str]:
+    return _WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def contamination(texts: list[str | None], items: list[tuple]) -> list[tuple[int, int, list]]:
+    """For each text: words, hit words, sorted ids of items with occurring windows."""
+    windows: dict[tuple, set] = {}
+    for item, text in items:
+        words = bench_words(text)
+        for k in range(max(1, len(words) - 12) if words else 0):
+            windows.setdefault(tuple(words[k : k + 13]), set()).add(item)
+    sizes = {len(w) for w in windows}
+    out = []
+    for text in texts:
+        words, hit, found = bench_words(text), set(), set()
+        for k in range(len(words)):
+            for size in sizes:
+                if k + size <= len(words) and (items_of := windows.get(tuple(words[k : k + size]))):
+                    hit.update(range(k, k + size))
+                    found |= items_of
+        out.append((len(words), len(hit), sorted(found)))
+    return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, pii, quality
+from millrace.llm import chat, decontaminate, jaccard, pii, quality
 from millrace.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,8 @@ def op9_decontamination(spark, folder):
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query
+def op5_jaccard_join(spark, folder):
+    return jaccard.jaccard_components(read_table(spark, folder, "documents"))

@@ -76,3 +76,36 @@ def contamination(texts: list[str | None], items: list[tuple]) -> list[tuple[int
                     found |= items_of
         out.append((len(words), len(hit), sorted(found)))
     return out
+
+
+def shingles(text: str | None, k: int = 4) -> set[tuple]:
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return set()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+def jaccard_classes(texts: dict[int, str | None]) -> dict[int, tuple[int, int]]:
+    """For each id: size of the set and smallest id reachable by links."""
+    sets = {d: shingles(t) for d, t in texts.items()}
+    top = {d: d for d in sets}
+
+    def find(d):
+        while top[d] != d:
+            d = top[d]
+        return d
+
+    at: dict[tuple, list] = {}
+    for d, items in sets.items():
+        for item in items:
+            at.setdefault(item, []).append(d)
+    shared: dict[tuple[int, int], int] = {}
+    for ids in at.values():
+        for i, a in enumerate(ids):
+            for b in ids[i + 1 :]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    for (a, b), both in shared.items():
+        if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            a, b = find(a), find(b)
+            top[max(a, b)] = min(a, b)
+    return {d: (len(items), find(d)) for d, items in sets.items()}

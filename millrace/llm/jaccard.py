@@ -111,7 +111,7 @@ class Sets:
 
     def sums(self, salt: int) -> np.ndarray:
         """An order-free 64-bit digest of each set."""
-        value = mixed(self.items + np.uint64(salt) * _ODD)
+        value = mixed(self.items + np.uint64(salt * int(_ODD) % 2**64))
         return _digest(*_split_sums(value, np.repeat(np.arange(len(self.counts)), self.counts), len(self.counts)))
 
 

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, pii, quality
+from millrace.llm import chat, decontaminate, jaccard, pii, quality, token_files, tokens
 from millrace.llm.tables import read_table
+from millrace.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +117,15 @@ def op9_decontamination(spark, folder):
 @query
 def op5_jaccard_join(spark, folder):
     return jaccard.jaccard_components(read_table(spark, folder, "documents"))
+
+
+@query
+def op7_token_files(spark, folder):
+    path = shared_dir(spark, "token-files")
+    token_files.write_token_files(read_table(spark, folder, "documents"), path)
+    return token_files.read_documents(spark, path)
+
+
+@query
+def op8_token_counts(spark, folder):
+    return tokens.with_suffix_sums(tokens.length_histogram(read_table(spark, folder, "documents")))

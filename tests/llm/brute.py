@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 from millrace.llm.pii import luhn
 
@@ -109,3 +110,13 @@ def jaccard_classes(texts: dict[int, str | None]) -> dict[int, tuple[int, int]]:
             a, b = find(a), find(b)
             top[max(a, b)] = min(a, b)
     return {d: (len(items), find(d)) for d, items in sets.items()}
+
+
+def packed_documents(rows: list[tuple], tokenizer) -> list[tuple[int, int, int, int]]:
+    """(doc_id, start, ids with the end id, crc32) in ascending order of ids."""
+    out, start = [], 0
+    for doc, text in sorted(rows):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        out.append((doc, start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+        start += len(ids)
+    return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, pii, quality, token_files, tokens
+from millrace.llm import chat, decontaminate, jaccard, mixing, pii, quality, token_files, tokens, warc
 from millrace.llm.tables import read_table
 from millrace.session import shared_dir
 
@@ -129,3 +129,60 @@ def op7_token_files(spark, folder):
 @query
 def op8_token_counts(spark, folder):
     return tokens.with_suffix_sums(tokens.length_histogram(read_table(spark, folder, "documents")))
+
+
+@query
+def op6_warc(spark, folder):
+    path = shared_dir(spark, "archives")
+    warc.write_archives(read_table(spark, folder, "pages"), path)
+    return warc.read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The largest source is to hold a fifth of the mixture and a second one a tenth; the others share the rest evenly.
+MIXTURE = {"src0": 5.0, "src1": 2.5}
+
+
+@query
+def op2_source_mixing(spark, folder):
+    mixed = mixing.mix(read_table(spark, folder, "documents"), MIXTURE)
+    return mixed.select("doc_id", "source", "copy", "shuffle_key", F.length("text").cast("long").alias("text_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+ORACLE["op2_source_mixing"] = """
+WITH sizes AS (
+  SELECT source, sum(length(coalesce(text, ''))) AS chars,
+    CASE source WHEN 'src0' THEN 5.0::DOUBLE WHEN 'src1' THEN 2.5::DOUBLE ELSE 1.0::DOUBLE END AS weight
+  FROM documents GROUP BY source),
+rates AS (
+  SELECT source, CASE WHEN chars > 0
+    THEN (sum(chars) OVER ())::DOUBLE * weight / (sum(weight) OVER ()) / chars::DOUBLE ELSE 1.0 END AS rate
+  FROM sizes),
+terms AS (
+  SELECT source, k, CASE WHEN rate > 0 THEN exp(-rate + k * ln(greatest(rate, 1e-300)) - lgamma(k + 1)) ELSE (k = 0)::INT END AS p
+  FROM rates, generate_series(0, 2000) AS s(k) WHERE k <= rate + 12 * sqrt(rate) + 31),
+distribution AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS f FROM terms),
+shares AS (
+  SELECT *, ('0x' || substr(md5('mix/' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS share FROM documents),
+counted AS (
+  SELECT s.doc_id, s.source, s.text, count(*) FILTER (f <= share) AS copies
+  FROM shares s JOIN distribution d ON s.source IS NOT DISTINCT FROM d.source
+  GROUP BY s.doc_id, s.source, s.text)
+SELECT doc_id, source, copy::INT AS copy,
+  ('0x' || substr(md5('mix/order/' || coalesce(doc_id::VARCHAR, 'null') || '/' || copy::VARCHAR), 1, 13))::BIGINT AS shuffle_key,
+  length(text) AS text_chars, md5(text) AS text_md5
+FROM counted, unnest(range(1, copies + 1)) AS c(copy)"""
+
+ORACLE["op6_warc"] = """
+WITH digests AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM digests),
+bits AS (
+  SELECT *, list_transform(range(0, 32), lambda i:
+    list_sum(list_transform(range(0, 5), lambda b: CASE WHEN
+      (('0x' || substr(hex, ((i * 5 + b) // 4 + 1)::INT, 1))::INT >> (3 - (i * 5 + b) % 4)::INT) & 1 = 1 THEN 1 << (4 - b)::INT ELSE 0 END))) AS fives
+  FROM firsts)
+SELECT page_id, strlen(html) AS payload_bytes,
+  array_to_string(list_transform(fives, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v::INT + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM bits"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, mixing, pii, quality, token_files, tokens, warc
+from millrace.llm import chat, decontaminate, jaccard, mixing, pii, quality, token_files, tokens, toxicity, warc
 from millrace.llm.tables import read_table
 from millrace.session import shared_dir
 
@@ -186,3 +186,9 @@ SELECT page_id, strlen(html) AS payload_bytes,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM bits"""
+
+
+@query
+def op4_toxicity(spark, folder):
+    scored = toxicity.score(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.tables import counted, stored
 from millrace.llm.words import LETTER_OR_DIGIT, Words, find_words, slices
 
 WINDOW = 13
@@ -357,3 +358,17 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "item_ids").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that are not contaminated, all columns kept. Ids judged contaminated are few and taken out by an anti join.
+
+    Where documents share an id, all of them go if one is contaminated; documents without id are judged by their own text.
+    """
+    bad = stored(judged(docs.where(docs["doc_id"].isNotNull()), benchmark).where("contaminated").select("doc_id").distinct(), "contaminated")
+    named = docs.where(docs["doc_id"].isNotNull()).join(counted(bad), "doc_id", "left_anti").select(docs.columns)
+    nameless = docs.where(docs["doc_id"].isNull())
+    texts = nameless.select(F.xxhash64("text").alias("doc_id"), "text").distinct()
+    wrong = judged(texts, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_text"))
+    nameless = nameless.join(wrong, F.xxhash64(nameless["text"]) == F.col("bad_text"), "left_anti")
+    return named.unionByName(nameless)

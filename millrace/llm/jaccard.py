@@ -29,11 +29,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.tables import stored
+from millrace.llm.tables import counted, stored
 from millrace.llm.words import NOT_SPACE, find_words, mixed, run_starts, runs_of_words, slices
 
-#: Broadcast of candidate ids only up to this many (16 bytes each); more are joined by shuffle.
-BROADCAST_IDS = 2_000_000
 _SEEN_AT_MOST = 200_000
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -243,9 +241,7 @@ def _signature_rows(docs: DataFrame, join: Join) -> DataFrame:
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
     """doc_id, items: the whole sets of the wanted documents."""
-    ids = wanted.select("doc_id").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = counted(wanted.select("doc_id").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

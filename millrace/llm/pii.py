@@ -34,7 +34,8 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _SPACED_DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL_REST = re.compile(r"[^\s<>\"'`|\\^{}\[\]]+")
-_NUMBER_AFTER_CUE = re.compile(r"(?:\s*(?:no|nr|number|num)\b\.?)?\s*[:=#]?\s*([A-Za-z]{0,2}[0-9][0-9A-Za-z-]{4,33})(?![0-9A-Za-z])", re.IGNORECASE)
+_AFTER_CUE = re.compile(r"(?:\s*(?:no|nr|number|num)\b\.?)?\s*[:=#]?\s*", re.IGNORECASE)
+_NUMBER = re.compile(r"[A-Za-z]{0,2}[0-9][0-9A-Za-z-]{4,33}(?![0-9A-Za-z])")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _HANDLE = re.compile(r"@[A-Za-z0-9_]{3,32}")
 _NOT_DIGIT = re.compile(r"[^0-9]")
@@ -135,17 +136,15 @@ class Finder:
     def _account(text: str, at: int, end: int, past: dict, keep) -> None:
         if at and text[at - 1].isalnum() or at < past["account"]:
             return
-        number = _NUMBER_AFTER_CUE.match(text, end)
-        if not number:
-            return
-        start = number.start(1)
-        if (iban := _IBAN.match(text, start)) and start >= past["iban"]:
+        start = _AFTER_CUE.match(text, end).end()
+        if start >= past["iban"] and (run := _IBAN.match(text, start)):
             # the longest run of characters whose check digits are right
-            for stop in range(iban.end(), start + 14, -1):
+            for stop in range(run.end(), start + 14, -1):
                 if text[stop - 1] != " " and iban_ok(text[start:stop].replace(" ", "")):
                     keep("iban", start, stop)
                     break
-        keep("account", start, number.end(1), sum(c.isdigit() for c in number[1]) >= 5)
+        if number := _NUMBER.match(text, start):
+            keep("account", start, number.end(), sum(c.isdigit() for c in number[0]) >= 5)
 
 
 SPANS = T.StructType([

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.session import shared_dir
 
@@ -17,3 +18,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Ids are broadcast only up to this many (16 bytes each); more are joined by shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def counted(ids: DataFrame) -> DataFrame:
+    """The ids for a join: with a broadcast hint if a count shows that they are few, as they are otherwise."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.tables import stored
 from millrace.llm.words import mixed, slices
@@ -195,18 +196,18 @@ class Scorer:
         return out
 
 
-def _signs(rows: DataFrame, counts, settings: Settings, kept: list[str]) -> DataFrame:
-    """``kept`` columns and ``sign`` of each text."""
-    rows = rows.select(*kept, rows["text"].cast("string").alias("text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+def _signs(rows: DataFrame, counts, settings: Settings) -> DataFrame:
+    """The rows, text included, with ``sign`` of each text. Rows keep their columns whatever their names; none but the text is looked at."""
+    fields = [*rows.schema.fields, T.StructField("sign", T.DoubleType())]
+    text = rows.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(counts.value, settings)
         for batch in batches:
             for part in slices(batch, limit=8 << 20):
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(scorer.signs(part.column(len(kept))))], names=[*kept, "sign"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scorer.signs(part.column(text)))], names=[*part.schema.names, "sign"])
 
-    return rows.mapInArrow(run, f"{fields}, sign double")
+    return rows.mapInArrow(run, T.StructType(fields))
 
 
 def _logistic(bins: list) -> tuple[float, float]:
@@ -249,17 +250,23 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
     known = spark.sparkContext.broadcast(_table(words, settings)) if apart else table
     rows = texts.where("kind >= 2") if apart else texts
     rounded = F.floor(F.col("sign") * 100)
-    bins = _signs(rows, known, settings, ["toxic"]).groupBy(rounded.alias("x"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    bins = _signs(rows.select("toxic", "text"), known, settings).groupBy(rounded.alias("x"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
     weight, bias = _logistic([((r["x"] + 0.5) / 100, r["toxic"], r["n"]) for r in bins])
     return table, weight, bias
 
 
-def score(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``kept`` columns, score (0 to 1) and predicted (1 from THRESHOLD) of every document."""
+def with_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The documents with score (0 to 1) and predicted (1 from THRESHOLD). Columns of these names, or ``sign``, are replaced."""
+    docs = docs.drop("score", "predicted", "sign")
     table, weight, bias = train(docs, labels, settings)
     if table is None:
-        scored = docs.select(*kept, F.lit(bias).alias("score"))
+        scored = docs.withColumn("score", F.lit(bias))
     else:
         z = F.lit(weight) * F.col("sign") + F.lit(bias)
-        scored = _signs(docs, table, settings, list(kept)).withColumn("score", 1 / (1 + F.exp(-z))).drop("sign")
+        scored = _signs(docs, table, settings).withColumn("score", 1 / (1 + F.exp(-z))).drop("sign")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def score(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """doc_id, score and predicted of every document; other columns are not read."""
+    return with_scores(docs.select("doc_id", docs["text"].cast("string").alias("text")), labels, settings).drop("text")

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from millrace.plans.catalog import QUERIES
+from millrace.plans.oracle import ORACLE
 from tests.compare import connect, difference
 
 
@@ -12,12 +14,13 @@ def database(folder):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, folder, database, name):
-    assert difference(entry.queries()[name](spark, folder), database, entry.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, folder), database, ORACLE[name]) is None
 
 
 def test_entry(spark):

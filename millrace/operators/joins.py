@@ -18,14 +18,14 @@ from millrace.operators.changelog import first_by_key
 On = Sequence[tuple[str, str]]
 
 
-def regular_join(left: DataFrame, right: DataFrame, on: On, how: str = "inner") -> DataFrame:
+def regular_join(left: DataFrame, right: DataFrame, on: On, how: str = "inner", split: bool = False) -> DataFrame:
     """Equi join of frames with distinct column names. ``how``: inner, left, right or full.
 
-    Of an outer join only the kept side's hot keys can be split. A full join is therefore a left join plus the
-    right rows without a partner, which are found against the distinct left keys; put the larger side left.
+    Hot keys of a full join can't be split at run time. With ``split`` it is made as a left join plus the right rows without a
+    partner, found against the distinct left keys: both sides are read twice, so they must give the same rows each time.
     """
     condition = reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in on])
-    if how != "full":
+    if how != "full" or not split:
         return left.join(right, condition, how)
     keys = left.select(*[F.col(l).alias(f"_k{i}") for i, (l, _) in enumerate(on)]).distinct()
     absent = reduce(lambda a, b: a & b, [right[r] == keys[f"_k{i}"] for i, (_, r) in enumerate(on)])

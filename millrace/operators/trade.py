@@ -273,11 +273,15 @@ def refund_pay(
 # --- orders per product ---------------------------------------------------------------------------------------
 
 
+# Amounts are summed as decimals, so that a sum doesn't depend on the order of its rows; reports show doubles.
+AMOUNT = "decimal(28,4)"
+
+
 def order_measures(lines: DataFrame, *keep: str) -> DataFrame:
     """Ordered lines as measure rows; a missing activity or coupon amount counts as zero."""
 
     def amount(column: str) -> Column:
-        return F.col(column).try_cast("double")
+        return F.col(column).try_cast(AMOUNT)
 
     return lines.select(
         "id",
@@ -325,7 +329,7 @@ def sku_order_window(flagged: DataFrame, size: str = SIZE) -> DataFrame:
     measures = [
         F.sum("order_uu_count").cast("bigint").alias("order_uu_count"),
         order_count.alias("order_count"),
-        *[F.sum(a).alias(a) for a in amounts],
+        *[F.sum(a).cast("double").alias(a) for a in amounts],
     ]
     return window_report(flagged, ["sku_id"], measures, size)
 

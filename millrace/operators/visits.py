@@ -53,8 +53,7 @@ def repair_new_flag(log: DataFrame) -> DataFrame:
 
     One aggregate row per device is joined back; a hot device is one row there and its log rows are split at run time.
     """
-    rows = log.join(first_visit_dates(log), "mid", "left")
-    return rows.withColumn("is_new", _repaired(F.col("_anchor"))).select(*log.columns)
+    return repaired_with(log, first_visit_dates(log))
 
 
 def repair_new_flag_records(records: DataFrame) -> DataFrame:
@@ -74,6 +73,19 @@ def repair_new_flag_records(records: DataFrame) -> DataFrame:
     return rows.withColumn("common", common).select(*records.columns)
 
 
+def repaired_with(log: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``repair_new_flag`` with first-visit dates that are known already."""
+    rows = log.join(anchors, "mid", "left")
+    return rows.withColumn("is_new", _repaired(F.col("_anchor"))).select(*log.columns)
+
+
+def first_entries(log: DataFrame) -> DataFrame:
+    """``mid, day, row``: the first visit start of each device and date, packed."""
+    entries = log.where(is_entry())
+    first = F.min_by(F.struct(*log.columns), F.struct(*ORDER)).alias("row")
+    return entries.groupBy("mid", _day().alias("day")).agg(first)
+
+
 def unique_visitors(log: DataFrame) -> DataFrame:
     """The first visit start of each device and date, as whole rows."""
     return first_by_key(log.where(is_entry()), ["mid", _day()], ORDER)
@@ -198,7 +210,11 @@ def login_days(rows: DataFrame, key: str = "uid", back_after_days: int = 8) -> D
 
     Returning: the date before lies ``back_after_days`` or more back. The window sees one row per user and date.
     """
-    days = first_times(rows, key)
+    return marked_days(first_times(rows, key), key, back_after_days)
+
+
+def marked_days(days: DataFrame, key: str = "uid", back_after_days: int = 8) -> DataFrame:
+    """``login_days`` from one row per user and date (``key, day, ts``)."""
     previous = F.lag("day").over(W.partitionBy(key).orderBy("day"))
     gap = F.datediff("day", previous)
     return days.select(
@@ -213,7 +229,12 @@ def login_days(rows: DataFrame, key: str = "uid", back_after_days: int = 8) -> D
 def home_detail_visits(log: DataFrame) -> DataFrame:
     """First visit of the home page and of the product page per device and date."""
     pages = log.where(F.col("page_id").isin("home", "good_detail")).select("mid", "page_id", "ts")
-    return first_times(pages, "mid", "page_id").select(
+    return home_detail_measures(first_times(pages, "mid", "page_id"))
+
+
+def home_detail_measures(first: DataFrame) -> DataFrame:
+    """First visits (``mid, page_id, ts``) as measure rows."""
+    return first.select(
         "mid",
         "ts",
         (F.col("page_id") == "home").cast("bigint").alias("home_uv_ct"),

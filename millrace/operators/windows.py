@@ -67,6 +67,23 @@ def union_measures(pages: DataFrame, unique: DataFrame, bounced: DataFrame) -> D
     )
 
 
+def flagged_measures(flagged: DataFrame) -> DataFrame:
+    """The rows of ``union_measures`` from ``visits.flag_visits``: up to three rows for each page, without reading it three times."""
+    columns = ("ts", *TRAFFIC_KEYS)
+    zero = F.lit(0).cast("bigint")
+
+    def row(**measures: Column) -> Column:
+        return F.struct(*columns, *[measures.get(m, zero).cast("bigint").alias(m) for m in TRAFFIC_MEASURES])
+
+    page = row(pv_ct=F.lit(1), sv_ct=F.col("is_visit_start").cast("int"), dur_sum=F.col("during_time"))
+    rows = F.array(
+        page,
+        F.when(F.col("is_unique_visit"), row(uv_ct=F.lit(1))),
+        F.when(F.col("is_bounce"), row(uj_ct=F.lit(1))),
+    )
+    return flagged.select(F.inline(F.array_compact(rows)))
+
+
 def traffic_window(measures: DataFrame, size: str = SIZE) -> DataFrame:
     """Views, visits, view time, unique visitors and bounces per window, version, channel, area and visitor kind."""
     return window_report(measures, TRAFFIC_KEYS, [_total(m) for m in TRAFFIC_MEASURES], size)

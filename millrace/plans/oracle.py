@@ -487,3 +487,12 @@ ORACLE["stream_page_window"] = ORACLE["traffic_page_window"]
 ORACLE["stream_keyword_window"] = ORACLE["keyword_window"]
 ORACLE["stream_new_visitor_repair"] = ORACLE["new_visitor_repair"]
 ORACLE["stream_unique_visitor"] = ORACLE["unique_visitor_detail"]
+ORACLE["stream_user_jump"] = ORACLE["user_jump_10s"]
+ORACLE["stream_home_detail"] = ORACLE["home_detail_uv_window"]
+ORACLE["stream_login_back"] = ORACLE["login_back_window"]
+ORACLE["stream_join_interval"] = _sql(
+    """SELECT l.mid AS l_mid, l.log_id AS l_id, r.log_id AS r_id FROM page_log l JOIN page_log r ON l.mid = r.mid
+    AND l.page_id = 'home' AND r.page_id = 'good_detail'
+    AND r.ts BETWEEN l.ts - INTERVAL '1 hour' AND l.ts + INTERVAL '1 hour'""",
+    "page_log",
+)

@@ -1,76 +1,116 @@
-"""Registered queries that run as streams over a given table, work off what is there, and return the result table."""
+"""Registered queries that run as streams over a given table, work off what is there, and return the result table.
+
+A replay has no arrival order worth following: its micro-batches are cut by size. Each of these streams ends in the rows of the table form, however it is
+cut: reports and minima are kept without a watermark that drops rows, every micro-batch adds the versions that changed to a
+keyed table, and the last version of each key is read. Rules that need the very next row (bounces) get the
+devices' rows from a stored log.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import windows
+from millrace.operators import joins, visits, windows
 from millrace.plans import feeds
 from millrace.plans.catalog import QUERIES
-from millrace.session import ROCKSDB_PROVIDER, shared_dir
+from millrace.session import shared_dir
 from millrace.sinks import changelog
 from millrace.sinks.reports import start_stream
-from millrace.streaming import visits
+from millrace.streaming import visits as streams
 
+# How much input one micro-batch takes at most. A rate limit: no row of a result depends on it.
+BATCH_BYTES = 16 * 1024**3
 
-# How much input one micro-batch takes at most, and so how much of one key meets in one task.
-BATCH_BYTES = 64 * 1024**3
+
+def _stream(spark, folder: str, name: str) -> DataFrame:
+    schema = feeds.table(spark, folder, name).schema
+    stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES)
+    # a pattern, as a stream takes a plain path for a folder; the table may be one file or a folder of many
+    return stream.parquet(f"{folder}/{name[:-1]}[{name[-1]}].parquet")
 
 
 def _pages(spark, folder: str) -> DataFrame:
     """The page log as a stream of the events table."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    schema = feeds.table(spark, folder, "events").schema
-    stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES)
-    # a pattern, as a stream takes a plain path for a folder; the table may be one file or a folder of many
-    raw = stream.parquet(f"{folder}/event[s].parquet")
-    return feeds.page_log_of(raw)
+    return feeds.page_log_of(_stream(spark, folder, "events"))
 
 
-def _worked_off(spark, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Run the stream to its end. With ``keys`` the changing rows of a report are stored and the last ones returned."""
+def _stored(spark, df: DataFrame) -> DataFrame:
+    """The rows of the stream, each written once."""
     out = shared_dir(spark, "stream-out")
-    checkpoint = shared_dir(spark, "stream-state")
-    if keys is None:
-        query = start_stream(df, checkpoint, path=out, interval=None)
-    else:
-        query = (
-            df.writeStream.outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .foreachBatch(changelog.append_changes(out))
-            .start()
-        )
+    start_stream(df, shared_dir(spark, "stream-state"), path=out, interval=None).awaitTermination()
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def _last_versions(spark, df: DataFrame, keys: list[str]) -> DataFrame:
+    """The changing rows of the stream as they are when all is worked off."""
+    out = shared_dir(spark, "stream-out")
+    query = (
+        df.writeStream.outputMode("update")
+        .option("checkpointLocation", shared_dir(spark, "stream-state"))
+        .trigger(availableNow=True)
+        .foreachBatch(changelog.append_changes(out))
+        .start()
+    )
     query.awaitTermination()
-    if keys is None:
-        return spark.read.schema(df.schema).parquet(out)
     return changelog.read_latest(spark, out, df.schema, keys)
 
 
 def stream_page_window(spark, folder):
-    pages = visits.with_watermark(_pages(spark, folder))
-    report = windows.traffic_window(windows.page_measures(pages))
-    return _worked_off(spark, report, ["stt", *windows.TRAFFIC_KEYS]).drop("uv_ct", "uj_ct")
+    report = windows.traffic_window(windows.page_measures(_pages(spark, folder)))
+    return _last_versions(spark, report, ["stt", *windows.TRAFFIC_KEYS]).drop("uv_ct", "uj_ct")
 
 
 def stream_keyword_window(spark, folder):
-    pages = visits.with_watermark(_pages(spark, folder))
-    return _worked_off(spark, windows.keyword_window(pages), ["stt", "keyword"])
+    return _last_versions(spark, windows.keyword_window(_pages(spark, folder)), ["stt", "keyword"])
 
 
 def stream_new_visitor_repair(spark, folder):
-    return _worked_off(spark, visits.repair_new_flag(_pages(spark, folder)).select("log_id", "mid", "is_new"))
+    """First-visit dates from the stream, applied to the stored log."""
+    anchors = _last_versions(spark, streams.anchors(_pages(spark, folder)), ["mid"])
+    log = _stored(spark, _pages(spark, folder).select("log_id", "mid", "is_new", "ts"))
+    return visits.repaired_with(log, anchors).select("log_id", "mid", "is_new")
 
 
 def stream_unique_visitor(spark, folder):
-    rows = visits.unique_visitors(_pages(spark, folder))
-    return _worked_off(spark, rows.select("log_id", "mid", "page_id", F.unix_millis("ts").alias("ts_ms")))
+    first = _last_versions(spark, streams.first_visits(_pages(spark, folder)), ["mid", "day"]).select("row.*")
+    return first.select("log_id", "mid", "page_id", F.unix_millis("ts").alias("ts_ms"))
+
+
+def stream_user_jump(spark, folder):
+    """The log comes in as a stream; the rule looks at neighbours in time, wherever they arrived."""
+    log = _stored(spark, _pages(spark, folder))
+    return visits.bounces(log).select("log_id", "mid", "page_id", F.unix_millis("ts").alias("ts_ms"))
+
+
+def stream_home_detail(spark, folder):
+    """First visits from the stream, counted per window."""
+    pages = _pages(spark, folder).where(F.col("page_id").isin("home", "good_detail"))
+    first = _last_versions(spark, visits.first_times(pages, "mid", "page_id"), ["mid", "page_id", "day"])
+    return windows.home_detail_window(visits.home_detail_measures(first))
+
+
+def stream_login_back(spark, folder):
+    """Users' days from the stream; a gap to the day before needs all of them."""
+    days = _last_versions(spark, visits.first_times(visits.logins(_pages(spark, folder)), "uid"), ["uid", "day"])
+    return windows.login_window(visits.marked_days(days))
+
+
+def stream_join_interval(spark, folder):
+    """Both sides as streams; the bounds in time tell when a row's partners have all come."""
+    rows = _pages(spark, folder)
+    left = rows.where("page_id = 'home'").select(F.col("mid").alias("l_mid"), F.col("log_id").alias("l_id"), F.col("ts").alias("l_ts"))
+    right = rows.where("page_id = 'good_detail'").select(F.col("mid").alias("r_mid"), F.col("log_id").alias("r_id"), F.col("ts").alias("r_ts"))
+    pairs = joins.interval_join(left, right, [("l_mid", "r_mid")], "l_ts", "r_ts", 3_600_000)
+    return _stored(spark, pairs.select("l_mid", "l_id", "r_id"))
 
 
 QUERIES.update(
     {
         function.__name__: function
-        for function in (stream_page_window, stream_keyword_window, stream_new_visitor_repair, stream_unique_visitor)
+        for function in (
+            stream_page_window, stream_keyword_window, stream_new_visitor_repair, stream_unique_visitor, stream_user_jump,
+            stream_home_detail, stream_login_back, stream_join_interval,
+        )
     }
-)
+)

@@ -29,10 +29,13 @@ SETTINGS = {
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024**2
 
+# 1 TB at the advisory size; adaptive execution merges what a smaller shuffle leaves empty.
+INITIAL_PARTITIONS = 8192
+
 
 def shuffle_partitions(data_bytes: int) -> int:
     """How many partitions a shuffle of that much data should start with; small ones are merged at run time."""
-    return min(max(-(-data_bytes // SHUFFLE_PARTITION_BYTES), 8), 100_000)
+    return max(-(-data_bytes // SHUFFLE_PARTITION_BYTES), 8)
 
 
 def build_session(
@@ -40,16 +43,19 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings above; ``overrides`` use ``__`` for the dots of a setting name.
 
-    ``data_bytes``: how much data the largest shuffle of the job moves, if known.
+    ``data_bytes``: how much data the largest shuffle of the job moves, if known. On a cluster a shuffle otherwise starts with
+    ``INITIAL_PARTITIONS``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if data_bytes is not None:
-        initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
         builder = builder.config(initial, str(shuffle_partitions(data_bytes)))
+    elif not (master or "").startswith("local"):
+        builder = builder.config(initial, str(INITIAL_PARTITIONS))
     for key, value in overrides.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

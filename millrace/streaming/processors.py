@@ -14,6 +14,10 @@ from pyspark.sql.types import StructType
 
 
 
+#: Event time in milliseconds since 1970 UTC, next to ``ts``. Columns whose names begin with an underscore lose them on the way to Python.
+MILLIS = "event_millis"
+
+
 def _days(ts: pd.Series) -> pd.Series:
     return ts.dt.strftime("%Y-%m-%d")
 
@@ -30,8 +34,10 @@ class FirstOfDay(StatefulProcessor):
     Adds ``previous_day`` (text, null at first) and ``is_first`` (0/1). Unless ``keep_all``, only marked rows go on.
 
     State of idle keys goes away in one of two ways. ``ttl_millis``: so long after it was written, in processing time.
-    ``expire``: by an event-time timer one day after its date has ended; a row that is not late has another date by
-    then anyway, so only ``previous_day`` depends on it.
+    ``expire``: by an event-time timer two days after the row that set it, so at least a day after its date has ended in any zone; a row
+    that is not late has another date by then anyway, so only ``previous_day`` depends on it.
+
+    Times of timers come from the column ``MILLIS``, made by Spark: ``ts`` reaches Python as a local time without its zone.
     """
 
     def __init__(
@@ -46,12 +52,12 @@ class FirstOfDay(StatefulProcessor):
         self.handle = handle
         self.last_day = handle.getValueState("last_day", "day string, timer long", self.ttl_millis)
 
-    def _remember(self, day: str, old_timer: int | None) -> None:
+    def _remember(self, day: str, at: int, old_timer: int | None) -> None:
         timer = None
         if self.expire:
             if old_timer is not None:
                 self.handle.deleteTimer(old_timer)
-            timer = int((pd.Timestamp(day) + pd.Timedelta(days=2)).timestamp() * 1000)
+            timer = at + 2 * 24 * 3600 * 1000
             self.handle.registerTimer(timer)
         self.last_day.update((day, timer))
 
@@ -70,7 +76,7 @@ class FirstOfDay(StatefulProcessor):
         # the date before a marked row is the date of the row before it, as unmarked rows share their mark's date
         frame = frame.assign(previous_day=before.where(before.notna(), None), is_first=first.astype("int64"))
         if first.any():
-            self._remember(frame["_day"].iloc[-1], timer)
+            self._remember(frame["_day"].iloc[-1], int(frame[MILLIS].iloc[-1]), timer)
         frame = frame.drop(columns="_day")
         yield frame if self.keep_all else frame[first.to_numpy()]
 
@@ -142,14 +148,14 @@ class Bounces(StatefulProcessor):
             frame = pd.concat([self._frame(tuple(self.waiting.get())).astype(frame.dtypes), frame])
             self._forget()
         entry = frame["last_page_id"].fillna("") == ""
-        late = frame["ts"].shift(-1) - frame["ts"] >= pd.Timedelta(milliseconds=self.timeout_millis)
+        late = frame[MILLIS].shift(-1) - frame[MILLIS] >= self.timeout_millis
         has_next = pd.Series(True, index=range(len(frame)))
         has_next.iloc[-1] = False
         bounce = entry.to_numpy() & has_next.to_numpy() & (late.to_numpy() | entry.shift(-1, fill_value=False).to_numpy())
         if entry.iloc[-1]:
             last = frame.tail(1)
             self.waiting.update(_plain(last, self.columns)[0])
-            at = int(last["ts"].iloc[0].timestamp() * 1000) + self.timeout_millis
+            at = int(last[MILLIS].iloc[0]) + self.timeout_millis
             self.timer.update((at,))
             self.handle.registerTimer(at)
         if bounce.any():
@@ -168,15 +174,20 @@ class Bounces(StatefulProcessor):
 class LatestAfterDelay(StatefulProcessor):
     """Holds the newest version of a key by ``version`` and emits it a fixed time after its first version came.
 
-    Versions that come later start a new wait. Equal versions: the later arrival wins.
+    Versions that come later start a new wait. Equal versions: the later arrival wins, which is the greater ``log_id`` where rows carry one;
+    rows reach a task in any order, so without it the choice among equal versions of one micro-batch is open.
     """
 
     def __init__(self, schema: StructType, version: str, delay_millis: int):
         self.schema = schema
         self.columns = schema.fieldNames()
-        self.version = version
+        self.order = [version, *(["log_id"] if "log_id" in self.columns else [])]
         self.delay_millis = delay_millis
 
+    def _place(self, row: tuple) -> tuple:
+        version, *arrival = (row[self.columns.index(c)] for c in self.order)
+        return (pd.Timestamp(version), *arrival)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.newest = handle.getValueState("newest", self.schema)
@@ -184,10 +195,9 @@ class LatestAfterDelay(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         held = self.newest.exists()
         best = tuple(self.newest.get()) if held else None
-        at = self.columns.index(self.version)
         for chunk in rows:
-            row = _plain(chunk.sort_values(self.version, kind="stable").tail(1), self.columns)[0]
-            if best is None or pd.Timestamp(row[at]) >= pd.Timestamp(best[at]):
+            row = _plain(chunk.sort_values(self.order, kind="stable").tail(1), self.columns)[0]
+            if best is None or self._place(row) >= self._place(best):
                 best = row
         self.newest.update(best)
         if not held:

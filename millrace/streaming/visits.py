@@ -1,7 +1,10 @@
 """Streaming forms of the visit rules.
 
-Those that feed a window report work on logs whose ``ts`` carries a watermark and chain into it. Against the batch forms: rows of earlier micro-batches are not revisited, so a
-row that arrives after later ones is judged against the state it finds.
+The keyed-state forms serve live topics and follow arrival: rows of earlier micro-batches are not revisited, so a row that arrives after
+later ones is judged against the state it finds. Those that feed a window report work on logs whose ``ts`` carries a watermark and chain into it.
+
+``first_visits`` and ``anchors`` don't follow arrival: they are minima that only fall, give a new version when an earlier row
+comes, and end in the rows of the table form however the log is cut into micro-batches. A replay uses them.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from millrace.operators import visits
-from millrace.streaming.processors import Bounces, FirstOfDay, LatestAfterDelay, NewFlagRepair
+from millrace.streaming.processors import MILLIS, Bounces, FirstOfDay, LatestAfterDelay, NewFlagRepair
 
 # Watermark delay of the reports, wait of the version filter, life of a day's state.
 WATERMARK = "3 seconds"
@@ -23,12 +26,17 @@ def with_watermark(log: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return log.withWatermark("ts", delay)
 
 
+def _timed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(MILLIS, F.unix_millis("ts"))
+
+
 def _added(rows: DataFrame) -> StructType:
     return StructType(list(rows.schema.fields)).add("previous_day", StringType()).add("is_first", LongType())
 
 
 def _marked(rows: DataFrame, keys: list[str], order, keep_all=False, expire=True) -> DataFrame:
     """First rows per date, in event time: late rows are dropped, and a window report may follow."""
+    rows = _timed(rows)
     return rows.groupBy(*keys).transformWithStateInPandas(
         FirstOfDay(order, keep_all, expire),
         outputStructType=_added(rows),
@@ -45,13 +53,23 @@ def repair_new_flag(log: DataFrame) -> DataFrame:
     )
 
 
+def anchors(log: DataFrame) -> DataFrame:
+    """``mid, anchor`` by ``visits.first_visit_dates``, in update mode: the last version of a device holds for all rows seen."""
+    return visits.first_visit_dates(log)
+
+
+def first_visits(log: DataFrame) -> DataFrame:
+    """The first visit start of each device and date as ``mid, day`` and the row, in update mode: the last version holds."""
+    return visits.first_entries(log)
+
+
 def unique_visitors(log: DataFrame, ttl_millis: int | None = None) -> DataFrame:
     """No row is late here; ``log`` needs no watermark.
 
     With ``ttl_millis`` idle devices are forgotten after that long. Such a stream has to be started with an interval:
     it runs on processing time and so never counts as worked off.
     """
-    rows = log.where(visits.is_entry())
+    rows = _timed(log.where(visits.is_entry()))
     marked = rows.groupBy("mid").transformWithStateInPandas(
         FirstOfDay(visits.ORDER, ttl_millis=ttl_millis),
         outputStructType=_added(rows),
@@ -66,12 +84,13 @@ def bounces(log: DataFrame, timeout_millis: int = 10_000) -> DataFrame:
 
     They therefore end a query; a report reads them as an input of its own, with its own watermark.
     """
-    return log.groupBy("mid").transformWithStateInPandas(
-        Bounces(log.schema, visits.ORDER, timeout_millis),
-        outputStructType=log.schema,
+    rows = _timed(log)
+    return rows.groupBy("mid").transformWithStateInPandas(
+        Bounces(rows.schema, visits.ORDER, timeout_millis),
+        outputStructType=rows.schema,
         outputMode="append",
         timeMode="eventTime",
-    )
+    ).drop(MILLIS)
 
 
 def home_detail_visits(log: DataFrame) -> DataFrame:

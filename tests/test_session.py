@@ -1,12 +1,14 @@
 """Session helpers."""
 
+import pytest
+
 from millrace.session import SETTINGS, shared_dir, shuffle_partitions
 
 
 def test_partitions_follow_the_data():
     assert shuffle_partitions(1) == 8
     assert shuffle_partitions(10 * 1024**4) == 81_920
-    assert shuffle_partitions(10**18) == 100_000
+    assert shuffle_partitions(100 * 1024**4) == 819_200
 
 
 def test_state_folders_lie_in_the_named_folder(spark):
@@ -16,3 +18,19 @@ def test_state_folders_lie_in_the_named_folder(spark):
 
 def test_settings_are_applied(spark):
     assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
+
+
+def test_no_local_folder_on_a_cluster(monkeypatch):
+    """Executors of a cluster don't share the driver's disk."""
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session, "x")
+    Session.sparkContext.master = "local[2]"
+    assert "/x-" in shared_dir(Session, "x")

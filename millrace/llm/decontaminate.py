@@ -310,7 +310,7 @@ def _merged(column: str):
 def longest_matches(docs: DataFrame, benchmark: DataFrame, least_words: int = 5) -> DataFrame:
     """Longest verbatim match of every benchmark suffix: item_id, word (where the suffix begins), n_words, doc_id, doc_word.
 
-    One row per suffix whose longest match over all shards has ``least_words`` or more; of equal ones the smallest doc_id and place.
+    One row per suffix whose longest match over all shards has ``least_words`` or more, with one of the places where it stands.
     """
     spark, rows = docs.sparkSession, _numbered(docs)
     key, item = rows.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType

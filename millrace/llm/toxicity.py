@@ -42,6 +42,8 @@ HELD_OUT = 1
 SECOND_PART = 2
 THRESHOLD = 0.7
 
+SIGN, SCORE = "__toxicity_sign", "__toxicity_score"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -197,15 +199,15 @@ class Scorer:
 
 
 def _signs(rows: DataFrame, counts, settings: Settings) -> DataFrame:
-    """The rows, text included, with ``sign`` of each text. Rows keep their columns whatever their names; none but the text is looked at."""
-    fields = [*rows.schema.fields, T.StructField("sign", T.DoubleType())]
+    """The rows, text included, with the sign of each text. Rows keep their columns whatever their names; none but the text is looked at."""
+    fields = [*rows.schema.fields, T.StructField(SIGN, T.DoubleType())]
     text = rows.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(counts.value, settings)
         for batch in batches:
             for part in slices(batch, limit=8 << 20):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scorer.signs(part.column(text)))], names=[*part.schema.names, "sign"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scorer.signs(part.column(text)))], names=[*part.schema.names, SIGN])
 
     return rows.mapInArrow(run, T.StructType(fields))
 
@@ -249,22 +251,30 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
     apart = all(n)
     known = spark.sparkContext.broadcast(_table(words, settings)) if apart else table
     rows = texts.where("kind >= 2") if apart else texts
-    rounded = F.floor(F.col("sign") * 100)
+    rounded = F.floor(F.col(SIGN) * 100)
     bins = _signs(rows.select("toxic", "text"), known, settings).groupBy(rounded.alias("x"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
     weight, bias = _logistic([((r["x"] + 0.5) / 100, r["toxic"], r["n"]) for r in bins])
     return table, weight, bias
 
 
-def with_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents with score (0 to 1) and predicted (1 from THRESHOLD). Columns of these names, or ``sign``, are replaced."""
-    docs = docs.drop("score", "predicted", "sign")
+def _scored(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """The documents with a column ``SCORE``, whose name no table has."""
     table, weight, bias = train(docs, labels, settings)
     if table is None:
-        scored = docs.withColumn("score", F.lit(bias))
-    else:
-        z = F.lit(weight) * F.col("sign") + F.lit(bias)
-        scored = _signs(docs, table, settings).withColumn("score", 1 / (1 + F.exp(-z))).drop("sign")
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+        return docs.withColumn(SCORE, F.lit(bias))
+    z = F.lit(weight) * F.col(SIGN) + F.lit(bias)
+    return _signs(docs, table, settings).withColumn(SCORE, 1 / (1 + F.exp(-z))).drop(SIGN)
+
+
+def with_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The documents with score (0 to 1) and predicted (1 from THRESHOLD). Columns of these two names are replaced."""
+    scored = _scored(docs.drop("score", "predicted"), labels, settings)
+    return scored.withColumn("predicted", (F.col(SCORE) >= THRESHOLD).cast("int")).withColumnRenamed(SCORE, "score")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The documents whose score is below THRESHOLD, with all their columns."""
+    return _scored(docs, labels, settings).where(F.col(SCORE) < THRESHOLD).select(docs.columns)
 
 
 def score(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

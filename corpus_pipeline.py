@@ -17,8 +17,7 @@ from millrace.session import shared_dir
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the score at which a text is predicted toxic."""
-    scored = toxicity.with_scores(docs, read_table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 0").select(docs.columns)
+    return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

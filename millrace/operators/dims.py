@@ -14,6 +14,8 @@ from millrace.schemas import strings
 def route_dimensions(changes: DataFrame, config: DataFrame, apply_deletes: bool = False) -> DataFrame:
     """Changes of configured tables as ``sink_table, sink_pk, data, op, ts`` with only the listed columns in ``data``.
 
+    ``log_id``, the place in the topic, goes along where the changes have it: it orders changes of one second.
+
     Rows of tables without configuration are dropped. Deletes are passed on as ordinary versions unless
     ``apply_deletes`` asks for their ``op`` to be kept as 'd'.
     """
@@ -31,6 +33,7 @@ def route_dimensions(changes: DataFrame, config: DataFrame, apply_deletes: bool
         keep_listed(F.col("data"), F.col("sink_columns")).alias("data"),
         op.alias("op"),
         "ts",
+        *[c for c in rows.columns if c == "log_id"],
     )
 
 

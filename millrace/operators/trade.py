@@ -6,6 +6,8 @@ change time with a watermark and partners must lie at most that far apart.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -340,6 +342,16 @@ def with_sku_names(report: DataFrame, sku: DataFrame) -> DataFrame:
     return enrich(report, Link(sku, "sku_id", "id", fields))
 
 
+class DimensionChain(NamedTuple):
+    """Dimension tables behind a product: spu and trademark, and the category levels 3, 2 and 1."""
+
+    spu: DataFrame
+    trademark: DataFrame
+    category3: DataFrame
+    category2: DataFrame
+    category1: DataFrame
+
+
 def with_dimension_chain(
     report: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame, category2: DataFrame, category1: DataFrame
 ) -> DataFrame:

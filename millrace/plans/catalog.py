@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import schemas
 from millrace.functions import times
 from millrace.operators import changelog, dims, joins, log_split, trade, visits, windows
 from millrace.plans import feeds
+from millrace.session import shared_dir
+from millrace.sinks.dims import route_and_store
 from millrace.sources import click_log, tables
+from millrace.sources.kafka import as_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -264,6 +269,31 @@ def dim_routing(spark, folder):
     )
 
 
+@query
+def dim_tables(spark, folder):
+    """Configuration text and change text to dimension tables, each read by its name."""
+    config = feeds.config_rows(spark)
+    config = config.select(F.to_json(F.struct(*config.columns)).alias("value"))
+    changes = feeds.dimension_changes(spark, folder)
+    changes = as_records(changes.select(F.to_json(F.struct(*changes.columns)).alias("value")), schemas.CHANGE_LOG)
+    write = route_and_store(lambda: tables.config_changes(config), shared_dir(spark, "dims"))
+    write(changes, 0)
+    named = [("dim_region", "r_regionkey", "r_name"), ("dim_nation", "n_nationkey", "n_name"), ("dim_part", "p_partkey", "p_brand")]
+    rows = [
+        spark.table(name).select(F.lit(name).alias("sink_table"), F.col(key).alias("pk"), F.col(text).alias("name"))
+        for name, key, text in named
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def cart_add_from_json(spark, folder):
+    """The cart fact from the text of the change log."""
+    changes = feeds.change_log(spark, folder, "cart")
+    text = changes.select(F.to_json(F.struct(*changes.columns)).alias("value"))
+    return trade.cart_add(as_records(text, schemas.CHANGE_LOG), feeds.dictionary(spark))
+
+
 # --- trade facts --------------------------------------------------------------------------------------------
 
 
@@ -386,13 +416,7 @@ def sku_order_day(spark, folder):
     return _rounded(trade.sku_order_window(_measures(spark, folder), "1 day"), *AMOUNTS)
 
 
-@query
-def sku_dim_chain(spark, folder):
-    """Ordered amount per product with the names of all dimension levels."""
-    lines = feeds.table(spark, folder, "lineitem")
-    report = lines.groupBy(F.col("l_partkey").cast("string").alias("sku_id")).agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(16,2)")).cast("double").alias("order_amount")
-    )
+def _chain(spark, folder):
     part = feeds.table(spark, folder, "part")
     spu = part.select(F.col("p_type").alias("id"), F.lower("p_type").alias("spu_name")).distinct()
     trademark = part.select(F.col("p_brand").alias("id"), F.upper("p_brand").alias("tm_name")).distinct()
@@ -403,10 +427,26 @@ def sku_dim_chain(spark, folder):
         "CAST(n_nationkey AS STRING) AS id", "n_name AS name", "CAST(n_regionkey AS STRING) AS category1_id"
     )
     category1 = feeds.table(spark, folder, "region").selectExpr("CAST(r_regionkey AS STRING) AS id", "r_name AS name")
-    named = trade.with_sku_names(report, _sku(spark, folder))
-    return _rounded(
-        trade.with_dimension_chain(named, spu, trademark, category3, category2, category1), "order_amount"
+    return trade.DimensionChain(spu, trademark, category3, category2, category1)
+
+
+@query
+def sku_dim_chain(spark, folder):
+    """Ordered amount per product with the names of all dimension levels."""
+    lines = feeds.table(spark, folder, "lineitem")
+    report = lines.groupBy(F.col("l_partkey").cast("string").alias("sku_id")).agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(16,2)")).cast("double").alias("order_amount")
     )
+    named = trade.with_sku_names(report, _sku(spark, folder))
+    return _rounded(trade.with_dimension_chain(named, *_chain(spark, folder)), "order_amount")
+
+
+@query
+def sku_order_full(spark, folder):
+    """The product report with all its columns but the wall-clock one."""
+    report = trade.with_sku_names(trade.sku_order_window(_measures(spark, folder)), _sku(spark, folder))
+    named = trade.with_dimension_chain(report, *_chain(spark, folder))
+    return _rounded(named.select(*[c for c in schemas.SKU_ORDER_WINDOW if c != "ts"]), *AMOUNTS)
 
 
 # --- joins and columns --------------------------------------------------------------------------------------

@@ -308,24 +308,25 @@ def config_rows(spark: SparkSession) -> DataFrame:
     """Configuration changes of the dimension tables: created, one widened, one deleted."""
     table_rows = spark.sql(
         """SELECT * FROM VALUES
-            (1L, 'c', 'region', 'dim_region', 'r_regionkey,r_name'),
-            (2L, 'c', 'nation', 'dim_nation', 'n_nationkey,n_name'),
-            (3L, 'c', 'part', 'dim_part', 'p_partkey,p_brand'),
-            (4L, 'c', 'supplier', 'dim_supplier', 's_suppkey,s_name'),
-            (5L, 'u', 'nation', 'dim_nation', 'n_nationkey,n_name,n_regionkey'),
-            (6L, 'd', 'supplier', 'dim_supplier', 's_suppkey,s_name')
-        AS t(ts_ms, op, source_table, sink_table, sink_columns)"""
+            (1L, 'c', 'region', 'dim_region', 'r_regionkey,r_name', 'r_regionkey'),
+            (2L, 'c', 'nation', 'dim_nation', 'n_nationkey,n_name', 'n_nationkey'),
+            (3L, 'c', 'part', 'dim_part', 'p_partkey,p_brand', 'p_partkey'),
+            (4L, 'c', 'supplier', 'dim_supplier', 's_suppkey,s_name', 's_suppkey'),
+            (5L, 'u', 'nation', 'dim_nation', 'n_nationkey,n_name,n_regionkey', 'n_nationkey'),
+            (6L, 'd', 'supplier', 'dim_supplier', 's_suppkey,s_name', 's_suppkey')
+        AS t(ts_ms, op, source_table, sink_table, sink_columns, sink_pk)"""
     )
     return config_records(table_rows)
 
 
 def config_records(rows: DataFrame) -> DataFrame:
     """``op, source_table, sink_table, sink_columns, ts_ms`` as change records."""
+    pk = F.col("sink_pk") if "sink_pk" in rows.columns else F.lit(None).cast("string").alias("sink_pk")
     entry = F.struct(
         "source_table",
         "sink_table",
         "sink_columns",
-        F.lit(None).cast("string").alias("sink_pk"),
+        pk,
         F.lit(None).cast("string").alias("sink_extend"),
     )
     nothing = F.lit(None).cast(CONFIG_ROW)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
+from millrace.operators.trade import DimensionChain
 from millrace.operators.windows import stamped
 from millrace.plans import programs
 from millrace.plans.programs import JOBS
@@ -53,13 +54,14 @@ def job_frame(
     dictionary: DataFrame | None = None,
     sku: DataFrame | None = None,
     continuous: bool = True,
+    chain: DimensionChain | None = None,
 ) -> DataFrame:
-    """The result of job ``name`` over its topics. Fact jobs need ``dictionary``, the product report needs ``sku``.
+    """The result of job ``name`` over its topics. Fact jobs need ``dictionary``, the product report ``sku`` and ``chain``.
 
     ``continuous``: the stream stays up, so state may expire in processing time.
     """
     if name == "newest_lines":
-        return programs.newest_lines(_facts(read, "order_detail", schemas.ORDER_DETAIL_RECORD).drop("log_id"))
+        return programs.newest_lines(_facts(read, "order_detail", schemas.ORDER_DETAIL_RECORD))
     run = JOBS[name].run
     if name == "log_split":
         return run(read(CLICKS))
@@ -79,8 +81,10 @@ def job_frame(
     if name == "cart_add_window":
         return run(_facts(read, "cart_add", schemas.CART_ADD_RECORD).drop("log_id"))
     if name == "sku_order_window":
-        return run(as_records(read(NEWEST_LINES), schemas.ORDER_DETAIL_RECORD).drop("log_id"), sku)
-    raise ValueError(f"no topic job named {name!r}; dimensions are stored by sinks.dims.route_and_store")
+        return run(as_records(read(NEWEST_LINES), schemas.ORDER_DETAIL_RECORD).drop("log_id"), sku, chain)
+    if name == "dim":  # routed and stored per micro-batch, see start_job
+        return as_records(read(CHANGES), schemas.CHANGE_LOG)
+    raise ValueError(f"no job named {name!r}")
 
 
 # The version filter of the product report runs on processing time, so it is a stream before it.
@@ -92,12 +96,16 @@ def output_frame(name: str, result: DataFrame) -> DataFrame:
     if name == "log_split":
         return topic_frame(result)
     if name == "newest_lines":
-        return topic_frame(result, NEWEST_LINES, ["id"])
+        return topic_frame(result.drop("log_id"), NEWEST_LINES, ["id"])
+    if name == "dim":
+        return result
     job = JOBS[name]
     if job.target.startswith("dwd_"):
         return topic_frame(result, job.target, job.keys)
     report = stamped(result)
-    return report.select(*[c for c in job.columns if c in report.columns])
+    if absent := [c for c in job.columns if c not in report.columns]:
+        raise ValueError(f"the report of {name!r} lacks its columns {absent}")
+    return report.select(*job.columns)
 
 
 def start_job(
@@ -108,7 +116,11 @@ def start_job(
     dictionary: DataFrame | None = None,
     sku: DataFrame | None = None,
     interval: str | None = COMMIT_INTERVAL,
+    chain: DimensionChain | None = None,
 ) -> StreamingQuery:
-    """Run a job continuously; ``write`` gets each micro-batch of ``output_frame``. Restarts resume from the checkpoint."""
-    result = output_frame(name, job_frame(name, read, dictionary, sku, continuous=interval is not None))
+    """Run a job continuously; ``write`` gets each micro-batch of ``output_frame``. Restarts resume from the checkpoint.
+
+    The dimension job's ``write`` is ``sinks.dims.route_and_store``, which gets the change log itself.
+    """
+    result = output_frame(name, job_frame(name, read, dictionary, sku, interval is not None, chain))
     return start_stream(result, f"{checkpoint_root.rstrip('/')}/{name}", write, interval=interval)

@@ -496,3 +496,18 @@ ORACLE["stream_join_interval"] = _sql(
     AND r.ts BETWEEN l.ts - INTERVAL '1 hour' AND l.ts + INTERVAL '1 hour'""",
     "page_log",
 )
+ORACLE["sku_order_full"] = _sql(
+    f"""SELECT r.*, p_name AS sku_name, p_type AS spu_id, p_brand AS trademark_id, CAST(p_partkey % 100 AS VARCHAR) AS category3_id,
+        lower(p_type) AS spu_name, upper(p_brand) AS trademark_name, s_name AS category3_name,
+        CAST(s_nationkey AS VARCHAR) AS category2_id, n_name AS category2_name,
+        CAST(n_regionkey AS VARCHAR) AS category1_id, r_name AS category1_name
+    FROM ({_sku_report('10 seconds')}) r LEFT JOIN part ON sku_id = CAST(p_partkey AS VARCHAR)
+        LEFT JOIN supplier ON p_partkey % 100 = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey
+        LEFT JOIN region ON n_regionkey = r_regionkey""",
+    "flagged",
+)
+ORACLE["dim_tables"] = """
+    SELECT 'dim_region' AS sink_table, CAST(r_regionkey AS VARCHAR) AS pk, r_name AS name FROM region
+    UNION ALL SELECT 'dim_nation', CAST(n_nationkey AS VARCHAR), n_name FROM nation
+    UNION ALL SELECT 'dim_part', CAST(p_partkey AS VARCHAR), p_brand FROM part"""
+ORACLE["cart_add_from_json"] = ORACLE["cart_add_fact"]

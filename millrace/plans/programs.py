@@ -131,20 +131,22 @@ def cart_add_window(facts: DataFrame) -> DataFrame:
     return windows.cart_add_window(trade.cart_add_user_times(facts))
 
 
-def sku_order_window(orders: DataFrame, sku: DataFrame) -> DataFrame:
-    """Orders per product. ``orders`` hold one row per line id: ``newest_lines`` of the fact, or a table of it."""
+def sku_order_window(orders: DataFrame, sku: DataFrame, chain: trade.DimensionChain | None = None) -> DataFrame:
+    """Orders per product, with all names of the report if the dimension ``chain`` is given. ``orders`` hold one row per line id: ``newest_lines`` of the fact, or a table of it."""
     if orders.isStreaming:
         flagged = streams.flag_order_users(_watermarked(trade.order_measures(orders)))
     else:
         flagged = trade.flag_order_users(trade.latest_measures(orders))
-    return trade.with_sku_names(trade.sku_order_window(flagged), sku)
+    named = trade.with_sku_names(trade.sku_order_window(flagged), sku)
+    return named if chain is None else trade.with_dimension_chain(named, *chain)
 
 
 def newest_lines(orders: DataFrame) -> DataFrame:
     """The newest version of each line id; a stream of its own, as it runs on processing time."""
     if orders.isStreaming:
         return streams.latest_versions(orders, "id", "row_op_ts")
-    return changelog.latest_by_key(orders, "id", "row_op_ts")
+    # equal times: the later arrival
+    return changelog.latest_by_key(orders, "id", ["row_op_ts", *[c for c in orders.columns if c == "log_id"]])
 
 
 @dataclass(frozen=True)

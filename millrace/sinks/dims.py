@@ -11,28 +11,30 @@ from pyspark.sql.types import StructType
 from millrace.operators.changelog import current_config, latest_by_key
 from millrace.operators.dims import dimension_rows, route_dimensions
 from millrace.schemas import TEXT_MAP, strings
-from millrace.sinks.changelog import BatchWriter, append_changes, read_changes
+from millrace.sinks.changelog import BatchWriter, append_changes
 from millrace.sources.tables import broadcast_if_small
 
-ROUTED = StructType(strings("sink_table", "sink_pk", "op", "ts")).add("data", TEXT_MAP)
+ROUTED = StructType(strings("sink_pk", "op", "ts", "log_id")).add("data", TEXT_MAP)
 
 
-def dimension_ddl(sink_table: str, sink_columns: str, sink_pk: str | None = None, sink_extend: str | None = None) -> str:
-    """Statement that creates a dimension table of text columns unless it exists.
+def dimension_ddl(path: str, sink_table: str, sink_columns: str, sink_pk: str | None = None, sink_extend: str | None = None) -> str:
+    """Statement that makes a dimension readable by its name: the last version of each key among the stored changes.
 
-    The key defaults to ``id`` and is recorded as a table property; ``sink_extend`` is appended as it is.
+    The key defaults to ``id`` and is recorded as a property; ``sink_extend`` stands before the query as it is, such as a comment. Later changes
+    show without a refresh, as the stored folder is listed anew by every query.
     """
-    names = ", ".join(f"`{name}` STRING" for name in sink_columns.split(","))
     key = sink_pk or "id"
+    names = ", ".join(f"_last.data['{name}'] AS `{name}`" for name in sink_columns.split(","))
     return (
-        f"CREATE TABLE IF NOT EXISTS `{sink_table}` ({names}) USING parquet "
-        f"TBLPROPERTIES ('primary.key' = '{key}') {sink_extend or ''}"
-    ).strip()
+        f"CREATE OR REPLACE VIEW `{sink_table}` TBLPROPERTIES ('primary.key' = '{key}') {sink_extend or ''} AS SELECT {names} FROM ("
+        f"SELECT max_by(struct(data, op), struct(batch_id, try_cast(ts AS BIGINT), log_id)) AS _last FROM parquet.`{path}` "
+        f"WHERE sink_table = '{sink_table}' GROUP BY data['{key}']) WHERE _last.op <> 'd'"
+    )
 
 
-def create_dimension(spark: SparkSession, entry) -> None:
-    """Create the table one configuration entry describes."""
-    spark.sql(dimension_ddl(entry["sink_table"], entry["sink_columns"], entry["sink_pk"], entry["sink_extend"]))
+def create_dimension(spark: SparkSession, path: str, entry) -> None:
+    """Make the table that one configuration entry describes readable by its name; ``path`` must hold a batch of changes already."""
+    spark.sql(dimension_ddl(path, entry["sink_table"], entry["sink_columns"], entry["sink_pk"], entry["sink_extend"]))
 
 
 def dimension_writer(path: str) -> BatchWriter:
@@ -44,18 +46,30 @@ def route_and_store(load_config: Callable[[], DataFrame], path: str) -> BatchWri
     """Route and store each micro-batch of the change log under the configuration in force when it starts.
 
     ``load_config`` returns the configuration changes so far; a table configured meanwhile is picked up by the next
-    batch, without a restart.
+    batch, without a restart. Each configured table is then readable by its name.
     """
     store = dimension_writer(path)
+    known: dict[str, tuple] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store(route_dimensions(batch, broadcast_if_small(current_config(load_config()))), batch_id)
+        config = current_config(load_config())
+        routed = route_dimensions(batch, broadcast_if_small(config))
+        if "log_id" not in routed.columns:
+            routed = routed.withColumn("log_id", F.lit(None).cast("string"))
+        store(routed, batch_id)
+        if not known and batch.sparkSession.read.schema(ROUTED).parquet(path).isEmpty():
+            return  # a view needs a first row to read its columns from
+        for entry in config.toLocalIterator():  # one entry per table, written by hand
+            if known.get(entry["sink_table"]) != tuple(entry):
+                create_dimension(batch.sparkSession, path, entry)
+                known[entry["sink_table"]] = tuple(entry)
 
     return write
 
 
 def read_dimension(spark: SparkSession, path: str, sink_table: str, sink_columns: str, pk: str = "id") -> DataFrame:
     """One dimension table as it stands; only its folders are read. Keys whose last change is a delete are absent."""
-    routed = read_changes(spark, path, ROUTED).where(F.col("sink_table") == sink_table)
-    rows = dimension_rows(routed, sink_table, sink_columns, "batch_id")
-    return latest_by_key(rows, pk, ("batch_id", "_seconds")).where("op <> 'd'").select(*sink_columns.split(","))
+    stored = StructType([*ROUTED.fields]).add("batch_id", "long").add("sink_table", "string")
+    routed = spark.read.schema(stored).parquet(path).where(F.col("sink_table") == sink_table)
+    rows = dimension_rows(routed, sink_table, sink_columns, "batch_id", "log_id")
+    return latest_by_key(rows, pk, ("batch_id", "_seconds", "log_id")).where("op <> 'd'").select(*sink_columns.split(","))

@@ -1,5 +1,6 @@
 """A chain of jobs over topics kept as folders of JSON lines: raw logs to reports."""
 
+import json
 import os
 
 import pytest
@@ -7,9 +8,12 @@ from pyspark.sql import functions as F
 
 from millrace import codes, schemas
 from millrace.operators import log_split, visits, windows
+from millrace.operators.trade import DimensionChain
 from millrace.plans import feeds, programs
 from millrace.plans.launch import job_frame, output_frame, start_job
+from millrace.sinks.dims import route_and_store
 from millrace.sources import click_log
+from millrace.sources.tables import config_changes
 
 ROW = "log_id string, value string"
 
@@ -73,10 +77,33 @@ def test_cart_chain(spark, folder, topics, tmp_path_factory):
     assert sorted(map(tuple, facts.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def _product_tables(spark):
+    names = ("spu_name", "tm_name", "name, category2_id", "name, category1_id", "name")
+    empty = [spark.createDataFrame([], ", ".join(f"{c} string" for c in f"id, {n}".split(", "))) for n in names]
+    sku = spark.createDataFrame([], "id string, sku_name string, spu_id string, tm_id string, category3_id string")
+    return sku, DimensionChain(*empty)
+
+
+def test_report_without_its_dimensions_fails(spark, topics):
+    with pytest.raises(ValueError, match="trademark_name"):
+        output_frame("sku_order_window", job_frame("sku_order_window", topics[2], sku=_product_tables(spark)[0]))
+
+
+def test_dimension_job(spark, topics, tmp_path, tmp_path_factory):
+    entry = {"source_table": "cart_info", "sink_table": "dim_cart", "sink_columns": "id,sku_id"}
+    text = spark.createDataFrame([(json.dumps({"op": "r", "ts_ms": 1, "after": entry}),)], "value string")
+    write = route_and_store(lambda: config_changes(text), str(tmp_path / "dims"))
+    work_off(spark, "dim", topics, tmp_path_factory, write=write)
+    changes = spark.read.parquet(topics[0]).where("topic = 'topic_db'")
+    ids = changes.select(F.get_json_object("value", "$.data.id").alias("id")).distinct().count()
+    assert spark.table("dim_cart").count() == ids
+    spark.sql("DROP VIEW dim_cart")
+
+
 @pytest.mark.parametrize("name", sorted(programs.JOBS.keys() - {"dim"}) + ["newest_lines"])
 def test_every_job_has_a_stream_plan(spark, topics, name):
-    sku = spark.createDataFrame([], "id string, sku_name string, spu_id string, tm_id string, category3_id string")
-    result = job_frame(name, topics[2], codes.code_dictionary(spark), sku)
+    sku, chain = _product_tables(spark)
+    result = job_frame(name, topics[2], codes.code_dictionary(spark), sku, chain=chain)
     assert result.isStreaming
     out = output_frame(name, result)
     assert out.columns[0] in ("topic", "stt") and out.isStreaming

@@ -2,11 +2,14 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import codes, schemas
+from millrace.operators.joins import lookup_name
 from millrace.operators.windows import keyword_count, stamped
-from millrace.plans.programs import JOBS
+from millrace.plans.programs import JOBS, newest_lines
 from millrace.session import shared_dir
 from millrace.sinks import changelog, dims, reports
 from millrace.sources import kafka, tables
@@ -74,17 +77,50 @@ def test_dimensions_follow_the_configuration(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(sink_table" in plan
 
 
-def test_dimension_tables_are_created_once(spark):
-    entry = {"sink_table": "dim_made", "sink_columns": "id,name", "sink_pk": None, "sink_extend": None}
-    dims.create_dimension(spark, entry)
-    spark.sql("INSERT INTO dim_made VALUES ('1', 'a')")
-    dims.create_dimension(spark, entry)
+@pytest.mark.parametrize("turned", [False, True])
+def test_dimension_tables_are_read_by_name(spark, tmp_path, turned):
+    """The configuration makes the table; the later change of a second wins, in whatever order the rows reach the task."""
+    path = str(tmp_path / "dims")
+    entries = [("c", "made", "id,name")]
+    write = dims.route_and_store(lambda: config(spark, *entries), path)
+    schema = T.StructType([*schemas.CHANGE_LOG.fields, T.StructField("log_id", T.StringType())])
+
+    def arrive(batch_id, *rows):
+        rows = [("shop", "made", "update", ts, {"id": k, "name": name}, None, log_id) for log_id, ts, k, name in rows]
+        write(spark.createDataFrame(rows[::-1] if turned else rows, schema).coalesce(1), batch_id)
+
+    arrive(0)
+    arrive(1, ("0-1", "5", "1", "old"), ("0-2", "5", "1", "new"), ("0-3", "4", "2", "two"))
     assert spark.table("dim_made").dtypes == [("id", "string"), ("name", "string")]
-    assert spark.table("dim_made").count() == 1
+    assert sorted(map(tuple, spark.table("dim_made").collect())) == [("1", "new"), ("2", "two")]
+    assert sorted(map(tuple, dims.read_dimension(spark, path, "dim_made", "id,name").collect())) == [("1", "new"), ("2", "two")]
+    entries.append(("u", "made", "id"))
+    arrive(2, ("0-4", "6", "3", "three"))
+    assert sorted(map(tuple, spark.table("dim_made").collect())) == [("1",), ("2",), ("3",)]
     properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES dim_made").collect()}
     assert properties["primary.key"] == "id"
-    assert dims.dimension_ddl("d", "k,v", "k", "COMMENT 'x'").endswith("('primary.key' = 'k') COMMENT 'x'")
-    spark.sql("DROP TABLE dim_made")
+    spark.sql("DROP VIEW dim_made")
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_newest_line_of_equal_times_is_the_later_arrival(spark, turned):
+    rows = [("1", "a", 5, "0-1"), ("1", "b", 5, "0-2"), ("1", "c", 4, "0-3")]
+    lines = spark.createDataFrame(rows[::-1] if turned else rows, "id string, v string, row_op_ts long, log_id string").coalesce(1)
+    assert [r.v for r in newest_lines(lines).collect()] == ["b"]
+
+
+def test_dictionary_that_grows_between_batches(spark, tmp_path):
+    path, got = str(tmp_path / "dic"), []
+    add = lambda *codes: spark.createDataFrame([(c, f"name {c}") for c in codes], schemas.DICTIONARY).write.mode("append").parquet(path)
+    rule = lambda batch, side: lookup_name(batch, side, "code", "name")
+    write = tables.with_fresh(lambda: tables.load_dictionary(spark, path), rule, lambda df, _: got.append({r.name for r in df.collect()}))
+    facts = spark.createDataFrame([("1",), ("2",)], "code string")
+    add("1")
+    write(facts, 0)
+    add("2")
+    write(facts, 1)
+    assert got == [{"name 1"}, {"name 1", "name 2"}]
+    assert "strategy=broadcast" not in facts.join(tables.broadcast_if_small(facts, max_bytes=5), "code")._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_report_columns_in_order_without_skipped_ones(spark, tmp_path):

@@ -7,10 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.schemas import DICTIONARY
 
 # Document states.
-ORDER_UNPAID = "1001"
-ORDER_PAID = "1002"
 ORDER_CANCELLED = "1003"
-ORDER_FINISHED = "1004"
 ORDER_REFUNDING = "1005"
 ORDER_REFUNDED = "1006"
 PAYMENT_SUCCEEDED = "1602"
@@ -59,11 +56,8 @@ CODE_NAMES = {
     "3303": "spu",
 }
 
-# Keyword sources.
+# Fixed value: keyword source.
 KEYWORD_SEARCH = "SEARCH"
-KEYWORD_CLICK = "CLICK"
-KEYWORD_CART = "CART"
-KEYWORD_ORDER = "ORDER"
 
 # Control records of a change-capture bootstrap run.
 BOOTSTRAP_TYPES = ("bootstrap-start", "bootstrap-complete")

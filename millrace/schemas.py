@@ -54,7 +54,7 @@ CONFIG_CHANGE = T.StructType(
 
 DICTIONARY = T.StructType(strings("dic_code", "dic_name"))
 
-# --- detail facts: column order is the order of the published record -------------------------------------------
+# --- detail facts. Columns in the order of the published record -------------------------------------------
 
 CART_ADD = ("id", "user_id", "sku_id", "source_type_code", "source_type_name", "sku_num", "ts")
 

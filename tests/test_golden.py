@@ -20,10 +20,10 @@ def changes(spark, *rows):
 
 
 BOUNCE_LINES = [
-    {"common": {"mid": "101"}, "page": {"page_id": "home"}, "ts": 10000},
-    {"common": {"mid": "102"}, "page": {"page_id": "home"}, "ts": 12000},
-    {"common": {"mid": "102"}, "page": {"page_id": "good_list", "last_page_id": "home"}, "ts": 15000},
-    {"common": {"mid": "102"}, "page": {"page_id": "good_list", "last_page_id": "detail"}, "ts": 30000},
+    {"common": {"mid": "tablet"}, "page": {"page_id": "cart"}, "ts": 3_000},
+    {"common": {"mid": "phone"}, "page": {"page_id": "cart"}, "ts": 4_500},
+    {"common": {"mid": "phone"}, "page": {"page_id": "search", "last_page_id": "cart"}, "ts": 11_000},
+    {"common": {"mid": "phone"}, "page": {"page_id": "mine", "last_page_id": "search"}, "ts": 52_000},
 ]
 
 
@@ -31,7 +31,7 @@ def test_bounce_of_a_device_nothing_follows(spark):
     text = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(BOUNCE_LINES)], "log_id long, value string")
     pages = click_log.page_columns(log_split.page_records(click_log.clean_records(click_log.parse_log(text))))
     for hot_rows in (visits.HOT_ROWS, 0):
-        assert [r.mid for r in visits.bounces(pages, hot_rows=hot_rows).collect()] == ["101"]
+        assert [r.mid for r in visits.bounces(pages, hot_rows=hot_rows).collect()] == ["tablet"]
 
 
 def test_dirty_lines_are_kept_verbatim(spark):
@@ -116,13 +116,13 @@ def test_config_feed_and_routing(spark):
     assert [(r.source_table, r.sink_columns) for r in config.collect()] == [("base_trademark", "id,tm_name")]
     log = changes(
         spark,
-        change("base_trademark", "insert", {"tm_name": "xzls", "logo_url": "123", "id": "12"}),
+        change("base_trademark", "insert", {"tm_name": "north", "logo_url": "n.png", "id": "31"}),
         change("base_region", "insert", {"id": "1"}),
         change("base_trademark", "delete", {"tm_name": "old", "id": "13"}),
     )
     routed = dims.route_dimensions(log, config).orderBy("data.id").collect()
     assert [(r.sink_table, r.sink_pk, r.data, r.op) for r in routed] == [
-        ("dim_base_trademark", "id", {"tm_name": "xzls", "id": "12"}, "u"),
+        ("dim_base_trademark", "id", {"tm_name": "north", "id": "31"}, "u"),
         ("dim_base_trademark", "id", {"tm_name": "old", "id": "13"}, "u"),
     ]
     assert dims.route_dimensions(log, config, apply_deletes=True).where("op = 'd'").count() == 1
@@ -163,10 +163,10 @@ def test_time_rules(spark):
 
 
 def test_words(spark):
-    text = "Apple iPhoneXSMax (A2104) 256GB 深空灰色 移动联通电信4G手机 双卡双待"
+    text = "Zeta CamPro (ZX9) 64MB 银色外壳 双镜头5G相机 便携"
     df = spark.createDataFrame([(1, text)], "id long, full_word string")
     words = [r.keyword for r in keywords.explode_words(df, "full_word").collect()]
-    assert words == ["apple", "iphonexsmax", "a2104", "256gb", "深空灰色", "移动联通电信", "4g", "手机", "双卡双待"]
+    assert words == ["zeta", "campro", "zx9", "64mb", "银色外壳", "双镜头", "5g", "相机", "便携"]
     keywords.register_tokenizer(spark, str.split)
     df.createOrReplaceTempView("texts")
     own = spark.sql("SELECT word FROM texts, LATERAL split_words(texts.full_word)").collect()

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -264,7 +264,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, copies: DataFrame, join: Join) -> DataFrame:
-    """(sig, doc_id, rank, members): signatures that two or more classes share. Of a class, only its smallest id appears."""
+    """(sig, doc_id): signatures that two or more classes share. Of a class, only its smallest id appears."""
     sig = Window.partitionBy("sig")
     rows = _signature_rows(docs, join).withColumn("members", F.count(F.lit(1)).over(sig)).where("members > 1").drop("members")
     rows = stored(rows, "jaccard-shared")
@@ -277,35 +277,73 @@ def _candidates(docs: DataFrame, copies: DataFrame, join: Join) -> DataFrame:
     heavy = rows.where(F.col("members") > join.frequent).groupBy("doc_id", "below").agg(F.sum("units").alias("lost"), F.min("slack").alias("spare"))
     drops = heavy.where("lost <= spare").select("doc_id", "below", F.lit(True).alias("drops"))
     kept = rows.join(drops, ["doc_id", "below"], "left").where((F.col("members") <= join.frequent) | F.col("drops").isNull())
-    kept = kept.select("sig", "doc_id").withColumns({
-        "rank": F.row_number().over(sig.orderBy("doc_id")) - 1, "members": F.count(F.lit(1)).over(sig),
-    }).where("members > 1")
-    return stored(kept, "jaccard-candidates")
+    return stored(kept.select("sig", "doc_id"), "jaccard-kept")
+
+
+def _without_hopeless(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """(sig, doc_id, rank, members, n, r) without sets that can't be linked to any other set of a frequent signature.
+
+    In a crowd of edited copies of one text all signatures are frequent, also for copies too far from all others. Of the sets that are
+    left in frequent signatures, r shingles are rare: in at most ``frequent`` of these sets. Two sets either share a rare shingle, which
+    is a signature of its own here, or differ in all their rare ones and in the sizes of the rest. So if no rare one is shared,
+    |X - Y| + |Y - X| >= rx + ry + |(nx - rx) - (ny - ry)| >= 2 rx - |nx - ny|, and where that is more than linked sets may differ in, X leaves the signature.
+    """
+    sig = Window.partitionBy("sig")
+    rows = rows.withColumn("members", F.count(F.lit(1)).over(sig)).where("members > 1")
+    crowded = rows.where(F.col("members") > join.frequent)
+    crowd = sets.join(counted(crowded.select("doc_id").distinct()), "doc_id", "left_semi")
+    one = crowd.select("doc_id", F.size("items").alias("n"), F.explode("items").alias("item"))
+    one = one.withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("item"))).where(F.col("holders") <= join.frequent)
+    rare = stored(one.select("item", "doc_id", "holders"), "jaccard-rare")
+    sizes = crowd.select("doc_id", F.size("items").cast("long").alias("n")).join(
+        rare.groupBy("doc_id").agg(F.count(F.lit(1)).alias("r")), "doc_id", "left"
+    )
+    placed = crowded.select("sig", "doc_id").join(sizes.fillna(0, ["r"]), "doc_id")
+    largest, smallest = F.max("n").over(sig), F.min("n").over(sig)
+    differs = 2 * F.col("r") - F.greatest(F.col("n") - smallest, largest - F.col("n"))
+    allowed = (F.col("n") + largest) * (100 - join.percent) / (100 + join.percent)
+    hopeful = placed.withColumns({"differs": differs, "allowed": allowed}).where("differs <= allowed").select("sig", "doc_id", "n", "r")
+    # hashed again, so that shingles and signatures stay apart
+    shared = rare.where("holders > 1").select(F.xxhash64("item", F.lit("rare")).alias("sig"), "doc_id")
+    unknown = F.lit(None).cast("long")
+    others = rows.where(F.col("members") <= join.frequent).select("sig", "doc_id").unionByName(shared)
+    kept = others.select("*", unknown.alias("n"), unknown.alias("r")).unionByName(hopeful)
+    kept = kept.withColumns({"rank": F.row_number().over(sig.orderBy("doc_id")) - 1, "members": F.count(F.lit(1)).over(sig)})
+    return stored(kept.where("members > 1"), "jaccard-candidates")
+
+
+def _compatible(join: Join) -> Column:
+    """Whether two sets of a frequent signature may be linked by their sizes and numbers of rare shingles, if they share no rare one."""
+    rest = F.abs((F.col("n") - F.col("r")) - (F.col("v_n") - F.col("v_r")))
+    differs = F.col("r") + F.col("v_r") + rest
+    return F.coalesce((100 + join.percent) * differs <= (100 - join.percent) * (F.col("n") + F.col("v_n")), F.lit(True))
 
 
 def similarity_links(docs: DataFrame, copies: DataFrame, join: Join) -> DataFrame:
     """(u, v): v is the smallest class id reachable from class u by links, for every u that is not it."""
-    shared = _candidates(docs, copies, join)
-    sets = stored(_candidate_sets(docs, shared, join), "jaccard-sets")
-    first = shared.where("rank = 0").select("sig", F.col("doc_id").alias("v"))
-    pairs = shared.where("rank > 0").join(first, "sig").groupBy(F.col("doc_id").alias("u")).agg(F.min("v").alias("v"))
+    kept = _candidates(docs, copies, join)
+    sets = stored(_candidate_sets(docs, kept, join), "jaccard-sets")
+    shared = _without_hopeless(kept, sets, join)
+    first = shared.where("rank = 0").select("sig", F.col("doc_id").alias("v"), F.col("n").alias("v_n"), F.col("r").alias("v_r"))
+    pairs = shared.where("rank > 0").join(first, "sig").where(_compatible(join)).groupBy(F.col("doc_id").alias("u")).agg(F.min("v").alias("v"))
     tried = stored(pairs, "jaccard-tried")
     joined = components(_verified(tried, sets, join))
     low, step = 0, 2
     while True:
         placed = shared.where(F.col("members") > low + 1).join(
             joined.select(F.col("u").alias("doc_id"), F.col("v").alias("top")), "doc_id", "left"
-        ).select("sig", "doc_id", "rank", F.coalesce("top", "doc_id").alias("top"))
+        ).select("sig", "doc_id", "rank", "n", "r", F.coalesce("top", "doc_id").alias("top"))
         sig = Window.partitionBy("sig")
         open_ = placed.withColumns({"a": F.min("top").over(sig), "z": F.max("top").over(sig)}).where("a < z").drop("a", "z")
         open_ = stored(open_, "jaccard-open")
         if open_.isEmpty():
             return joined
         centres = open_.where((F.col("rank") >= low) & (F.col("rank") < low + step)).select(
-            "sig", F.col("doc_id").alias("v"), F.col("rank").alias("v_rank"), F.col("top").alias("v_top")
-        )
+            "sig", F.col("doc_id").alias("v"), F.col("rank").alias("v_rank"), F.col("top").alias("v_top"),
+            F.col("n").alias("v_n"), F.col("r").alias("v_r"),
+        )
         pairs = (
-            open_.join(centres, "sig").where("rank > v_rank AND top <> v_top").select(F.col("doc_id").alias("u"), "v").distinct()
+            open_.join(centres, "sig").where("rank > v_rank AND top <> v_top").where(_compatible(join)).select(F.col("doc_id").alias("u"), "v").distinct()
             .join(tried, ["u", "v"], "left_anti")
         )
         pairs = stored(pairs, "jaccard-pairs")
@@ -313,7 +351,7 @@ def similarity_links(docs: DataFrame, copies: DataFrame, join: Join) -> DataFram
         links = stored(_verified(pairs, sets, join), "jaccard-links")
         if not links.isEmpty():
             joined = components(links.unionByName(joined))
-        low, step = low + step, step * 2
+        low, step = low + step, step * 4
 
 
 def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import is_blank
 from millrace.operators.changelog import first_by_key
+from millrace.sources.click_log import clean_records, parse_log
 
 ORDER = ("ts", "log_id")
 
@@ -67,10 +68,27 @@ def repair_new_flag_records(records: DataFrame) -> DataFrame:
     rows = records.withColumn("_mid", F.col("common.mid")).join(
         first_visit_dates(flat).withColumnRenamed("mid", "_mid"), "_mid", "left"
     )
+    return rows.withColumn("common", _repaired_common()).select(*records.columns)
+
+
+def _repaired_common() -> Column:
     wrong = (F.col("common.is_new") == "1") & (F.col("_anchor") != F.to_date(F.timestamp_millis("ts")))
     # only this field depends on the join, so it is planned away where the flag is not used
-    common = F.col("common").withField("is_new", F.when(wrong, F.lit("0")).otherwise(F.col("common.is_new")))
-    return rows.withColumn("common", common).select(*records.columns)
+    return F.col("common").withField("is_new", F.when(wrong, F.lit("0")).otherwise(F.col("common.is_new")))
+
+
+def repaired_records_of_lines(lines: DataFrame) -> DataFrame:
+    """The readable lines (``log_id, value``) as records with ``is_new`` repaired.
+
+    First-visit dates come from a first pass; the join then moves the lines as they are, and they are parsed behind it, so no nested record
+    is shuffled.
+    """
+    records = clean_records(parse_log(lines))
+    flat = records.select("common.mid", "common.is_new", F.timestamp_millis("ts").alias("ts"), "log_id")
+    dated = lines.withColumn("_mid", F.get_json_object("value", "$.common.mid")).join(
+        first_visit_dates(flat).withColumnRenamed("mid", "_mid"), "_mid", "left"
+    )
+    return clean_records(parse_log(dated)).withColumn("common", _repaired_common()).select(*records.columns)
 
 
 def repaired_with(log: DataFrame, anchors: DataFrame) -> DataFrame:

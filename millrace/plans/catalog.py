@@ -121,8 +121,7 @@ def returning_customers(spark, folder):
 
 
 def _clean(spark, folder):
-    parsed = click_log.parse_log(feeds.click_log_text(spark, folder))
-    return visits.repair_new_flag_records(click_log.clean_records(parsed))
+    return visits.repaired_records_of_lines(feeds.click_log_text(spark, folder))
 
 
 @query

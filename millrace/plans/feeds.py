@@ -111,7 +111,11 @@ def _text(time: str) -> str:
 
 
 def cart_changes(spark: SparkSession, folder: str) -> DataFrame:
-    rows = events(spark, folder).where("event_type IN ('click', 'view')")
+    return cart_changes_of(events(spark, folder))
+
+
+def cart_changes_of(rows: DataFrame) -> DataFrame:
+    rows = rows.where("event_type IN ('click', 'view')")
     return _change(
         rows,
         "cart_info",

@@ -490,6 +490,7 @@ ORACLE["stream_unique_visitor"] = ORACLE["unique_visitor_detail"]
 ORACLE["stream_user_jump"] = ORACLE["user_jump_10s"]
 ORACLE["stream_home_detail"] = ORACLE["home_detail_uv_window"]
 ORACLE["stream_login_back"] = ORACLE["login_back_window"]
+ORACLE["stream_cart_add_window"] = ORACLE["cart_add_uu_window"]
 ORACLE["stream_join_interval"] = _sql(
     """SELECT l.mid AS l_mid, l.log_id AS l_id, r.log_id AS r_id FROM page_log l JOIN page_log r ON l.mid = r.mid
     AND l.page_id = 'home' AND r.page_id = 'good_detail'

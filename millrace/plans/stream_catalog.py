@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import joins, visits, windows
+from millrace.operators import joins, trade, visits, windows
 from millrace.plans import feeds
 from millrace.plans.catalog import QUERIES
 from millrace.session import shared_dir
@@ -96,6 +96,13 @@ def stream_login_back(spark, folder):
     return windows.login_window(visits.marked_days(days))
 
 
+def stream_cart_add_window(spark, folder):
+    """Change log to cart facts as a stream; each user's first addition of a date falls as earlier ones come."""
+    changes = feeds.cart_changes_of(feeds.events_of(_stream(spark, folder, "events")))
+    times = trade.cart_add_user_times(trade.cart_add(changes, feeds.dictionary(spark)))
+    return windows.cart_add_window(_last_versions(spark, times, ["user_id", "day"]))
+
+
 def stream_join_interval(spark, folder):
     """Both sides as streams; the bounds in time tell when a row's partners have all come."""
     rows = _pages(spark, folder)
@@ -110,7 +117,7 @@ QUERIES.update(
         function.__name__: function
         for function in (
             stream_page_window, stream_keyword_window, stream_new_visitor_repair, stream_unique_visitor, stream_user_jump,
-            stream_home_detail, stream_login_back, stream_join_interval,
+            stream_home_detail, stream_login_back, stream_cart_add_window, stream_join_interval,
         )
     }
 )

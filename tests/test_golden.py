@@ -116,13 +116,13 @@ def test_config_feed_and_routing(spark):
     assert [(r.source_table, r.sink_columns) for r in config.collect()] == [("base_trademark", "id,tm_name")]
     log = changes(
         spark,
-        change("base_trademark", "insert", {"tm_name": "north", "logo_url": "n.png", "id": "31"}),
+        change("base_trademark", "insert", {"tm_name": "north", "logo_url": "n.png", "id": "11"}),
         change("base_region", "insert", {"id": "1"}),
         change("base_trademark", "delete", {"tm_name": "old", "id": "13"}),
     )
     routed = dims.route_dimensions(log, config).orderBy("data.id").collect()
     assert [(r.sink_table, r.sink_pk, r.data, r.op) for r in routed] == [
-        ("dim_base_trademark", "id", {"tm_name": "north", "id": "31"}, "u"),
+        ("dim_base_trademark", "id", {"tm_name": "north", "id": "11"}, "u"),
         ("dim_base_trademark", "id", {"tm_name": "old", "id": "13"}, "u"),
     ]
     assert dims.route_dimensions(log, config, apply_deletes=True).where("op = 'd'").count() == 1

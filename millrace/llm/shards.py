@@ -76,11 +76,10 @@ def shard_of(key: Column, bounds: np.ndarray) -> Column:
 
 
 def dealt_by_range(df: DataFrame, key: str, rows_per_range: int, *order: str) -> DataFrame:
-    """Rows with ``shard``, each shard whole in one partition and in the order of the key and ``order``."""
+    """Rows with ``shard``, each shard whole in a partition of its own and in the order of the key and ``order``."""
     bounds = range_bounds(df, key, rows_per_range)
-    return (
-        df.withColumn("shard", shard_of(F.col(key), bounds)).repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", key, *order)
-    )
+    placed = df.withColumn("shard", shard_of(F.col(key), bounds))
+    return placed.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", key, *order)
 
 
 def file_system(path: str):

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.tables import stored
+
 _BITS = 52
 
 
@@ -31,10 +33,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float], other: float = 1.0,
     chars = docs.groupBy("source").agg(F.sum(F.length(F.coalesce(docs["text"], F.lit(""))).cast("long")).alias("chars"))
     listed = F.create_map(*[F.lit(x).cast("string" if k % 2 == 0 else "double") for k, x in enumerate(i for kv in weights.items() for i in kv)]) if weights else None
     weight = F.coalesce(listed[F.col("source")], F.lit(other)) if weights else F.lit(other)
-    chars = chars.withColumn("weight", weight)
-    total = chars.agg(F.sum("chars").alias("all_chars"), F.sum("weight").alias("all_weight"))
-    rate = F.col("all_chars") * F.lit(size) * F.col("weight") / F.col("all_weight") / F.col("chars")
-    return chars.join(F.broadcast(total)).select("source", "chars", F.when(F.col("chars") > 0, rate).otherwise(1.0).alias("rate"))
+    chars = stored(chars.withColumn("weight", weight), "mixing-sources")
+    all_chars, all_weight = chars.agg(F.sum("chars"), F.sum("weight")).first()
+    rate = F.lit(float(all_chars or 0)) * F.lit(size) * F.col("weight") / F.lit(all_weight or 1.0) / F.col("chars")
+    return chars.select("source", "chars", F.when(F.col("chars") > 0, rate).otherwise(1.0).alias("rate"))
 
 
 def poisson_table(rate: Column) -> Column:

@@ -29,7 +29,7 @@ from millrace.llm.words import LETTER_OR_DIGIT, Words, find_words, slices
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 #: A word of a block is a number below this, so that three words make one 63-bit sort key.
 _WORDS = 1 << 21

@@ -220,7 +220,7 @@ def _signature_rows(docs: DataFrame, join: Join) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
-            for part in slices(batch, limit=2 << 20):
+            for part in slices(batch, limit=1 << 20):
                 sets = shingle_sets(part.column(1), join.shingle_words)
                 fresh = []
                 for d, digest in enumerate(zip(sets.sums(1).tolist(), sets.sums(2).tolist(), strict=True)):

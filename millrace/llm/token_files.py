@@ -159,7 +159,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
         bits = bits_for(own.vocabulary_size)
-        parts = (part for batch in batches for part in slices(batch, limit=BYTES_AT_ONCE))
+        parts = (part for batch in batches for part in slices(batch, limit=BYTES_AT_ONCE, keep=True))
         part, row = next(parts, None), 0
         while part is not None:
             shard = part.column(0)[row].as_py()

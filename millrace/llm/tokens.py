@@ -18,12 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.words import slices
+from millrace.llm.tables import stored
+from millrace.llm.words import kept_in_worker, slices
 
 #: Pieces kept by a worker; beyond that it begins anew.
-PIECES_AT_MOST = 1_200_000
+PIECES_AT_MOST = 1_000_000
 _PIECES_AT_ONCE = 400
-BYTES_AT_ONCE = 8 << 20
+BYTES_AT_ONCE = 4 << 20
 _IRREGULAR = re.compile(r" (?:\s|$)")
 
 
@@ -131,6 +132,7 @@ def encoder(path: str) -> Encoder:
     """The process's encoder of a vocabulary; pieces met in one task serve the next."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+        kept_in_worker.append(_encoders.clear)
     return _encoders[path]
 
 
@@ -142,7 +144,7 @@ def encoded_lengths(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         for batch in batches:
-            for part in slices(batch, limit=BYTES_AT_ONCE):
+            for part in slices(batch, limit=BYTES_AT_ONCE, keep=True):
                 _, first = encode(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(first))], names=["source", "n_tokens"])
 
@@ -154,8 +156,11 @@ LENGTHS_PER_STRETCH = 1024
 
 
 def length_histogram(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """source, n_tokens, n_docs: how many texts of a source have each encoded length. Exact; texts don't leave their task."""
-    return encoded_lengths(docs, path).groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    """source, n_tokens, n_docs: how many texts of a source have each encoded length. Exact; texts don't leave their task.
+
+    Written out, since answers read it more than once and encoding is dear.
+    """
+    return stored(encoded_lengths(docs, path).groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "length-histogram")
 
 
 def with_suffix_sums(histogram: DataFrame) -> DataFrame:

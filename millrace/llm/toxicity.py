@@ -85,7 +85,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, limit=8 << 20):
+            for part in slices(batch):
                 words, first = words_of(part.column(0))
                 coded = words.dictionary_encode()
                 n = max(1, len(coded.dictionary))
@@ -206,7 +206,7 @@ def _signs(rows: DataFrame, counts, settings: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(counts.value, settings)
         for batch in batches:
-            for part in slices(batch, limit=8 << 20):
+            for part in slices(batch):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scorer.signs(part.column(text)))], names=[*part.schema.names, SIGN])
 
     return rows.mapInArrow(run, T.StructType(fields))
@@ -253,6 +253,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
     rows = texts.where("kind >= 2") if apart else texts
     rounded = F.floor(F.col(SIGN) * 100)
     bins = _signs(rows.select("toxic", "text"), known, settings).groupBy(rounded.alias("x"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    if apart:
+        known.destroy()
     weight, bias = _logistic([((r["x"] + 0.5) / 100, r["toxic"], r["n"]) for r in bins])
     return table, weight, bias
 

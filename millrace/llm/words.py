@@ -7,7 +7,7 @@ of one comparison share a hash with a probability of about 2**-64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ SPACES = frozenset([0x20, *range(0x09, 0x0E)])
 NOT_SPACE = np.array([b not in SPACES for b in range(256)])
 LETTER_OR_DIGIT = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _HASHED_AT_ONCE = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -85,14 +85,25 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about ``limit`` bytes of text; a longer text comes alone and whole."""
+#: What clears the things that an operator keeps in its worker from task to task.
+kept_in_worker: list[Callable[[], None]] = []
+
+
+def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about ``limit`` bytes of text; a longer text comes alone and whole.
+
+    Workers live on from stage to stage. Unless ``keep``, what another operator has kept in this one is let go first.
+    """
+    if not keep:
+        while kept_in_worker:
+            kept_in_worker.pop()()
     _, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
     row = 0
     while row < batch.num_rows:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
         yield batch.slice(row, end - row)
         row = end
+    pa.default_memory_pool().release_unused()  # workers live on, and stages of other needs follow
 
 
 def _word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -9,8 +9,8 @@ counts), so an expression that neither class knows well says little for either.
 A text is compared in passages of a few words, over which the log-likelihoods are averaged (length-normalised), so a short insult in a long text still
 shows. The score is a logistic function of the highest passages, fitted on the labelled texts.
 
-Counts are summed up by Spark over all training texts and put in a table of fixed size by hash; that table is what the tasks get, and its size is a
-parameter, not a matter of the corpus. Labels of at most ``labelled_rows`` documents are used, chosen by hash where there are more.
+Counts are summed up by Spark over all labelled texts, every expression under a 64-bit key of its own, and stay a Spark table. If its measured size
+allows, tasks get it whole; otherwise the different expressions of each different text are joined to it.
 
 Defined cases: null and empty texts have no passages and get the score of a text without any sign; a document with several labels counts as toxic
 if one says so; labels that are null or of unknown documents are left out; without labels of both classes every score is the share of toxic labels, or 0;
@@ -19,37 +19,38 @@ repeated rows are scored each; language, source and id are no inputs; other colu
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.tables import stored
+from millrace.llm.tables import counted, stored
 from millrace.llm.words import mixed, slices
 
-#: Lengths of the beginnings of a word, the longest first; 0 is the whole word. Whole words are many, so they are counted under two hashes
-#: and the smaller count is taken.
-LEVELS = (0, 0, 6, 5, 4, 3)
-_WHOLE = 2
+#: Lengths of the beginnings of a word, the longest first; 0 is the whole word.
+LEVELS = (0, 6, 5, 4, 3)
+_WHOLE = 1
+_KEY = "millrace_toxic__"
+_ODD = 0xD6E8FEB86659FD93
 _SEPARATORS = r"[^\p{L}\p{N}]+"
 HELD_OUT = 1
 SECOND_PART = 2
 THRESHOLD = 0.7
 
 SIGN, SCORE = "__toxicity_sign", "__toxicity_score"
+FOUND, DIGEST = "__toxicity_found", ("__toxicity_d1", "__toxicity_d2")
 
 
 @dataclass(frozen=True)
 class Settings:
-    #: places of each level in the table of counts
-    places: int = 1 << 19
-    labelled_rows: int = 2_000_000
+    #: tables of counts of more expressions than this (24 bytes each) are joined, not broadcast
+    broadcast_entries: int = 4_000_000
     discount: float = 0.75
     passage: int = 3
     #: words of fewer characters carry no sign of their own
@@ -60,16 +61,10 @@ def held_out() -> Column:
     return (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == HELD_OUT) & F.col("doc_id").isNotNull()
 
 
-def training_labels(labels: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id and toxic of labelled documents outside the held-out part, at most about ``labelled_rows`` of them."""
+def training_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic of all labelled documents outside the held-out part."""
     rows = labels.where(labels["doc_id"].isNotNull() & labels["toxic"].isNotNull() & ~held_out())
-    rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    n = rows.count()
-    if n <= settings.labelled_rows:
-        return rows
-    # nine tenths of the bound, so that chance doesn't exceed it
-    part = int(0.9 * settings.labelled_rows / n * (1 << 31))
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < part)
+    return rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -101,91 +96,123 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return counted.agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(4)])
 
 
-def _places(words: list[str], settings: Settings) -> np.ndarray:
-    """Place of each word at each level, -1 where a beginning is as long as the word or the word is too short."""
-    out = np.full((len(LEVELS), len(words)), -1, np.int64)
+def _keys(words: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Key of each word at each level, and whether there is one: not where a beginning is as long as the word or the word is too short."""
+    words = words.cast(pa.string())
+    lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+    keys, known = np.zeros((len(LEVELS), len(words)), np.int64), np.zeros((len(LEVELS), len(words)), bool)
     for level, length in enumerate(LEVELS):
-        hashes = np.fromiter(
-            (zlib.crc32((w[:length] if length else w).encode(), level) if len(w) > length and len(w) >= settings.shortest else -1 for w in words),
-            np.int64, len(words),
-        )
-        known = hashes >= 0
-        out[level, known] = (mixed(hashes[known].astype(np.uint64)) % np.uint64(settings.places)).astype(np.int64)
-    return out
+        known[level] = (lengths > length) & (lengths >= settings.shortest)
+        part = pc.utf8_slice_codeunits(words, 0, length) if length else words
+        hashes = pd.util.hash_array(part.to_numpy(zero_copy_only=False), hash_key=_KEY, categorize=True)
+        keys[level] = mixed(hashes + np.uint64(level * _ODD % 2**64)).view(np.int64)
+    return keys, known
+
+
+@dataclass
+class Counts:
+    """Counts of expressions of both classes. ``rows`` (key, c0, c1) holds all; ``table`` the same, sorted by key, where it could be broadcast."""
+
+    rows: DataFrame
+    table: object
+    #: per class and level, the sum of counts and what the discount takes of it
+    total: np.ndarray
+    spare: np.ndarray
+
+    def destroy(self) -> None:
+        if self.table is not None:
+            self.table.destroy()
 
 
-def _table(words: DataFrame, settings: Settings) -> np.ndarray:
-    """Per level, class and place: counts of whole words (n0, n1), numbers of different words of beginnings. A table of fixed size."""
+def _counts(words: DataFrame, settings: Settings) -> Counts:
+    """Counts of whole words (n0, n1) and numbers of different words of beginnings, one row for every expression."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = _places(batch.column(0).to_pylist(), settings)
+            keys, known = _keys(batch.column(0), settings)
             counts = [batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2)]
             for level in range(len(LEVELS)):
                 # a word met once is known by its beginnings alone
-                known = (places[level] >= 0) & ((level >= _WHOLE) | (counts[0] + counts[1] > 1))
-                at, which = np.unique(places[level][known], return_inverse=True)
-                found = [np.bincount(which, (c if level < _WHOLE else c > 0)[known], len(at)).astype(np.int64) for c in counts]
+                here = known[level] & ((level >= _WHOLE) | (counts[0] + counts[1] > 1))
+                at, which = np.unique(keys[level][here], return_inverse=True)
+                found = [np.bincount(which, (c if level < _WHOLE else c > 0)[here], len(at)).astype(np.int64) for c in counts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((at + level * settings.places).astype(np.int32)), *map(pa.array, found)], names=["at", "c0", "c1"]
+                    [pa.array(at), pa.array(np.full(len(at), level, np.int32)), *map(pa.array, found)], names=["key", "level", "c0", "c1"]
                 )
 
-    sums = words.select("word", "n0", "n1").where("n0 + n1 > 0").mapInArrow(run, "at int, c0 long, c1 long").groupBy("at").agg(F.sum("c0").cast("int").alias("c0"), F.sum("c1").cast("int").alias("c1"))
-    out = np.zeros((2, len(LEVELS) * settings.places), np.float32)
-    found = sums.toArrow()
-    at = found.column("at").to_numpy()
+    sums = words.select("word", "n0", "n1").where("n0 + n1 > 0").mapInArrow(run, "key long, level int, c0 long, c1 long")
+    sums = stored(sums.groupBy("key", "level").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "toxicity-counts")
+    total, spare = np.zeros((2, len(LEVELS))), np.zeros((2, len(LEVELS)))
+    entries = 0
+    of_level = [F.count(F.lit(1)).alias("entries")]
     for k in (0, 1):
-        out[k, at] = found.column(f"c{k}").to_numpy()
-    return out.reshape(2, len(LEVELS), settings.places)
+        of_level += [F.sum(f"c{k}").alias(f"total{k}"), F.sum(F.least(F.col(f"c{k}"), F.lit(settings.discount))).alias(f"spare{k}")]
+    for r in sums.groupBy("level").agg(*of_level).collect():
+        entries += r["entries"]
+        for k in (0, 1):
+            total[k, r["level"]], spare[k, r["level"]] = r[f"total{k}"], r[f"spare{k}"]
+    rows, table = sums.select("key", "c0", "c1"), None
+    if entries <= settings.broadcast_entries:
+        found = rows.toArrow()
+        key, *counts = (found.column(c).to_numpy() for c in ("key", "c0", "c1"))
+        order = np.argsort(key)
+        table = words.sparkSession.sparkContext.broadcast((key[order], np.stack(counts)[:, order]))
+    return Counts(rows, table, total, spare)
+
+
+def _looked_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Counts (class, level, word) of the keys; 0 where the table has none."""
+    own, counts = table
+    out = np.zeros((2, *keys.shape))
+    if len(own):
+        at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+        met = known & (own[at] == keys)
+        out[:, met] = counts[:, at[met]]
+    return out
 
 
-def log_ratios(counts: np.ndarray, places: np.ndarray, discount: float) -> np.ndarray:
-    """Log of toxic over ordinary likelihood of each column of ``places``, from the shortest level up.
+def log_ratios(counts: np.ndarray, known: np.ndarray, total: np.ndarray, spare: np.ndarray, discount: float) -> np.ndarray:
+    """Log of toxic over ordinary likelihood of each word from its counts (class, level, word), from the shortest level up.
 
     At each level a class has c / N of the mass of an expression with c counts, less the discount, and gives the discounted rest to the level below,
     times the share that the expression has of the shorter beginning in both classes together.
     """
-    shared = counts.sum(axis=0)
-    total = np.maximum(counts.sum(axis=2, dtype=np.float64), 1.0)
-    spare = np.minimum(counts, discount).sum(axis=2, dtype=np.float64) / total
-    n = places.shape[1]
+    pooled_total = total.sum(axis=0)
+    n_all = np.maximum(total, 1.0)
+    spare = spare / n_all
+    n = known.shape[1]
     # before any level is known: the same for both classes
     likely = np.ones((2, n))
-    below = np.full(n, -1)
-    for level in range(len(LEVELS) - 1, _WHOLE - 2, -1):
-        at = places[level]
-        known = at >= 0
-        here = np.where(known, at, 0)
-        c = counts[:, level][:, here]
-        if level < _WHOLE:
-            c = np.minimum(c, counts[:, 0][:, np.where(known, places[0], 0)])
-        pooled = shared[level][here]
+    below = np.full(n, -1.0)
+    for level in range(len(LEVELS) - 1, -1, -1):
+        c = counts[:, level]
+        pooled = c.sum(axis=0)
         if level == len(LEVELS) - 1:
-            base = (pooled + 1.0) / (shared[level].sum(dtype=np.float64) + 1.0)
-            going_on = np.broadcast_to(base, (2, n))
+            going_on = np.broadcast_to((pooled + 1.0) / (pooled_total[level] + 1.0), (2, n))
         else:
             # how the beginning goes on, from both classes together: a word is one of the words, a beginning has some of them;
             # words without a shorter level begin here
-            whole = np.where(below >= 0, shared[level + 1][np.maximum(below, 0)], shared[-1].sum(dtype=np.float64))
+            whole = np.where(below >= 0, below, pooled_total[-1])
             share = np.minimum(1.0, np.where(level >= _WHOLE, pooled + 0.5, 1.0) / (whole + 1.0))
             going_on = likely * share
-        smoothed = np.maximum(c - discount, 0.0) / total[:, level, None] + np.maximum(spare[:, level, None], 1e-3) * going_on
-        likely = np.where(known, smoothed, likely)
-        below = np.where(known, at, below)
+        smoothed = np.maximum(c - discount, 0.0) / n_all[:, level, None] + np.maximum(spare[:, level, None], 1e-3) * going_on
+        likely = np.where(known[level], smoothed, likely)
+        below = np.where(known[level], pooled, below)
     return np.log(likely[1]) - np.log(likely[0])
 
 
 class Scorer:
-    """Signs of texts under a table of counts; remembers words met before, up to a bound."""
+    """Signs of texts under given totals; the counts of their expressions come with them."""
 
-    def __init__(self, counts: np.ndarray, settings: Settings) -> None:
-        self.counts, self.settings = counts, settings
+    def __init__(self, total: np.ndarray, spare: np.ndarray, settings: Settings) -> None:
+        self.total, self.spare, self.settings = total, spare, settings
 
-    def signs(self, texts: pa.Array) -> np.ndarray:
+    def signs(self, texts: pa.Array, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """The highest mean log-likelihood ratio of a passage of each text; 0 for a text without words."""
         words, first = words_of(texts)
         coded = words.dictionary_encode()
-        ratio = log_ratios(self.counts, _places(coded.dictionary.to_pylist(), self.settings), self.settings.discount)
+        keys, known = _keys(coded.dictionary, self.settings)
+        ratio = log_ratios(_looked_up(table, keys, known), known, self.total, self.spare, self.settings.discount)
         values = ratio[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0)
         n = self.settings.passage
         sums = np.concatenate([[0.0], np.cumsum(values)])
@@ -198,18 +225,65 @@ class Scorer:
         return out
 
 
-def _signs(rows: DataFrame, counts, settings: Settings) -> DataFrame:
+def _wanted_keys(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Digest of each different text and the keys of its expressions, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                words, first = words_of(part.column(2))
+                coded = words.dictionary_encode()
+                keys, known = _keys(coded.dictionary, settings)
+                index = coded.indices.to_numpy(zero_copy_only=False)
+                for d in range(part.num_rows):
+                    own = np.unique(index[first[d] : first[d + 1]])
+                    wanted = np.unique(keys[:, own][known[:, own]])
+                    digest = [part.column(k).slice(d, 1).take(pa.array(np.zeros(len(wanted), np.int64))) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*digest, pa.array(wanted)], names=["d1", "d2", "key"])
+
+    texts = rows.where(F.length("text") > 0).select(*_digests(), "text").dropDuplicates(["d1", "d2"])
+    return texts.mapInArrow(run, "d1 long, d2 long, key long")
+
+
+def _digests() -> list[Column]:
+    return [F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), F.col("text")).alias("d2")]
+
+
+def _signs(rows: DataFrame, counts: Counts, settings: Settings) -> DataFrame:
     """The rows, text included, with the sign of each text. Rows keep their columns whatever their names; none but the text is looked at."""
     fields = [*rows.schema.fields, T.StructField(SIGN, T.DoubleType())]
-    text = rows.columns.index("text")
+    text, table, total, spare = rows.columns.index("text"), counts.table, counts.total, counts.spare
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(counts.value, settings)
+        scorer = Scorer(total, spare, settings)
         for batch in batches:
             for part in slices(batch):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scorer.signs(part.column(text)))], names=[*part.schema.names, SIGN])
+                signs = scorer.signs(part.column(text), table.value)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(signs)], names=[*part.schema.names, SIGN])
+
+    if table is not None:
+        return rows.mapInArrow(run, T.StructType(fields))
 
-    return rows.mapInArrow(run, T.StructType(fields))
+    # the table is large: each text comes with the counts of its own expressions
+    def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(total, spare, settings)
+        for batch in batches:
+            for part in slices(batch):
+                signs, found = np.zeros(part.num_rows), part.column(part.num_columns - 1)
+                for d in range(part.num_rows):
+                    own = found[d].values
+                    if own is None or not len(own):
+                        own = pa.StructArray.from_arrays([pa.array([], pa.int64())] * 3, names=["key", "c0", "c1"])
+                    key, *c = (x.to_numpy(zero_copy_only=False) for x in own.flatten())
+                    order = np.argsort(key)
+                    signs[d] = scorer.signs(part.column(text).slice(d, 1), (key[order], np.stack(c)[:, order]))[0]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(signs)], names=[*part.schema.names[:-1], SIGN])
+
+    found = _wanted_keys(rows, settings).join(counts.rows, "key").groupBy(
+        F.col("d1").alias(DIGEST[0]), F.col("d2").alias(DIGEST[1])
+    ).agg(F.collect_list(F.struct("key", "c0", "c1")).alias(FOUND))
+    with_digest = rows.withColumns(dict(zip(DIGEST, _digests(), strict=True)))
+    return with_digest.join(found, list(DIGEST), "left").select(*(f"`{c}`" for c in rows.columns), FOUND).mapInArrow(run_joined, T.StructType(fields))
 
 
 def _logistic(bins: list) -> tuple[float, float]:
@@ -230,14 +304,12 @@ def _logistic(bins: list) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
-    """Counts and the logistic function from the labelled documents outside the held-out part: (broadcast table or None, weight, bias).
+    """Counts and the logistic function from the labelled documents outside the held-out part: (counts or None, weight, bias).
 
     The logistic function is fitted where the counts don't know the texts: counts of one part, texts of the other.
     """
-    spark = docs.sparkSession
-    chosen = training_labels(labels, settings)
-    # bounded by labelled_rows, 12 bytes each
-    texts = docs.join(F.broadcast(chosen), "doc_id").select(docs["text"].cast("string").alias("text"), "toxic", "doc_id")
+    chosen = training_labels(labels)
+    texts = docs.join(counted(chosen), "doc_id").select(docs["text"].cast("string").alias("text"), "toxic", "doc_id")
     second = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == SECOND_PART
     texts = texts.withColumn("kind", (F.col("toxic") + F.when(second, 2).otherwise(0)).cast("int"))
     words = stored(_word_counts(texts.select("text", "kind")).where("word <> ''"), "toxicity-words")
@@ -247,25 +319,25 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
         share = chosen.agg(F.avg("toxic")).first()[0]
         return None, 0.0, float(share or 0.0)
     everything = words.select("word", (F.col("n0") + F.col("n2")).alias("n0"), (F.col("n1") + F.col("n3")).alias("n1"))
-    table = spark.sparkContext.broadcast(_table(everything, settings))
+    counts = _counts(everything, settings)
     apart = all(n)
-    known = spark.sparkContext.broadcast(_table(words, settings)) if apart else table
+    known = _counts(words, settings) if apart else counts
     rows = texts.where("kind >= 2") if apart else texts
     rounded = F.floor(F.col(SIGN) * 100)
     bins = _signs(rows.select("toxic", "text"), known, settings).groupBy(rounded.alias("x"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
     if apart:
         known.destroy()
     weight, bias = _logistic([((r["x"] + 0.5) / 100, r["toxic"], r["n"]) for r in bins])
-    return table, weight, bias
+    return counts, weight, bias
 
 
 def _scored(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
     """The documents with a column ``SCORE``, whose name no table has."""
-    table, weight, bias = train(docs, labels, settings)
-    if table is None:
+    counts, weight, bias = train(docs, labels, settings)
+    if counts is None:
         return docs.withColumn(SCORE, F.lit(bias))
     z = F.lit(weight) * F.col(SIGN) + F.lit(bias)
-    return _signs(docs, table, settings).withColumn(SCORE, 1 / (1 + F.exp(-z))).drop(SIGN)
+    return _signs(docs, counts, settings).withColumn(SCORE, 1 / (1 + F.exp(-z))).drop(SIGN)
 
 
 def with_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -5,10 +5,11 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import decontaminate, jaccard, pii, quality, token_files, tokens, warc
+from millrace.llm import decontaminate, jaccard, pii, quality, token_files, tokens, toxicity, warc
 from millrace.llm.words import LETTER_OR_DIGIT, NOT_SPACE, find_words, slices
 from tests.llm import brute
 
@@ -130,3 +131,21 @@ def test_archive_record():
     headers, block = warc.parse_record(plain)
     assert headers["WARC-Target-URI"] == "http://a.example/ x" and block.endswith("\r\n\r\né".encode())
     assert headers["WARC-Payload-Digest"] == f"sha1:{warc.digest32('é'.encode())}"
+
+
+def test_toxicity_counts_of_large_vocabularies(spark):
+    """Each expression has counts of its own, and joined counts give the scores of broadcast ones."""
+    words = spark.range(1_500_000).selectExpr("concat('w', hex(id)) AS word", "2L AS n0", "0L AS n1")
+    counts = toxicity._counts(words, toxicity.Settings(broadcast_entries=0))
+    keys, known = toxicity._keys(pa.array(["wABCDE", "w12345"]), toxicity.Settings())
+    own = counts.rows.where(F.col("key").isin(keys[0].tolist())).collect()
+    assert known[0].all() and [(r.c0, r.c1) for r in own] == [(2, 0)] * 2
+    assert counts.table is None and counts.total[:, 0].tolist() == [3_000_000 - 2 * 16, 0]
+
+
+def test_toxicity_joined_or_broadcast(spark, documents):
+    docs = documents.limit(300).unionByName(documents.limit(5))
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 4 = 0 AS int) AS toxic").distinct()
+    rows = [sorted(toxicity.score(docs, labels, toxicity.Settings(broadcast_entries=n)).collect()) for n in (0, 4_000_000)]
+    assert [r[:1] + r[2:] for r in rows[0]] == [r[:1] + r[2:] for r in rows[1]]
+    assert all(abs(a.score - b.score) < 1e-9 for a, b in zip(*rows, strict=True))

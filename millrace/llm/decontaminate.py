@@ -139,14 +139,18 @@ def suffix_array(stream: np.ndarray, depth: int) -> np.ndarray:
     return array
 
 
-def _search(stream: np.ndarray, array: np.ndarray, wanted: np.ndarray, lengths: np.ndarray, right: bool) -> np.ndarray:
-    """For every row of ``wanted``, where its first ``lengths`` words go in the array: before equal suffixes, or after."""
-    low, high = np.zeros(len(wanted), np.int64), np.full(len(wanted), len(array), np.int64)
+def _search(stream, array, wanted, lengths, right, within=None, skip=0) -> np.ndarray:  # noqa: PLR0913
+    """For every row of ``wanted``, where its first ``lengths`` words go in the array: before equal suffixes, or after.
+
+    ``within`` (low, high) is the range of the array for each row; its suffixes are compared from their word ``skip`` on, up to which they are equal.
+    """
+    low, high = within or (np.zeros(len(wanted), np.int64), np.full(len(wanted), len(array), np.int64))
+    low, high = low.copy(), high.copy()
     width = wanted.shape[1]
     beyond = np.arange(width)[None, :] >= lengths[:, None]
     while (open_ := np.flatnonzero(low < high)).size:
         middle = (low[open_] + high[open_]) // 2
-        have = _padded(stream, array[middle], width)
+        have = _padded(stream, array[middle] + skip, width)
         have[beyond[open_]] = 0
         differs = have != wanted[open_]
         column = differs.argmax(axis=1)
@@ -175,10 +179,17 @@ class Shard:
 
     def longest(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """For each suffix of the block's items: the words of its longest match in the shard, and the place of one (-1: none)."""
-        width = 64
-        rows = _padded(block.suffixes, block.suffix_item, width)
-        at = _search(self.stream, self.array, rows, np.full(len(rows), width), right=False)
-        length, place = np.zeros(len(rows), np.int64), np.full(len(rows), -1, np.int64)
+        width, n = 64, len(block.suffix_item)
+        at, end = np.zeros(n, np.int64), np.full(n, len(self.array), np.int64)
+        # 64 words at a time, within the range of those that are equal so far, until none is or the item ends
+        going, skip = np.arange(n), 0
+        while going.size:
+            rows, lengths = _padded(block.suffixes, block.suffix_item[going] + skip, width), np.full(len(going), width)
+            low = _search(self.stream, self.array, rows, lengths, False, (at[going], end[going]), skip)
+            high = _search(self.stream, self.array, rows, lengths, True, (low, end[going]), skip)
+            at[going], end[going] = low, high
+            going, skip = going[(low < high) & (rows[:, -1] > 0)], skip + width
+        length, place = np.zeros(n, np.int64), np.full(n, -1, np.int64)
         for beside in (at - 1, at):
             ok = np.flatnonzero((beside >= 0) & (beside < len(self.array)))
             here = self.array[beside[ok]]

@@ -140,6 +140,17 @@ def test_longest_matches(spark, odd):
     assert [(r.word, r.n_words) for r in best] == [(1, 6), (2, 5)] and best[0].doc_id in (7, 8, 9, 10, 11, 13) and best[0].doc_word % 24 == 1
 
 
+def test_longest_matches_of_long_passages(spark):
+    """Of several partial copies that share more than 64 words, the longest counts, with its place."""
+    item = [f"w{k}" for k in range(150)]
+    for lengths in ([70, 100], [70, 100, 149, 130], [64, 65, 128, 129], [150, 70]):
+        docs = spark.createDataFrame([(n, " ".join(["x", *item[:n], "unknown"])) for n in lengths], "doc_id long, text string").coalesce(1)
+        best = decontaminate.longest_matches(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+        longest = max(lengths)
+        found = {r.word: (r.n_words, r.doc_id, r.doc_word) for r in best.collect()}
+        assert found == {k: (longest - k, longest, k + 1) for k in range(longest - 4)}
+
+
 def test_quality(spark, odd, nothing):
     judged = quality.judge(odd)
     assert judged.count() == odd.count() and judged.where("kept AND n_words < 20").count() == 0

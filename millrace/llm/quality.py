@@ -10,7 +10,8 @@ median is that of a chi-square, exceeds ``cutoff``; documents that fail the base
 A group is never gathered: each step is a grouped sum and an approximate percentile (rank error 1e-4), reduced where rows are read.
 
 Defined cases: null and empty texts have no words and fail the base rule; null language or source is a group of its own; groups under
-``least_rows`` documents have no estimate and keep what the base rule keeps; repeated rows count each; other columns are ignored.
+``least_rows`` documents are judged by the estimate of their language, then of all documents, and keep what the base rule keeps if that has too few as
+well; repeated rows count each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ _BLANK = " \t\n\v\f\r"
 DIMENSIONS = 5
 #: Median of the chi-square distribution with five degrees of freedom.
 CHI_SQUARE_MEDIAN = 4.351
+#: Its 0.999 quantile.
+CHI_SQUARE_FAR = 20.515
 
 
 @dataclass(frozen=True)
@@ -46,7 +49,12 @@ class Rule:
     least_rows: int = 50
     #: least spread of a part, so that a part that is constant in most documents doesn't reject the rest
     least_spread: float = 0.25
-    cutoff: float = 150.0
+    #: by how much the tails of real texts, above all of their lengths, exceed those of the chi-square distribution (README)
+    tail: float = 3.0
+
+    @property
+    def cutoff(self) -> float:
+        return self.tail * CHI_SQUARE_FAR
 
 
 def _repeated_lines(text: str) -> tuple[int, int]:
@@ -195,11 +203,33 @@ def robust_estimates(rows: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return _with_estimate(best, scale)
 
 
+def _of_small_groups(rows: DataFrame, estimate: DataFrame, rule: Rule) -> DataFrame:
+    """For groups without an estimate, the one of their language, or else of all rows; a group without either has none."""
+    names = rows.schema["lang"].dataType, rows.schema["source"].dataType
+    any_lang, any_source = F.lit(None).cast(names[0]), F.lit(None).cast(names[1])
+    found = estimate.select(*GROUP, F.lit(True).alias("found"))
+    small = stored(_with_estimate(rows.select(*GROUP).distinct(), found, "left").where("found IS NULL").drop("found"), "mcd-small")
+    if small.isEmpty():
+        return estimate
+    languages = small.select(F.col("lang").alias("l")).distinct()
+    of_language = rows.join(languages, F.col("lang").eqNullSafe(F.col("l")), "left_semi").withColumn("source", any_source)
+    by_language = stored(robust_estimates(of_language, rule), "mcd-language").drop("source").withColumnRenamed("lang", "l")
+    placed = stored(small.join(by_language, F.col("lang").eqNullSafe(F.col("l")), "left").drop("l"), "mcd-placed")
+    left = placed.where("place IS NULL").select(*GROUP)
+    estimate = estimate.unionByName(placed.where("place IS NOT NULL"))
+    if left.isEmpty():
+        return estimate
+    of_all = robust_estimates(rows.withColumns({"lang": any_lang, "source": any_source}), rule).drop(*GROUP)
+    return estimate.unionByName(left.crossJoin(of_all))
+
+
 def judge(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Measures, base_failed, distance (null without an estimate) and kept for every document."""
     rows = stored(measure(docs), "quality-measures").withColumn("base_failed", base_failed())
     rows = rows.withColumn("x", F.array(*vector()))
-    estimate = stored(robust_estimates(rows.where(~F.col("base_failed")), rule), "mcd-final")
+    judged = rows.where(~F.col("base_failed"))
+    estimate = stored(robust_estimates(judged, rule), "mcd-groups")
+    estimate = stored(_of_small_groups(judged, estimate, rule), "mcd-final")
     far = _with_estimate(rows, estimate, "left").withColumn("distance", _distance() / F.col("scale"))
     inside = F.coalesce(F.col("distance") <= rule.cutoff, F.lit(True))
     return far.withColumn("kept", ~F.col("base_failed") & inside).drop("x", "place", "inverse", "scale")

@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -168,6 +169,30 @@ def test_quality_outlier(spark):
     assert all(judged[k].kept or judged[k].base_failed for k in range(200))
 
 
+def test_quality_outliers_in_small_groups(spark):
+    """Small groups are judged by their language, then by all documents."""
+    rnd = random.Random(5)
+
+    def text(again):
+        word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9)))
+        lines = [" ".join([*(word() for _ in range(6)), "#" * rnd.randint(0, 4)]) for _ in range(rnd.randint(20, 60))]
+        return "\n".join(lines + [rnd.choice(lines) for _ in range(int(again * len(lines)))])
+
+    symbols = "\n".join(f"#$%& word{k} *|<> other{k} ###$$$" for k in range(40))
+    docs = [(k, text(rnd.random() * 0.2), "en", "s") for k in range(300)]
+    docs += [(1000, symbols, "en", "small"), (1001, symbols, "xx", "t"), (1002, text(0), "en", "small"), (1003, text(0), "xx", "t")]
+    judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(not judged[k].base_failed and judged[k].distance is not None for k in range(1000, 1004))
+    assert [judged[k].kept for k in range(1000, 1004)] == [False, False, True, True]
+    assert sum(judged[k].kept for k in range(300)) >= 297
+
+
+def test_quality_cutoff():
+    """Nearly all lines repeated, in a group whose distances need no scaling, is beyond the cutoff; most varied texts are within."""
+    rule = quality.Rule()
+    assert quality.CHI_SQUARE_FAR < rule.cutoff < (1.98 / rule.least_spread) ** 2
+
+
 def test_mixing(odd, nothing):
     mixed = mixing.mix(odd.drop("copy"), {"a": 4.0}, seed="s").collect()
     assert all(r.copy >= 1 for r in mixed)

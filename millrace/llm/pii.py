@@ -39,6 +39,8 @@ _NUMBER = re.compile(r"[A-Za-z]{0,2}[0-9][0-9A-Za-z-]{4,33}(?![0-9A-Za-z])")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _HANDLE = re.compile(r"@[A-Za-z0-9_]{3,32}")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+# same positions, which str.lower doesn't keep
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -53,8 +55,7 @@ def _automaton() -> ahocorasick.Automaton:
     found.add_word("@", (1, "at"))
     for words, kind in ((SCHEMES, "scheme"), (CUES, "cue")):
         for word in words:
-            for form in {word, word.upper(), word.capitalize()}:
-                found.add_word(form, (len(form), kind))
+            found.add_word(word, (len(word), kind))
     found.make_automaton()
     return found
 
@@ -89,7 +90,7 @@ class Finder:
             if valid:
                 found.append((start, end, kind))
 
-        for last, (length, kind) in self.anchors.iter(text):
+        for last, (length, kind) in self.anchors.iter(text.translate(_LOWER)):
             at = last - length + 1
             if kind == "digits":
                 if at >= past["card"]:

@@ -149,3 +149,9 @@ def test_toxicity_joined_or_broadcast(spark, documents):
     rows = [sorted(toxicity.score(docs, labels, toxicity.Settings(broadcast_entries=n)).collect()) for n in (0, 4_000_000)]
     assert [r[:1] + r[2:] for r in rows[0]] == [r[:1] + r[2:] for r in rows[1]]
     assert all(abs(a.score - b.score) < 1e-9 for a, b in zip(*rows, strict=True))
+
+
+@pytest.mark.parametrize("text", ["User ID: 12345678", "İ Customer No 4711001", "User Id 12345678", "uSeR iD 12345678", "Https://example.org/a", "SSN 123456789"])
+def test_cues_of_any_case(text):
+    found = [(text[a:b], kind) for a, b, kind in pii.Finder().spans(text) if kind in ("account", "url")]
+    assert found == [(text.split(" ")[-1], "url" if "://" in text else "account")]

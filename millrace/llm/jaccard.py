@@ -357,17 +357,31 @@ def similarity_links(docs: DataFrame, copies: DataFrame, join: Join) -> DataFram
 def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for every document."""
     described = stored(describe(docs, join), "jaccard-sizes")
+    several = described.groupBy("doc_id").agg(F.min(F.struct("n", "d1", "d2")).alias("a"), F.max(F.struct("n", "d1", "d2")).alias("z")).where("a <> z")
+    if several.isEmpty():
+        return _components_of_sets(docs, described, join)
+    # ids with several texts: each text is a node of its own, and the nodes of an id are linked at the end
+    texts = _texts(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("node"), "text")
+    nodes = stored(texts.select("node", "doc_id").distinct(), "jaccard-nodes")
+    by_node = texts.select(F.col("node").alias("doc_id"), "text")
+    placed = stored(_components_of_sets(by_node, stored(describe(by_node, join), "jaccard-node-sizes"), join), "jaccard-placed")
+    links = placed.select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    of_id = nodes.join(nodes.groupBy("doc_id").agg(F.min("node").alias("v")), "doc_id").select(F.col("node").alias("u"), "v")
+    top = components(links.unionByName(of_id)).select(F.col("u").alias("node"), F.col("v").alias("top"))
+    nodes = nodes.join(top, "node", "left").select("node", "doc_id", F.coalesce("top", "node").alias("top"))
+    least = nodes.groupBy("top").agg(F.min("doc_id").alias("component_id"))
+    rows = placed.select(F.col("doc_id").alias("node"), "n_shingles").join(nodes, "node").join(least, "top")
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
+def _components_of_sets(docs: DataFrame, described: DataFrame, join: Join) -> DataFrame:
+    """Components where each doc_id has one set, though maybe several rows."""
     filled = described.where("n > 0")
     classes = filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("members")).where("members > 1")
     # equal sets: each copy knows the smallest id of its class
     copies = stored(filled.join(classes.drop("members"), ["d1", "d2", "n"]).where("doc_id <> class_id").select("doc_id", "class_id").distinct(), "jaccard-copies")
     first_class = copies.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     joined = similarity_links(docs, first_class, join)
-    # a document id with several texts may be in several classes: its copies are links too
-    several = copies.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if not several.isEmpty():
-        joined = components(joined.unionByName(copies.select(F.col("doc_id").alias("u"), F.col("class_id").alias("v"))))
-        first_class = first_class.limit(0)
     top = joined.select(F.col("u").alias("t_u"), F.col("v").alias("top"))
     placed = described.join(first_class, "doc_id", "left")
     placed = placed.withColumn("c", F.coalesce("class_id", "doc_id")).join(top, F.col("c") == F.col("t_u"), "left")

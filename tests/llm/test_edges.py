@@ -64,6 +64,16 @@ def test_jaccard(odd, nothing, rows):
     assert jaccard.jaccard_components(nothing).count() == 0
 
 
+def test_jaccard_ids_with_several_texts(spark):
+    """Links of any text of an id are links of the id."""
+    text = lambda p: [f"{p}{k}" for k in range(100)]
+    near = [*text("b")[:-1], "other"]
+    rows = [(7, text("a")), (7, text("b")), (3, text("a")), (5, near), (7, text("b")), (9, text("c")), (8, ["d"]), (8, [])]
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard.jaccard_components(docs).collect())
+    assert got == [(3, 97, 3), (5, 97, 3), (7, 97, 3), (7, 97, 3), (7, 97, 3), (8, 0, 8), (8, 1, 8), (9, 97, 9)]
+
+
 def test_jaccard_near_copies_in_a_chain(spark):
     """A chain of texts, each linked to the next ones only, and a crowd of near copies, with few signatures kept."""
     words = [f"w{k}" for k in range(400)]

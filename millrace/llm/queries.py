@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, mixing, pii, quality, token_files, tokens, toxicity, warc
+from millrace.llm import chat, decontaminate, jaccard, mixing, pii, quality, token_files, tokens, toxicity, vector_codes, warc
 from millrace.llm.tables import read_table
 from millrace.session import shared_dir
 
@@ -192,3 +192,50 @@ FROM bits"""
 def op4_toxicity(spark, folder):
     scored = toxicity.score(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_vector_codes(spark, folder):
+    coded, books = vector_codes.compress(read_table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """The rounds written out one after another."""
+    nearest = """
+a{r} AS MATERIALIZED (
+  SELECT x.p, x.part, min((x.xx - 2 * list_inner_product(x.d, c.d) + c.cc)::BIGINT * 256 + c.e) AS best
+  FROM different x JOIN b{r} c ON x.p = c.p GROUP BY x.p, x.part)"""
+    after = """,
+m{r} AS (
+  SELECT p, e, place, sum(value * n)::HUGEINT AS s, sum(n)::HUGEINT AS c
+  FROM (SELECT x.p, best % 256 AS e, x.n, unnest(x.part) AS value, generate_subscripts(x.part, 1) AS place
+    FROM different x JOIN a{r} a ON x.p = a.p AND x.part = a.part)
+  GROUP BY p, e, place),
+f{r} AS (SELECT p, e, list(((s - ((s % c) + c) % c) // c)::BIGINT ORDER BY place) AS part FROM m{r} GROUP BY p, e),
+b{n} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(f.part, b.part) AS part, coalesce(f.part, b.part)::DOUBLE[] AS d,
+    list_inner_product(coalesce(f.part, b.part)::DOUBLE[], coalesce(f.part, b.part)::DOUBLE[]) AS cc
+  FROM b{r} b LEFT JOIN f{r} f ON b.p = f.p AND b.e = f.e),"""
+    steps = "".join(nearest.format(r=r) + (after.format(r=r, n=r + 1) if r < rounds else ",") for r in range(rounds + 1))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, p, list_slice(v, p * len(v) // 4 + 1, (p + 1) * len(v) // 4) AS part FROM kept, range(4) AS r(p)),
+different AS MATERIALIZED (
+  SELECT p, part, count(*) AS n, part::DOUBLE[] AS d, list_inner_product(part::DOUBLE[], part::DOUBLE[]) AS xx FROM parts GROUP BY p, part),
+b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, part, part::DOUBLE[] AS d,
+    list_inner_product(part::DOUBLE[], part::DOUBLE[]) AS cc
+  FROM parts QUALIFY e < 256),{steps}
+coded AS (
+  SELECT k.vec_id, any_value(k.label) AS label, string_agg(printf('%02x', a.best % 256), '' ORDER BY p.p) AS code, sum(a.best // 256)::BIGINT AS error
+  FROM kept k JOIN parts p ON k.vec_id = p.vec_id JOIN a{rounds} a ON a.p = p.p AND a.part = p.part GROUP BY k.vec_id),
+books AS (
+  SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded, books"""
+
+
+ORACLE["op11_vector_codes"] = _codes_sql()

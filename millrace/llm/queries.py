@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, mixing, pii, quality, token_files, tokens, toxicity, vector_codes, warc
+from millrace.llm import audit, chat, decontaminate, jaccard, mixing, pii, quality, token_files, tokens, toxicity, vector_codes, warc
 from millrace.llm.tables import read_table
 from millrace.session import shared_dir
 
@@ -239,3 +239,44 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 
 
 ORACLE["op11_vector_codes"] = _codes_sql()
+
+
+@query
+def op12_filter_interactions(spark, folder):
+    return audit.interactions(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+ORACLE["op12_filter_interactions"] = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marked AS (
+  SELECT doc_id, part, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+    regexp_matches(text, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM words),
+docs AS (
+  SELECT m.*, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic FROM marked m LEFT JOIN labels l USING (doc_id)),
+orders AS (
+  SELECT a || b || c || d || e AS filter_order, list_transform([a, b, c, d, e], lambda x: ascii(x) - 64) AS o
+  FROM (SELECT chr(k::INT) AS a FROM range(65, 70) r(k)), (SELECT chr(k::INT) AS b FROM range(65, 70) r(k)), (SELECT chr(k::INT) AS c FROM range(65, 70) r(k)),
+    (SELECT chr(k::INT) AS d FROM range(65, 70) r(k)), (SELECT chr(k::INT) AS e FROM range(65, 70) r(k))
+  WHERE len(list_distinct([a, b, c, d, e])) = 5),
+groups AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM docs GROUP BY ALL),
+steps AS (
+  SELECT part, filter_order, step::INT AS step, o[step] AS f, n, good, toxic,
+    fails[o[step]] AS failing, list_bool_or(list_transform(o[1:step - 1], lambda k: fails[k])) IS TRUE AS gone,
+    len(list_filter(fails, lambda x: x)) = 1 AS alone
+  FROM groups, orders, range(1, 6) AS s(step)),
+summed AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT gone AND failing), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (gone AND failing), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (failing AND alone), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND failing), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND failing), 0)::BIGINT AS toxic_lost
+  FROM steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley
+FROM summed"""

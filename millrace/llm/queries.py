@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import audit, chat, decontaminate, jaccard, mixing, pii, quality, token_files, tokens, toxicity, vector_codes, warc
+from millrace.llm import audit, chat, decontaminate, exact_dedup, jaccard, mixing, pii, quality, token_files, tokens, toxicity, vector_codes, warc
 from millrace.llm.tables import read_table
 from millrace.session import shared_dir
 
@@ -280,3 +280,14 @@ summed AS (
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley
 FROM summed"""
+
+
+@query
+def op13_exact_dedup(spark, folder):
+    return exact_dedup.deduplicate(read_table(spark, folder, "documents"), shared_dir(spark, "dedup-index"))
+
+
+ORACLE["op13_exact_dedup"] = r"""
+WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents),
+placed AS (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size FROM plain)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM placed"""

@@ -33,7 +33,7 @@ from millrace.llm.tables import stored
 KEYS_PER_BUCKET = 1 << 17
 LEAST_BUCKETS = 64
 _COMBINED_AT_ONCE = 100_000
-_FILES_AT_MOST = 8
+FILES_AT_MOST = 8
 _CHUNK = 4096
 _SPACES = r"[\x20\x09-\x0D]+"
 
@@ -95,8 +95,8 @@ def _keys(digests: list[bytes]) -> np.ndarray:
 class _Bucket:
     """One bucket's filter and content, as a task holds it."""
 
-    def __init__(self, path: str, state: dict, version: int) -> None:
-        self.path, self.state, self.version = path, state, version
+    def __init__(self, path: str, state: dict, version: int, files_at_most: int = FILES_AT_MOST) -> None:
+        self.path, self.state, self.version, self.files_at_most = path, state, version, files_at_most
         if state["filter"]:
             system, inner = file_system(f"{path}/{state['filter']}")
             with system.open_input_stream(inner) as stream:
@@ -147,7 +147,7 @@ class _Bucket:
             self.state["n_keys"] += len(digests) - len(there)
             for digest, entry in chunk.items():
                 _merged(added, digest, entry)
-        if len(self.state["files"]) >= _FILES_AT_MOST:
+        if len(self.state["files"]) >= self.files_at_most:
             for digest, entry in self.content.items():
                 _merged(added, digest, entry)
             self.state["files"] = []
@@ -176,6 +176,9 @@ class _Bucket:
 class DedupIndex:
     """An index under a folder that driver and executors share."""
 
+    #: a bucket with so many content files puts them together at the next insertion
+    files_at_most = FILES_AT_MOST
+
     def __init__(self, spark: SparkSession, path: str, buckets: int, version: int) -> None:
         self.spark, self.path, self.buckets, self.version = spark, path, buckets, version
 
@@ -212,12 +215,12 @@ class DedupIndex:
 
     def _next_version(self, arrived: DataFrame, change) -> None:
         """Applies ``change(bucket, rows)`` to every bucket with rows and commits the manifest of all."""
-        path, version = self.path, self.version + 1
+        path, version, most = self.path, self.version + 1, self.files_at_most
 
         def run(rows: pa.Table, manifest: pa.Table) -> pa.Table:
             state = manifest.to_pylist()[0]
             if rows.num_rows:
-                change(_Bucket(path, state, version), rows)
+                change(_Bucket(path, state, version, most), rows)
             return pa.Table.from_pylist([state], schema=manifest.schema)
 
         held = self.manifest()

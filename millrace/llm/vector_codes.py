@@ -219,7 +219,8 @@ def encode(rows: DataFrame, books: Books, width: int, coding: Coding = Coding())
 
 def with_label_errors(coded: DataFrame) -> DataFrame:
     """The coded rows and label_error, the errors summed over equal labels; rows without label are one group."""
-    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(_LARGEST).cast("decimal(38,0)")).cast("long")
+    exact = F.sum(F.col("error").cast("decimal(38,0)"))
+    total = F.when(exact > _LARGEST, F.lit(_LARGEST)).otherwise(exact.cast("long"))
     sums = coded.groupBy(F.col("label").alias("_label")).agg(total.alias("label_error"))
     return coded.join(sums, coded["label"].eqNullSafe(sums["_label"])).drop("_label")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import times
-from millrace.operators import changelog, dims, joins, log_split, trade, visits, windows
+from millrace.operators import asof, changelog, dims, joins, log_split, trade, visits, windows
 from millrace.plans import feeds
 from millrace.session import shared_dir
 from millrace.sinks.dims import route_and_store
@@ -529,6 +529,49 @@ def join_lookup(spark, folder):
     return joins.lookup_name(rows, feeds.dictionary(spark), "code", "source_name")
 
 
+def _cart_codes(spark, folder):
+    """Cart changes with the code of their source and their time."""
+    rows = feeds.events(spark, folder).where("event_type IN ('click', 'view')")
+    return rows.selectExpr("event_id AS log_id", "CASE WHEN k % 13 <> 4 THEN CAST(2401 + k % 5 AS STRING) END AS source_type", "ts")
+
+
+def _dictionary_versions(spark, folder):
+    return asof.Versions(feeds.dictionary_log(spark, folder), ["dic_code"], "since", ["dic_name"], ["seq"], "gone")
+
+
+@query
+def lookup_as_of(spark, folder):
+    """The name a code had at the time of the row, for codes that are renamed and removed in mid log."""
+    rows = asof.as_of_chunks(_cart_codes(spark, folder), _dictionary_versions(spark, folder), ["source_type"], "ts")
+    return rows.select("log_id", "source_type", "dic_name")
+
+
+@query
+def lookup_as_of_ranges(spark, folder):
+    """The same without rows that have no name, by ranges of validity."""
+    rows = asof.as_of_ranges(_cart_codes(spark, folder), _dictionary_versions(spark, folder), ["source_type"], "ts", inner=True)
+    return rows.select("log_id", "source_type", "dic_name")
+
+
+def _routed_as_of(spark, folder, chunked):
+    config = dims.config_versions(feeds.config_log(spark, folder), ["seq"])
+    routed = dims.route_dimensions_as_of(feeds.table_log(spark, folder), config, chunked=chunked)
+    data = F.col("data")
+    return routed.select("log_id", "sink_table", "sink_pk", F.size("data").alias("n_fields"), data["k"].alias("k"), data["user_id"].alias("user_id"))
+
+
+@query
+def dim_routing_as_of(spark, folder):
+    """Changes routed by the configuration in force at their time."""
+    return _routed_as_of(spark, folder, chunked=False)
+
+
+@query
+def dim_routing_as_of_chunks(spark, folder):
+    """The same for configurations of any number of versions."""
+    return _routed_as_of(spark, folder, chunked=True)
+
+
 @query
 def dim_lookup(spark, folder):
     """Point lookups by two columns at once, as one join."""

@@ -323,8 +323,8 @@ def config_rows(spark: SparkSession) -> DataFrame:
     return config_records(table_rows)
 
 
-def config_records(rows: DataFrame) -> DataFrame:
-    """``op, source_table, sink_table, sink_columns, ts_ms`` as change records."""
+def config_records(rows: DataFrame, *keep: str) -> DataFrame:
+    """``op, source_table, sink_table, sink_columns, ts_ms`` as change records, with the columns to keep."""
     pk = F.col("sink_pk") if "sink_pk" in rows.columns else F.lit(None).cast("string").alias("sink_pk")
     entry = F.struct(
         "source_table",
@@ -339,4 +339,31 @@ def config_records(rows: DataFrame) -> DataFrame:
         F.when(F.col("op") != "d", entry).otherwise(nothing).alias("after"),
         "op",
         "ts_ms",
+        *keep,
     )
+
+
+def dictionary_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of source codes over time (``dic_code, dic_name, since, seq, gone``): a registration renames a code, some errors remove one."""
+    rows = events(spark, folder).where("event_type IN ('signup', 'error')")
+    return rows.selectExpr(
+        "CAST(2401 + k % 5 AS STRING) AS dic_code", "concat('source of ', event_id) AS dic_name", "ts AS since", "event_id AS seq",
+        "event_type = 'error' AND event_id % 3 = 0 AS gone",
+    )
+
+
+def table_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes of many small tables, with the place in the log."""
+    rows = events(spark, folder).where("event_type IN ('view', 'click')")
+    changes = _change(rows.withColumn("name", F.expr("concat('table_', user_id % 40)")), "any", "'insert'", "ts", {"id": "event_id", "k": "k", "user_id": "user_id", "name": "name"})
+    return changes.withColumn("table", F.col("data")["name"]).withColumn("log_id", F.col("data")["id"])
+
+
+def config_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Configuration changes of these tables at any time in the log: set by registrations, changed by errors, deleted by purchases."""
+    rows = events(spark, folder).where("event_type IN ('signup', 'error', 'purchase')").selectExpr(
+        "unix_millis(ts) AS ts_ms", "event_id AS seq", "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'u' ELSE 'd' END AS op",
+        "concat('table_', user_id % 40) AS source_table", "concat('dim_', k % 4, '_', user_id % 40) AS sink_table",
+        "CASE k % 3 WHEN 0 THEN 'id' WHEN 1 THEN 'id,k' ELSE 'id,user_id,k' END AS sink_columns",
+    )
+    return config_records(rows, "seq")

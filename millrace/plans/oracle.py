@@ -512,3 +512,29 @@ ORACLE["dim_tables"] = """
     UNION ALL SELECT 'dim_nation', CAST(n_nationkey AS VARCHAR), n_name FROM nation
     UNION ALL SELECT 'dim_part', CAST(p_partkey AS VARCHAR), p_brand FROM part"""
 ORACLE["cart_add_from_json"] = ORACLE["cart_add_fact"]
+ORACLE["stream_join_left"] = ORACLE["join_left"]
+
+_AS_OF = """
+    WITH ev AS (SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events),
+    names AS (
+        SELECT CAST(2401 + k % 5 AS VARCHAR) AS code, ts, max_by('source of ' || event_id, event_id) AS dic_name,
+            max_by(event_type = 'error' AND event_id % 3 = 0, event_id) AS gone
+        FROM ev WHERE event_type IN ('signup', 'error') GROUP BY ALL),
+    carts AS (
+        SELECT event_id AS log_id, CASE WHEN k % 13 <> 4 THEN CAST(2401 + k % 5 AS VARCHAR) END AS source_type, ts
+        FROM ev WHERE event_type IN ('click', 'view'))
+    SELECT log_id, source_type, CASE WHEN NOT gone THEN dic_name END AS dic_name
+    FROM carts c ASOF LEFT JOIN names n ON c.source_type = n.code AND c.ts >= n.ts"""
+ORACLE["lookup_as_of"] = _AS_OF
+ORACLE["lookup_as_of_ranges"] = _AS_OF + " WHERE NOT gone"
+ORACLE["dim_routing_as_of"] = """
+    WITH ev AS (SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events),
+    config AS (
+        SELECT user_id % 40 AS t, epoch_ms(ts) AS ms, max_by({'op': event_type, 'k': k}, event_id) AS entry
+        FROM ev WHERE event_type IN ('signup', 'error', 'purchase') GROUP BY ALL),
+    changes AS (SELECT event_id, k, user_id, user_id % 40 AS t, CAST(floor(epoch_ms(ts) / 1000) AS BIGINT) * 1000 AS ms FROM ev WHERE event_type IN ('view', 'click'))
+    SELECT CAST(event_id AS VARCHAR) AS log_id, 'dim_' || entry.k % 4 || '_' || c.t AS sink_table, 'id' AS sink_pk,
+        CAST(entry.k % 3 + 1 AS INT) AS n_fields,
+        CASE WHEN entry.k % 3 > 0 THEN CAST(c.k AS VARCHAR) END AS k, CASE WHEN entry.k % 3 = 2 THEN CAST(user_id AS VARCHAR) END AS user_id
+    FROM changes c ASOF JOIN config g ON c.t = g.t AND c.ms >= g.ms WHERE entry.op <> 'purchase'"""
+ORACLE["dim_routing_as_of_chunks"] = ORACLE["dim_routing_as_of"]

@@ -17,6 +17,7 @@ from millrace.plans.catalog import QUERIES
 from millrace.session import shared_dir
 from millrace.sinks import changelog
 from millrace.sinks.reports import start_stream
+from millrace.streaming import joins as stream_joins
 from millrace.streaming import visits as streams
 
 # How much input one micro-batch takes at most. A rate limit: no row of a result depends on it.
@@ -112,12 +113,23 @@ def stream_join_interval(spark, folder):
     return _stored(spark, pairs.select("l_mid", "l_id", "r_id"))
 
 
+def stream_join_left(spark, folder):
+    """Orders and customers as streams. Orders come out at once, and again with their customer; what holds at the end is read."""
+    orders = _stream(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    customers = _stream(spark, folder, "customer").select((F.col("c_custkey") * 2).alias("c_key"), "c_name")
+    versions = stream_joins.left_join_versions(orders, customers, [("o_custkey", "c_key")])
+    out = shared_dir(spark, "stream-out")
+    start_stream(versions, shared_dir(spark, "stream-state"), changelog.append_changes(out), interval=None).awaitTermination()
+    changes = changelog.read_changes(spark, out, versions.schema)
+    return stream_joins.in_force(changes, ["o_orderkey", "c_key"], ["batch_id"]).drop("batch_id")
+
+
 QUERIES.update(
     {
         function.__name__: function
         for function in (
             stream_page_window, stream_keyword_window, stream_new_visitor_repair, stream_unique_visitor, stream_user_jump,
-            stream_home_detail, stream_login_back, stream_cart_add_window, stream_join_interval,
+            stream_home_detail, stream_login_back, stream_cart_add_window, stream_join_interval, stream_join_left,
         )
     }
 )

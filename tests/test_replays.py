@@ -12,10 +12,12 @@ STREAMS = sorted(n for n in QUERIES if n.startswith("stream_"))
 
 @pytest.fixture(scope="module")
 def cut(spark, folder, tmp_path_factory):
-    """The events in four files by a hash of their id, so every file spans all times."""
+    """The tables in four files by a hash of their id, so every file of the events spans all times."""
     base = tmp_path_factory.mktemp("cut")
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    events.repartition(4, "event_id").sortWithinPartitions("props").write.parquet(f"{base}/events.parquet")
+    for name, key, order in (("events", "event_id", "props"), ("orders", "o_orderkey", "o_comment"), ("customer", "c_custkey", "c_name")):
+        table = spark.read.parquet(f"{folder}/{name}.parquet")
+        order = order if order in table.columns else key
+        table.repartition(4, key).sortWithinPartitions(order).write.parquet(f"{base}/{name}.parquet")
     return str(base)
 
 

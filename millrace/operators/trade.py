@@ -321,11 +321,9 @@ def flag_order_users(lines: DataFrame) -> DataFrame:
     )
 
 
-def sku_order_window(flagged: DataFrame, size: str = SIZE) -> DataFrame:
-    """Users, distinct orders and amounts per product and window."""
-    if flagged.isStreaming:  # streams have no distinct aggregates; the set lives as long as its window
-        order_count = F.size(F.collect_set("order_id")).cast("bigint")
-    else:
+def sku_order_window(flagged: DataFrame, size: str = SIZE, order_count: Column | None = None) -> DataFrame:
+    """Users, distinct orders and amounts per product and window. Streams have no distinct aggregates and bring an ``order_count`` of their own."""
+    if order_count is None:
         order_count = F.count_distinct("order_id")
     amounts = ("original_amount", "activity_amount", "coupon_amount", "order_amount")
     measures = [

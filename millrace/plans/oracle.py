@@ -538,3 +538,11 @@ ORACLE["dim_routing_as_of"] = """
         CASE WHEN entry.k % 3 > 0 THEN CAST(c.k AS VARCHAR) END AS k, CASE WHEN entry.k % 3 = 2 THEN CAST(user_id AS VARCHAR) END AS user_id
     FROM changes c ASOF JOIN config g ON c.t = g.t AND c.ms >= g.ms WHERE entry.op <> 'purchase'"""
 ORACLE["dim_routing_as_of_chunks"] = ORACLE["dim_routing_as_of"]
+
+# Keyed state over rows in order of time ends in the rows of the same rule on tables.
+ORACLE["keyed_new_visitor_repair"] = ORACLE["new_visitor_repair"]
+ORACLE["keyed_unique_visitor"] = ORACLE["unique_visitor_detail"]
+ORACLE["keyed_user_jump"] = ORACLE["user_jump_10s"]
+ORACLE["keyed_home_detail"] = ORACLE["home_detail_uv_window"]
+ORACLE["keyed_login_back"] = ORACLE["login_back_window"]
+ORACLE["keyed_sku_order_window"] = ORACLE["sku_order_window"]

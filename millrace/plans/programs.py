@@ -134,10 +134,10 @@ def cart_add_window(facts: DataFrame) -> DataFrame:
 def sku_order_window(orders: DataFrame, sku: DataFrame, chain: trade.DimensionChain | None = None) -> DataFrame:
     """Orders per product, with all names of the report if the dimension ``chain`` is given. ``orders`` hold one row per line id: ``newest_lines`` of the fact, or a table of it."""
     if orders.isStreaming:
-        flagged = streams.flag_order_users(_watermarked(trade.order_measures(orders)))
+        report = streams.sku_order_window(streams.flag_order_users(_watermarked(trade.order_measures(orders))))
     else:
-        flagged = trade.flag_order_users(trade.latest_measures(orders))
-    named = trade.with_sku_names(trade.sku_order_window(flagged), sku)
+        report = trade.sku_order_window(trade.flag_order_users(trade.latest_measures(orders)))
+    named = trade.with_sku_names(report, sku)
     return named if chain is None else trade.with_dimension_chain(named, *chain)
 
 

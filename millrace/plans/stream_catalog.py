@@ -3,7 +3,8 @@
 A replay has no arrival order worth following: its micro-batches are cut by size. Each of these streams ends in the rows of the table form, however it is
 cut: reports and minima are kept without a watermark that drops rows, every micro-batch adds the versions that changed to a
 keyed table, and the last version of each key is read. Rules that need the very next row (bounces) get the
-devices' rows from a stored log.
+devices' rows from a stored log. The ``keyed_`` queries follow arrival instead: rows come in order of time, and the processors of ``streaming`` hold what
+a key must remember.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import joins, trade, visits, windows
 from millrace.plans import feeds
-from millrace.plans.catalog import QUERIES
+from millrace.plans.catalog import AMOUNTS, QUERIES, _rounded, _sku, _wide
 from millrace.session import shared_dir
 from millrace.sinks import changelog
 from millrace.sinks.reports import start_stream
@@ -113,6 +114,102 @@ def stream_join_interval(spark, folder):
     return _stored(spark, pairs.select("l_mid", "l_id", "r_id"))
 
 
+# --- keyed state ------------------------------------------------------------------------------------------------
+
+SLICES = 3
+
+
+def _fed_in_time_order(spark, rows: DataFrame, end: DataFrame, build, slices: int = SLICES) -> DataFrame:
+    """What ``build(stream)`` gives when the rows come in order of ``ts``, slice by slice, and ``end`` after them.
+
+    A slice is one micro-batch, and after each the stream is stopped and started again from its checkpoint. Where slices are cut comes from the times alone.
+    """
+    source, out, state = (shared_dir(spark, f"keyed-{name}") for name in ("in", "out", "state"))
+    at = F.unix_millis("ts")
+    cuts = rows.agg(F.percentile_approx(at, [k / slices for k in range(1, slices)])).first()[0] or []
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        part = rows if low is None else rows.where(at >= low)
+        part = part if high is None else part.where(at < high)
+        _one_step(spark, part, source, out, state, build)
+    result = _one_step(spark, end, source, out, state, build)
+    return spark.read.schema(result.schema).parquet(out)
+
+
+def _one_step(spark, part: DataFrame, source: str, out: str, state: str, build) -> DataFrame:
+    part.write.mode("append").parquet(source)
+    result = build(spark.readStream.schema(part.schema).parquet(source))
+    start_stream(result, state, path=out, interval=None).awaitTermination()
+    return result
+
+
+def _after(rows: DataFrame, **values) -> DataFrame:
+    """A row three days after all others, which moves the watermark beyond them; its other columns are null."""
+    last = rows.agg((F.max("ts") + F.expr("INTERVAL '3' DAY")).alias("ts"))
+    given = {name: F.lit(value) for name, value in values.items()} | {"ts": F.col("ts")}
+    return last.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+
+
+#: The device of the row after all others.
+END = "after all"
+
+
+def _page_rows(spark, folder: str, *more: str) -> DataFrame:
+    return feeds.page_log(spark, folder).select("log_id", "mid", "is_new", "ts", "page_id", "last_page_id", *more)
+
+
+def keyed_new_visitor_repair(spark, folder):
+    rows = _page_rows(spark, folder)
+    repaired = _fed_in_time_order(spark, rows, _after(rows, mid=END), streams.repair_new_flag)
+    return repaired.where(F.col("mid") != END).select("log_id", "mid", "is_new")
+
+
+def keyed_unique_visitor(spark, folder):
+    rows = _page_rows(spark, folder)
+    found = _fed_in_time_order(spark, rows, _after(rows, mid=END), streams.unique_visitors)
+    return found.where(F.col("mid") != END).select("log_id", "mid", "page_id", F.unix_millis("ts").alias("ts_ms"))
+
+
+def keyed_user_jump(spark, folder):
+    rows = _page_rows(spark, folder)
+    found = _fed_in_time_order(spark, rows, _after(rows, mid=END, last_page_id=END), lambda log: streams.bounces(streams.with_watermark(log)))
+    return found.where(F.col("mid") != END).select("log_id", "mid", "page_id", F.unix_millis("ts").alias("ts_ms"))
+
+
+def keyed_home_detail(spark, folder):
+    rows = _page_rows(spark, folder)
+    end = _after(rows, mid=END, page_id="home")
+
+    def report(log: DataFrame) -> DataFrame:
+        return windows.home_detail_window(streams.home_detail_visits(streams.with_watermark(log)))
+
+    return _fed_in_time_order(spark, rows, end, report)
+
+
+def keyed_login_back(spark, folder):
+    rows = _page_rows(spark, folder, "uid")
+    end = _after(rows, mid=END, uid=END, last_page_id="login")
+    return _fed_in_time_order(spark, rows, end, lambda log: windows.login_window(streams.login_days(streams.with_watermark(log))))
+
+
+def keyed_sku_order_window(spark, folder):
+    """First lines of users by day and distinct orders by window, both from keyed state, before the window report."""
+    ties = ("split_total_amount", "sku_id", "source_id", "sku_num")
+    kept = shared_dir(spark, "keyed-lines")
+    lines = trade.latest_measures(trade.order_detail(_wide(spark, folder)), *ties)
+    lines.write.parquet(kept)
+    lines = spark.read.schema(lines.schema).parquet(kept)
+
+    def report(rows: DataFrame) -> DataFrame:
+        return streams.sku_order_window(streams.flag_order_users(streams.with_watermark(rows)), buckets=1)  # a day's orders have one time here
+
+    found = _fed_in_time_order(spark, lines, _after(lines, id=END, sku_id=END, order_id=END, user_id=END), report)
+    return _rounded(trade.with_sku_names(found, _sku(spark, folder)), *AMOUNTS)
+
+
+# --- joins ------------------------------------------------------------------------------------------------------
+
+
 def stream_join_left(spark, folder):
     """Orders and customers as streams. Orders come out at once, and again with their customer; what holds at the end is read."""
     orders = _stream(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -130,6 +227,7 @@ QUERIES.update(
         for function in (
             stream_page_window, stream_keyword_window, stream_new_visitor_repair, stream_unique_visitor, stream_user_jump,
             stream_home_detail, stream_login_back, stream_cart_add_window, stream_join_interval, stream_join_left,
+            keyed_new_visitor_repair, keyed_unique_visitor, keyed_user_jump, keyed_home_detail, keyed_login_back, keyed_sku_order_window,
         )
     }
 )

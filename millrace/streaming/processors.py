@@ -88,6 +88,43 @@ class FirstOfDay(StatefulProcessor):
         pass
 
 
+class FirstInWindow(StatefulProcessor):
+    """Marks the first row of each member of a key's window (0/1 in ``is_first``); rows without member are not marked.
+
+    The state is a map with an entry for every member: a row looks up its own, and no set of all members is read or written. Grouping keys hold the window; an event-time timer at
+    its end, in the column ``ends`` (milliseconds), clears the map.
+    """
+
+    def __init__(self, member: str, ends: str):
+        self.member = member
+        self.ends = ends
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.members = handle.getMapState("members", "member string", "seen boolean")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for chunk in rows:
+            if not self.timer.exists():
+                at = int(chunk[self.ends].iloc[0])
+                self.timer.update((at,))
+                self.handle.registerTimer(at)
+            member = chunk[self.member]
+            fresh = [m for m in member.dropna().unique().tolist() if not self.members.containsKey((m,))]
+            for m in fresh:
+                self.members.updateValue((m,), (True,))
+            yield chunk.assign(is_first=(member.isin(fresh) & ~member.duplicated()).astype("int64"))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.members.clear()
+        self.timer.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 class NewFlagRepair(StatefulProcessor):
     """Keeps each device's first-visit date and turns ``is_new`` to '0' on rows marked new on another date."""
 

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from millrace.operators import visits
-from millrace.streaming.processors import MILLIS, Bounces, FirstOfDay, LatestAfterDelay, NewFlagRepair
+from millrace.operators import trade, visits
+from millrace.streaming.processors import MILLIS, Bounces, FirstInWindow, FirstOfDay, LatestAfterDelay, NewFlagRepair
 
 # Watermark delay of the reports, wait of the version filter, life of a day's state.
 WATERMARK = "3 seconds"
@@ -127,6 +127,32 @@ def flag_order_users(lines: DataFrame) -> DataFrame:
     )
 
 
+#: How many keys the products of a window are dealt over, so that many tasks share a full window and a thin one is not a key per product.
+PRODUCT_BUCKETS = 16
+
+
+def mark_new_orders(lines: DataFrame, size: str, buckets: int = PRODUCT_BUCKETS) -> DataFrame:
+    """All rows, with ``new_order`` 1 on the first row of each order of a product and window, so that distinct orders are a sum."""
+    ends = F.unix_millis(F.window("ts", size)["end"])
+    member = F.to_json(F.struct("sku_id", "order_id"))
+    rows = lines.withColumns({
+        "window_ends": ends, "product_bucket": F.pmod(F.xxhash64("sku_id"), F.lit(buckets)), "member": F.when(F.col("order_id").isNotNull(), member),
+    })
+    marked = rows.groupBy("window_ends", "product_bucket").transformWithStateInPandas(
+        FirstInWindow("member", "window_ends"),
+        outputStructType=StructType(list(rows.schema.fields)).add("is_first", LongType()),
+        outputMode="append",
+        timeMode="eventTime",
+        eventTimeColumnName="ts",
+    )
+    return marked.select(*lines.columns, F.col("is_first").alias("new_order"))
+
+
+def sku_order_window(flagged: DataFrame, size: str = trade.SIZE, buckets: int = PRODUCT_BUCKETS) -> DataFrame:
+    """Users, distinct orders and amounts per product and window, the distinct orders from keyed state."""
+    return trade.sku_order_window(mark_new_orders(flagged, size, buckets), size, F.sum("new_order").cast("bigint"))
+
+
 def latest_versions(rows: DataFrame, key: str, version: str, wait_millis: int = VERSION_WAIT_MILLIS) -> DataFrame:
     """One row per key and wait: the version with the greatest ``version`` time, emitted by a processing-time timer."""
     return rows.groupBy(key).transformWithStateInPandas(

@@ -25,3 +25,22 @@ def cut(spark, folder, tmp_path_factory):
 def test_one_file_per_micro_batch(spark, folder, cut, name, monkeypatch):
     monkeypatch.setattr(stream_catalog, "BATCH_BYTES", 1)
     assert difference(QUERIES[name](spark, cut), connect(folder), ORACLE[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("keyed_")))
+def test_keyed_state_is_in_the_plan(spark, folder, name, monkeypatch):
+    """Seen at the first slice; the results are checked against SQL with those of the other queries."""
+    plans = []
+
+    class Seen(Exception):
+        pass
+
+    def first_step(spark, part, source, out, state, build):
+        part.limit(0).write.parquet(source)
+        plans.append(build(spark.readStream.schema(part.schema).parquet(source))._jdf.queryExecution().logical().toString())
+        raise Seen
+
+    monkeypatch.setattr(stream_catalog, "_one_step", first_step)
+    with pytest.raises(Seen):
+        QUERIES[name](spark, folder)
+    assert "TransformWithStateInP" in plans[0]

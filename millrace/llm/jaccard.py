@@ -8,7 +8,12 @@ counts for two. How many segments there are and how many of them have neighbourh
 segments so small that unrelated sets share them. Contents of no element say nothing and are left out as long as the segments left
 still exceed H; the same holds for signatures found to be frequent. A set for which they don't keeps all its signatures, so no link is lost.
 
-Every candidate pair is verified on whole sets. A set is first verified against one candidate; what is linked then needs no
+What is left in frequent signatures, such as pages of one form that are not alike enough, is split again: shingles that most sets of such a crowd hold are
+taken out of all sets, and what remains gets signatures under the same bound on differences, now with a neighbourhood for every segment. To take a shingle out
+of all sets never adds a difference, so no link is lost.
+
+Every candidate pair is verified on whole sets. Before whole sets move, sketches are compared: the parities of the elements by hash bit. Every bit in which two
+sketches differ stands for at least one element in one of the sets only, so pairs with more such bits than linked sets have differences fall without a look at the sets. A set is first verified against one candidate; what is linked then needs no
 further comparison, and the rest goes on in rounds: in each round, members of a signature are compared with some more members that
 are not yet in their component, until no such pair is left. So groups of near copies cost a few comparisons per member.
 
@@ -96,6 +101,16 @@ def schemes(join: Join, largest: int) -> list[Scheme]:
     return found
 
 
+def second_schemes(plans: list[Scheme], join: Join) -> list[Scheme]:
+    """For the same bands and bounds: half as many segments, each with a neighbourhood, and some to spare."""
+    found = []
+    for p in plans:
+        need = most_differences(join, p.high + largest_partner(join, p.high)) + 1
+        segments = need // 2 + 1 + max(1, need // 8)
+        found.append(Scheme(p.number, p.low, p.high, segments, segments))
+    return found
+
+
 @dataclass
 class Sets:
     """Distinct shingles of consecutive texts, those of text d from ``first[d]``."""
@@ -140,9 +155,12 @@ def shingle_sets(column: pa.Array, k: int) -> Sets:
     return Sets(value[order], np.searchsorted(text[order], np.arange(len(counts) + 1)))
 
 
-def signatures(sets: Sets, texts: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures of some of the texts: (signature, text, note). note = 8 * slack + 2 * units + (1 in the scheme of the band below)."""
-    counts = sets.counts
+def signatures(sets: Sets, texts: np.ndarray, join: Join, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of some of the texts: (signature, text, note). note = 8 * slack + 2 * units + (1 in the scheme of the band below).
+
+    With ``sizes``, the sets are what is left of sets of these sizes, and get the signatures of the second split.
+    """
+    counts = sets.counts if sizes is None else sizes
     plans = schemes(join, int(counts[texts].max(initial=0)))
     empty = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not plans:
@@ -158,14 +176,16 @@ def signatures(sets: Sets, texts: np.ndarray, join: Join) -> tuple[np.ndarray, n
     is_below = np.concatenate([np.zeros(own.sum(), np.int64), np.ones(below.sum(), np.int64)])
     if not len(text):
         return empty
+    if sizes is not None:
+        plans = second_schemes(plans, join)
     segments = np.array([p.segments for p in plans])[scheme]
     deletions = np.array([p.deletions for p in plans])[scheme]
     highs = np.array([p.high for p in plans])[scheme]
-    n = counts[text]
+    n, held = counts[text], sets.counts[text]
     base = np.concatenate([[0], np.cumsum(segments)])
     # every shingle of every entry, in its slot
-    entry = np.repeat(np.arange(len(text)), n)
-    at = np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(sets.first[text], n)
+    entry = np.repeat(np.arange(len(text)), held)
+    at = np.arange(len(entry)) - np.repeat(np.cumsum(held) - held, held) + np.repeat(sets.first[text], held)
     value = mixed(sets.items[at])
     segment = ((value >> np.uint64(32)) * segments[entry].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
     value = mixed(value)
@@ -175,6 +195,8 @@ def signatures(sets: Sets, texts: np.ndarray, join: Join) -> tuple[np.ndarray, n
     slot_entry = np.repeat(np.arange(len(text)), segments)
     slot_segment = np.arange(base[-1]) - base[slot_entry]
     salt = mixed((scheme[slot_entry].astype(np.uint64) << np.uint64(32)) + slot_segment.astype(np.uint64))
+    if sizes is not None:
+        salt = mixed(salt)
     deleting = slot_segment < deletions[slot_entry]
     lost = np.where(size == 0, np.where(deleting, 2, 1), np.where(deleting & (size == 1), 1, 0))
     lost = np.bincount(slot_entry, lost, len(text)).astype(np.int64)
@@ -239,8 +261,27 @@ def _signature_rows(docs: DataFrame, join: Join) -> DataFrame:
     return _texts(docs).mapInArrow(run, "sig long, doc_id long, note long")
 
 
+def sketch_bits(join: Join, n: int) -> int:
+    """A power of two, several times the differences that a linked set may have."""
+    return 1 << max(7, (4 * most_differences(join, n + largest_partner(join, n))).bit_length())
+
+
+def sketch(items: np.ndarray, bits: int) -> bytes:
+    """Parity, for each of so many hash values, of the number of elements that have it."""
+    at = (mixed(items ^ _ODD) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def surely_different(a: bytes, b: bytes) -> int:
+    """A lower bound of the elements that are in one set only. The longer sketch is folded to the length of the shorter one."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    n = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(z.reshape(-1, n), axis=0) for z in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
-    """doc_id, items: the whole sets of the wanted documents."""
+    """doc_id, n, sketch and items: the whole sets of the wanted documents."""
     ids = counted(wanted.select("doc_id").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,36 +289,107 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame
             for part in slices(batch):
                 sets = shingle_sets(part.column(1), join.shingle_words)
                 items = pa.LargeListArray.from_arrays(pa.array(sets.first, pa.int64()), pa.array(sets.items.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), items.cast(pa.list_(pa.int64()))], names=["doc_id", "items"])
+                counts = sets.counts
+                short = [sketch(sets.items[a : a + n], sketch_bits(join, int(n))) for a, n in zip(sets.first[:-1], counts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(counts), pa.array(short, pa.binary()), items.cast(pa.list_(pa.int64()))], names=["doc_id", "n", "sketch", "items"]
+                )
+
+    return _texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, n long, sketch binary, items array<long>")
 
-    return _texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, items array<long>")
+
+def _sides(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """The pairs (u, v) with the columns of both sets."""
+    both = pairs
+    for side in "uv":
+        both = both.join(sets.select(F.col("doc_id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
+    return both
+
+
+def _perhaps(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """Those of the pairs (u, v) whose sketches leave open whether they are linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v, u_n, u_sketch, v_n, v_sketch = (batch.column(c) for c in ("u", "v", "u_n", "u_sketch", "v_n", "v_sketch"))
+            total = u_n.to_numpy(zero_copy_only=False) + v_n.to_numpy(zero_copy_only=False)
+            differ = np.array([surely_different(a, b) for a, b in zip(u_sketch.to_pylist(), v_sketch.to_pylist(), strict=True)], np.int64)
+            ok = pa.array((100 + join.percent) * differ <= (100 - join.percent) * total)
+            yield pa.RecordBatch.from_arrays([u.filter(ok), v.filter(ok)], names=["u", "v"])
+
+    return _sides(pairs, sets, "n", "sketch").mapInArrow(run, "u long, v long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """Those of the pairs (u, v) whose sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("u"), F.col("items").alias("u_items"))
-    right = sets.select(F.col("doc_id").alias("v"), F.col("items").alias("v_items"))
-    both = pairs.join(left, "u").join(right, "v")
+    both = _sides(stored(_perhaps(pairs, sets, join), "jaccard-perhaps"), sets, "items")
     shared = F.size(F.array_intersect("u_items", "v_items")).cast("long")
     total = F.size("u_items").cast("long") + F.size("v_items") - shared
     return both.where(100 * shared >= join.percent * total).select("u", "v")
 
 
+def _with_members(rows: DataFrame) -> DataFrame:
+    """Signatures that two or more sets share, with their number."""
+    return rows.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("members > 1")
+
+
+def _without_spare(rows: DataFrame, join: Join) -> DataFrame:
+    """(sig, doc_id, members): of rows with notes, a set's most frequent signatures go, as long as those that remain still suffice.
+
+    A set leaves all its signatures of more than so many members, a number of its own. Of two linked sets the one with the lower number still shares a signature
+    with the other among those it has kept, and the other has kept that one as well.
+    """
+    rows = rows.select("*", (F.col("note") % 2).alias("below"), F.floor(F.col("note") / 2 % 4).alias("units"), F.floor(F.col("note") / 8).alias("slack"))
+    rows = stored(_with_members(rows), "jaccard-members")
+    heavy = rows.where(F.col("members") > join.frequent)
+    # equal numbers count together
+    lost = F.sum("units").over(Window.partitionBy("doc_id", "below").orderBy(F.desc("members")).rangeBetween(Window.unboundedPreceding, 0))
+    heavy = heavy.withColumn("lost", lost).where("lost > slack").drop("lost")
+    kept = rows.where(F.col("members") <= join.frequent).unionByName(heavy)
+    return kept.select("sig", "doc_id", "members")
+
+
 def _candidates(docs: DataFrame, copies: DataFrame, join: Join) -> DataFrame:
-    """(sig, doc_id): signatures that two or more classes share. Of a class, only its smallest id appears."""
-    sig = Window.partitionBy("sig")
-    rows = _signature_rows(docs, join).withColumn("members", F.count(F.lit(1)).over(sig)).where("members > 1").drop("members")
-    rows = stored(rows, "jaccard-shared")
+    """(sig, doc_id, members): signatures that two or more classes share. Of a class, only its smallest id appears."""
+    rows = stored(_with_members(_signature_rows(docs, join)).drop("members"), "jaccard-shared")
     rows = rows.join(copies, "doc_id", "left").select("sig", F.coalesce("class_id", "doc_id").alias("doc_id"), "note")
     rows = rows.groupBy("sig", "doc_id").agg(F.min("note").alias("note"))
-    rows = rows.withColumn("members", F.count(F.lit(1)).over(sig)).where("members > 1")
-    rows = rows.select("*", (F.col("note") % 2).alias("below"), F.floor(F.col("note") / 2 % 4).alias("units"), F.floor(F.col("note") / 8).alias("slack"))
-    rows = stored(rows, "jaccard-members")
-    # a set drops its frequent signatures if those that remain still suffice
-    heavy = rows.where(F.col("members") > join.frequent).groupBy("doc_id", "below").agg(F.sum("units").alias("lost"), F.min("slack").alias("spare"))
-    drops = heavy.where("lost <= spare").select("doc_id", "below", F.lit(True).alias("drops"))
-    kept = rows.join(drops, ["doc_id", "below"], "left").where((F.col("members") <= join.frequent) | F.col("drops").isNull())
-    return stored(kept.select("sig", "doc_id"), "jaccard-kept")
+    return stored(_without_spare(rows, join), "jaccard-kept")
+
+
+def _split_again(kept: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """(sig, doc_id): the signatures of sets in frequent ones replaced by those of the second split, but for those shared with other sets.
+
+    A shingle is common if more sets of the crowd hold it than half of the largest signature that any of its holders is in.
+    """
+    crowded = kept.where(F.col("members") > join.frequent)
+    largest = stored(crowded.groupBy("doc_id").agg(F.max("members").alias("crowd")), "jaccard-crowd")
+    if largest.isEmpty():
+        return kept.select("sig", "doc_id")
+    crowd = sets.join(largest, "doc_id").select("doc_id", "n", "crowd", "items")
+    held = crowd.select("doc_id", "crowd", F.explode("items").alias("item")).groupBy("item")
+    common = held.agg(F.count(F.lit(1)).alias("holders"), F.max("crowd").alias("crowd")).where("holders > 1 AND 2 * holders > crowd").select("item")
+    rest = crowd.select("doc_id", F.explode("items").alias("item")).join(common, "item", "left_anti").groupBy("doc_id").agg(F.collect_list("item").alias("rest"))
+    left = crowd.select("doc_id", "n").join(rest, "doc_id", "left").select("doc_id", "n", F.coalesce("rest", F.array().cast("array<long>")).alias("items"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 200):
+                part = batch.slice(k, 200)
+                lists = part.column(2)
+                first = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy(zero_copy_only=False)))]).astype(np.int64)
+                own = Sets(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), first)
+                sig, text, note = signatures(own, np.arange(part.num_rows), join, part.column(1).to_numpy(zero_copy_only=False))
+                ids = part.column(0).to_numpy(zero_copy_only=False)[text]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (sig.view(np.int64), ids, note)], names=["sig", "doc_id", "note"])
+
+    again = left.mapInArrow(run, "sig long, doc_id long, note long").groupBy("sig", "doc_id").agg(F.min("note").alias("note"))
+    again = _without_spare(again, join).select("sig", "doc_id")
+    # two sets of the crowd meet in the second split if they are linked, whatever they share besides
+    rare = kept.where(F.col("members") <= join.frequent).join(largest, "doc_id", "left")
+    outside = F.max(F.col("crowd").isNull()).over(Window.partitionBy("sig"))
+    rare = rare.withColumn("outside", outside).where("outside").select("sig", "doc_id")
+    return stored(rare.unionByName(again), "jaccard-split")
 
 
 def _without_hopeless(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -289,13 +401,13 @@ def _without_hopeless(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame
     |X - Y| + |Y - X| >= rx + ry + |(nx - rx) - (ny - ry)| >= 2 rx - |nx - ny|, and where that is more than linked sets may differ in, X leaves the signature.
     """
     sig = Window.partitionBy("sig")
-    rows = rows.withColumn("members", F.count(F.lit(1)).over(sig)).where("members > 1")
+    rows = _with_members(rows)
     crowded = rows.where(F.col("members") > join.frequent)
     crowd = sets.join(counted(crowded.select("doc_id").distinct()), "doc_id", "left_semi")
-    one = crowd.select("doc_id", F.size("items").alias("n"), F.explode("items").alias("item"))
+    one = crowd.select("doc_id", F.explode("items").alias("item"))
     one = one.withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("item"))).where(F.col("holders") <= join.frequent)
     rare = stored(one.select("item", "doc_id", "holders"), "jaccard-rare")
-    sizes = crowd.select("doc_id", F.size("items").cast("long").alias("n")).join(
+    sizes = crowd.select("doc_id", "n").join(
         rare.groupBy("doc_id").agg(F.count(F.lit(1)).alias("r")), "doc_id", "left"
     )
     placed = crowded.select("sig", "doc_id").join(sizes.fillna(0, ["r"]), "doc_id")
@@ -323,7 +435,7 @@ def similarity_links(docs: DataFrame, copies: DataFrame, join: Join) -> DataFram
     """(u, v): v is the smallest class id reachable from class u by links, for every u that is not it."""
     kept = _candidates(docs, copies, join)
     sets = stored(_candidate_sets(docs, kept, join), "jaccard-sets")
-    shared = _without_hopeless(kept, sets, join)
+    shared = _without_hopeless(_split_again(kept, sets, join), sets, join)
     first = shared.where("rank = 0").select("sig", F.col("doc_id").alias("v"), F.col("n").alias("v_n"), F.col("r").alias("v_r"))
     pairs = shared.where("rank > 0").join(first, "sig").where(_compatible(join)).groupBy(F.col("doc_id").alias("u")).agg(F.min("v").alias("v"))
     tried = stored(pairs, "jaccard-tried")

@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -228,3 +229,56 @@ def test_pipeline_on_nothing_and_on_odd_rows(spark, odd, nothing, folder):
             docs = stage(spark, docs, folder)
         assert {"doc_id", "start", "n_tokens", "ids_crc32"} <= set(docs.columns)
         docs.collect()
+
+
+def test_jaccard_of_a_template(spark, monkeypatch):
+    """Pages of one form, none alike enough to be linked but for a few planted copies, are not compared pair by pair."""
+    rnd = random.Random(8)
+    form = [f"f{k}" for k in range(200)]
+    slots = rnd.sample(range(200), 20)
+    texts = {}
+    for d in range(1500):
+        words = form.copy()
+        for slot in slots:
+            words[slot] = f"s{rnd.randrange(60)}"
+        texts[d] = " ".join(words)
+    for d in range(20):
+        texts[2000 + d] = texts[d] + f" and more {d}"
+    compared = []
+    plain = jaccard._perhaps
+
+    def counting(pairs, sets, join):
+        compared.append(pairs.count())
+        return plain(pairs, sets, join)
+
+    monkeypatch.setattr(jaccard, "_perhaps", counting)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    assert sum(compared) < 1520 * 1519 // 2 // 10
+    assert all(got[2000 + d] == got[d] for d in range(20))
+    sets = {d: brute.shingles(t) for d, t in texts.items()}
+    top = {d: d for d in texts}
+
+    def find(d):
+        return d if top[d] == d else find(top[d])
+
+    for a in texts:
+        for b in texts:
+            if a < b:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                    low, high = sorted((find(a), find(b)))
+                    top[high] = low
+    assert got == {d: find(d) for d in texts}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sketches_never_part_linked_sets(seed):
+    rnd = np.random.default_rng(seed)
+    join = jaccard.Join()
+    for _ in range(200):
+        n = int(rnd.integers(1, 2000))
+        common, a, b = (rnd.integers(0, 2**63, k).astype(np.uint64) for k in (n, rnd.integers(0, 1 + n // 5), rnd.integers(0, 1 + n // 5)))
+        x, y = np.concatenate([common, a]), np.concatenate([common, b])
+        bound = jaccard.surely_different(*(jaccard.sketch(z, jaccard.sketch_bits(join, len(z))) for z in (x, y)))
+        assert bound <= len(a) + len(b) and (bound > 0 or len(a) + len(b) < 40)

@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm import tokens
+from millrace.llm import tokens, toxicity
 from millrace.llm.queries import ORACLE, QUERIES
 from millrace.llm.tables import read_table
 from tests.compare import connect, difference
@@ -45,6 +45,22 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
 
 
+def test_toxicity_against_a_plain_model(spark, documents):
+    """Equal scores from loops, and from the plan that joins the counts instead of sending them."""
+    folder = "/root/testdata/sf0.01"
+    docs = read_table(spark, folder, "documents").select("doc_id", "text").where("doc_id < 600")
+    labels = read_table(spark, folder, "labels")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    marked = [(r.doc_id, r.toxic) for r in labels.collect() if r.doc_id < 600]
+    expected = brute.toxic_scores(rows, marked)
+    assert max(expected.values()) > 0.7 > 0.1 > min(expected.values())
+    for settings in (toxicity.Settings(), toxicity.Settings(broadcast_entries=0)):
+        got = toxicity.score(docs, labels.where("doc_id < 600"), settings).collect()
+        assert len(got) == len(rows)
+        text_of = dict(rows)
+        assert all(abs(r.score - expected[r.doc_id, text_of[r.doc_id]]) < 1e-6 for r in got)
+
+
 def test_jaccard_components(spark, folder, texts):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op5_jaccard_join"](spark, folder).collect()}
     assert got == brute.jaccard_classes(texts)

@@ -116,6 +116,13 @@ def test_linked_sets_share_a_signature(percent):
         sets = jaccard.Sets(np.concatenate(both), np.cumsum([0, *map(len, both)]))
         sig, text, _ = jaccard.signatures(sets, np.arange(2), join)
         assert set(sig[text == 0].tolist()) & set(sig[text == 1].tolist()), (len(a), len(b), len(a & b))
+        # the second split, with any shingles taken out of both
+        share = rnd.choice([0.0, 0.3, 0.9, 1.0])
+        out = {x for x in sorted(a | b) if rnd.random() < share}
+        rest = [np.array(sorted(s - out), np.uint64) for s in (a, b)]
+        sets = jaccard.Sets(np.concatenate(rest), np.cumsum([0, *map(len, rest)]))
+        sig, text, _ = jaccard.signatures(sets, np.arange(2), join, np.array([len(a), len(b)]))
+        assert set(sig[text == 0].tolist()) & set(sig[text == 1].tolist()), (len(a), len(b), len(a & b), len(out))
 
 
 @settings(max_examples=200, deadline=None)
@@ -137,10 +144,16 @@ def test_toxicity_counts_of_large_vocabularies(spark):
     """Each expression has counts of its own, and joined counts give the scores of broadcast ones."""
     words = spark.range(1_500_000).selectExpr("concat('w', hex(id)) AS word", "2L AS n0", "0L AS n1")
     counts = toxicity._counts(words, toxicity.Settings(broadcast_entries=0))
-    keys, known = toxicity._keys(pa.array(["wABCDE", "w12345"]), toxicity.Settings())
-    own = counts.rows.where(F.col("key").isin(keys[0].tolist())).collect()
-    assert known[0].all() and [(r.c0, r.c1) for r in own] == [(2, 0)] * 2
-    assert counts.table is None and counts.total[:, 0].tolist() == [3_000_000 - 2 * 16, 0]
+    keys = toxicity._keys(pa.array(["wABCDE", "w12345"]))
+    own = counts.rows.where(F.col("key").isin(keys.tolist())).collect()
+    assert [(r.c0, r.c1) for r in own] == [(2, 0)] * 2
+    assert counts.table is None and counts.total.tolist() == [3_000_000, 0] and counts.different == 1_500_000
+
+
+def test_words_of_scripts_without_spaces():
+    words, first = toxicity.words_of(pa.array(["Ab, ÇD e1", None, "你好 x", "“a”–b"]))
+    found = [[w for w in words.to_pylist()[a:z] if w] for a, z in zip(first, first[1:], strict=False)]
+    assert found == [["ab", "çd", "e1"], [], ["你", "好", "x"], ["a", "b"]]
 
 
 def test_toxicity_joined_or_broadcast(spark, documents):

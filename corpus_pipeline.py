@@ -31,7 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         return kept
     repeated = counted(repeated)
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = kept.join(repeated, "doc_id", "left_semi").withColumn("_first", first).where("_first = 1").select(docs.columns)
+    one = kept.join(repeated, "doc_id", "left_semi").withColumn("__first", first).where("__first = 1").drop("__first")
     return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
 
 
@@ -42,7 +42,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target weights, in shuffled order."""
-    return mixing.mix(docs, MIXTURE).select(docs.columns)
+    return mixing.mix_rows(docs, MIXTURE)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

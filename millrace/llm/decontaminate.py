@@ -380,6 +380,6 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = docs.where(docs["doc_id"].isNotNull()).join(counted(bad), "doc_id", "left_anti").select(docs.columns)
     nameless = docs.where(docs["doc_id"].isNull())
     texts = nameless.select(F.xxhash64("text").alias("doc_id"), "text").distinct()
-    wrong = judged(texts, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_text"))
-    nameless = nameless.join(wrong, F.xxhash64(nameless["text"]) == F.col("bad_text"), "left_anti")
+    wrong = judged(texts, benchmark).where("contaminated").select(F.col("doc_id").alias("__bad_text"))
+    nameless = nameless.join(wrong, F.xxhash64(nameless["text"]) == wrong["__bad_text"], "left_anti")
     return named.unionByName(nameless)

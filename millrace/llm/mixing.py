@@ -9,7 +9,7 @@ The distribution is tabulated once per source, up to where the rest is below 2**
 
 Defined cases: null texts have no characters; documents without source are a source of their own; sources that are not listed have ``other``
 as weight; a source of empty texts alone has rate 1; documents that share an id share their number of copies; documents without
-id are hashed by the word null; further columns are kept.
+id are hashed by the word null; further columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from millrace.llm.tables import stored
 
 _BITS = 52
+RATE, COPY, KEY = "__mix_rate", "__mix_copy", "__mix_key"
+_SOURCE, _TABLE, _COPIES = "__mix_source", "__mix_table", "__mix_copies"
 
 
 def hashed(seed: str, *parts: Column) -> Column:
@@ -54,14 +56,26 @@ def poisson_table(rate: Column) -> Column:
     return F.when(rate > 0, walked).otherwise(F.array(F.lit(1.0)))
 
 
-def mix(docs: DataFrame, weights: dict[str, float], other: float = 1.0, size: float = 1.0, seed: str = "mix") -> DataFrame:
-    """The documents' copies with copy, rate and shuffle_key, in the order of shuffle_key."""
-    rates = source_rates(docs, weights, other, size)
-    rates = rates.select(F.col("source").alias("r_source"), "rate", poisson_table(F.col("rate")).alias("table"))
+def _replicated(docs: DataFrame, weights: dict[str, float], other: float, size: float, seed: str) -> DataFrame:
+    """The documents' copies with ``RATE``, ``COPY`` and ``KEY``, in the order of the key. No table has columns of these names."""
+    rates = source_rates(docs.select("source", docs["text"].cast("string").alias("text")), weights, other, size)
+    rates = rates.select(F.col("source").alias(_SOURCE), F.col("rate").alias(RATE), poisson_table(F.col("rate")).alias(_TABLE))
+    placed = docs.join(rates, docs["source"].eqNullSafe(rates[_SOURCE]))
     share = hashed(seed, F.col("doc_id")) / F.lit(float(1 << _BITS))
-    placed = docs.join(rates, docs["source"].eqNullSafe(rates["r_source"])).withColumn("share", share)
-    copies = F.size(F.filter("table", lambda c: c <= F.col("share")))
-    placed = placed.withColumn("copies", copies).drop("r_source", "table", "share").where("copies > 0")
-    placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
-    keyed = placed.withColumn("shuffle_key", hashed(f"{seed}/order", F.col("doc_id"), F.col("copy")))
-    return keyed.orderBy("shuffle_key", "doc_id", "copy")
+    # the share is made once per document, not once per entry of the table
+    copies = F.transform(F.array(share), lambda s: F.size(F.filter(_TABLE, lambda c: c <= s)))[0]
+    placed = placed.withColumn(_COPIES, copies).where(F.col(_COPIES) > 0)
+    placed = placed.withColumn(COPY, F.explode(F.sequence(F.lit(1), F.col(_COPIES)))).drop(_SOURCE, _TABLE, _COPIES)
+    keyed = placed.withColumn(KEY, hashed(f"{seed}/order", F.col("doc_id"), F.col(COPY)))
+    return keyed.orderBy(KEY, "doc_id", COPY)
+
+
+def mix(docs: DataFrame, weights: dict[str, float], other: float = 1.0, size: float = 1.0, seed: str = "mix") -> DataFrame:
+    """The documents' copies with copy, rate and shuffle_key, in the order of shuffle_key. Columns of these three names are replaced."""
+    mixed = _replicated(docs.drop("copy", "rate", "shuffle_key"), weights, other, size, seed)
+    return mixed.withColumnsRenamed({RATE: "rate", COPY: "copy", KEY: "shuffle_key"})
+
+
+def mix_rows(docs: DataFrame, weights: dict[str, float], other: float = 1.0, size: float = 1.0, seed: str = "mix") -> DataFrame:
+    """The copies with the columns of the documents alone, whatever their names."""
+    return _replicated(docs, weights, other, size, seed).drop(RATE, COPY, KEY)

@@ -149,7 +149,7 @@ def test_audit_of_odd_documents(spark, odd, nothing):
     symbols = "Some #words and $others " * 60
     more = [(20, symbols, ""), (21, symbols, "a"), (None, symbols, "a"), (None, None, "b"), (2, "", "z"), (30, "ABC " * 300, "a")]
     extra = spark.createDataFrame(more, "doc_id long, text string, source string")
-    docs = odd.unionByName(extra, allowMissingColumns=True).withColumn("part", odd["copy"]).withColumn("fails", odd["x"])
+    docs = odd.unionByName(extra, allowMissingColumns=True)
     got = sorted(tuple(r) for r in audit.interactions(docs, table).collect())
     rows = [(r.doc_id, r.text, r.source) for r in odd.collect()] + more
     assert got == sorted(plain_audit(rows, labels))
@@ -193,7 +193,6 @@ def decided(rows):
 
 
 def test_dedup_of_odd_documents(spark, odd, nothing):
-    odd = odd.withColumn("digest", odd["copy"]).withColumn("row", odd["x"]).withColumn("n", odd["x"])
     more = [(None, "One"), (None, "lonely"), (None, "lonely"), (40, "a\tb"), (39, "a \n b"), (41, "a b "), (42, " \x0b\x0c"), (43, "a\xa0b")]
     docs = odd.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -158,7 +158,8 @@ def shingle_sets(column: pa.Array, k: int) -> Sets:
 def signatures(sets: Sets, texts: np.ndarray, join: Join, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signatures of some of the texts: (signature, text, note). note = 8 * slack + 2 * units + (1 in the scheme of the band below).
 
-    With ``sizes``, the sets are what is left of sets of these sizes, and get the signatures of the second split.
+    With ``sizes``, the sets are what is left of sets of these sizes, and get the signatures of the second split: contents of no element never have one, and slack is -1
+    where those that are left don't suffice.
     """
     counts = sets.counts if sizes is None else sizes
     plans = schemes(join, int(counts[texts].max(initial=0)))
@@ -204,8 +205,8 @@ def signatures(sets: Sets, texts: np.ndarray, join: Join, sizes: np.ndarray | No
     partner = np.where(is_below == 1, np.minimum(highs, n), n * 100 // join.percent)
     most = (n + partner) * (100 - join.percent) // (100 + join.percent)
     slack = segments + deletions - lost - (most + 1)
-    keeps_all = slack < 0
-    slack = np.maximum(slack, 0)
+    keeps_all = (slack < 0) & (sizes is None)
+    slack = np.maximum(slack, 0 if sizes is None else -1)
     whole = np.flatnonzero((size > 0) | keeps_all[slot_entry])
     less = np.flatnonzero(deleting[slot] & ((size[slot] > 1) | keeps_all[entry]))
     less_slot = slot[less]
@@ -339,7 +340,8 @@ def _without_spare(rows: DataFrame, join: Join) -> DataFrame:
     A set leaves all its signatures of more than so many members, a number of its own. Of two linked sets the one with the lower number still shares a signature
     with the other among those it has kept, and the other has kept that one as well.
     """
-    rows = rows.select("*", (F.col("note") % 2).alias("below"), F.floor(F.col("note") / 2 % 4).alias("units"), F.floor(F.col("note") / 8).alias("slack"))
+    note = F.col("note")
+    rows = rows.select("*", F.pmod(note, F.lit(2)).alias("below"), F.pmod(F.floor(note / 2), F.lit(4)).alias("units"), F.floor(note / 8).alias("slack"))
     rows = stored(_with_members(rows), "jaccard-members")
     heavy = rows.where(F.col("members") > join.frequent)
     # equal numbers count together
@@ -358,7 +360,7 @@ def _candidates(docs: DataFrame, copies: DataFrame, join: Join) -> DataFrame:
 
 
 def _split_again(kept: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """(sig, doc_id): the signatures of sets in frequent ones replaced by those of the second split, but for those shared with other sets.
+    """(sig, doc_id): the frequent signatures replaced by those of the second split, where enough is left of the sets.
 
     A shingle is common if more sets of the crowd hold it than half of the largest signature that any of its holders is in.
     """
@@ -383,13 +385,15 @@ def _split_again(kept: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
                 ids = part.column(0).to_numpy(zero_copy_only=False)[text]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (sig.view(np.int64), ids, note)], names=["sig", "doc_id", "note"])
 
-    again = left.mapInArrow(run, "sig long, doc_id long, note long").groupBy("sig", "doc_id").agg(F.min("note").alias("note"))
-    again = _without_spare(again, join).select("sig", "doc_id")
-    # two sets of the crowd meet in the second split if they are linked, whatever they share besides
-    rare = kept.where(F.col("members") <= join.frequent).join(largest, "doc_id", "left")
-    outside = F.max(F.col("crowd").isNull()).over(Window.partitionBy("sig"))
-    rare = rare.withColumn("outside", outside).where("outside").select("sig", "doc_id")
-    return stored(rare.unionByName(again), "jaccard-split")
+    again = stored(left.mapInArrow(run, "sig long, doc_id long, note long").groupBy("sig", "doc_id").agg(F.min("note").alias("note")), "jaccard-again")
+    # sets of which enough is left meet all that they are linked to in the second split, but for sets outside of the crowd; of those that don't
+    # suffice two meet as before, and one meets the sufficient ones
+    enough = stored(again.groupBy("doc_id").agg(F.min("note").alias("note")).where("note >= 0").select("doc_id", F.lit(True).alias("enough")), "jaccard-enough")
+    before = kept.join(enough, "doc_id", "left")
+    others = F.max(F.col("enough").isNull()).over(Window.partitionBy("sig"))
+    rare = before.where(F.col("members") <= join.frequent).withColumn("others", others).where("others")
+    before = rare.select("sig", "doc_id").unionByName(before.where(F.col("enough").isNull() & (F.col("members") > join.frequent)).select("sig", "doc_id"))
+    return stored(before.unionByName(_without_spare(again, join).select("sig", "doc_id")), "jaccard-split")
 
 
 def _without_hopeless(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:

@@ -546,3 +546,4 @@ ORACLE["keyed_user_jump"] = ORACLE["user_jump_10s"]
 ORACLE["keyed_home_detail"] = ORACLE["home_detail_uv_window"]
 ORACLE["keyed_login_back"] = ORACLE["login_back_window"]
 ORACLE["keyed_sku_order_window"] = ORACLE["sku_order_window"]
+ORACLE["stream_upsert"] = ORACLE["upsert_latest"]

@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions import times
 from millrace.operators import joins, trade, visits, windows
 from millrace.plans import feeds
 from millrace.plans.catalog import AMOUNTS, QUERIES, _rounded, _sku, _wide
 from millrace.session import shared_dir
-from millrace.sinks import changelog
+from millrace.sinks import changelog, keyed
 from millrace.sinks.reports import start_stream
 from millrace.streaming import joins as stream_joins
 from millrace.streaming import visits as streams
@@ -221,12 +222,21 @@ def stream_join_left(spark, folder):
     return stream_joins.in_force(changes, ["o_orderkey", "c_key"], ["batch_id"]).drop("batch_id")
 
 
+def stream_upsert(spark, folder):
+    """Line versions as a stream into a table in buckets, read without an exchange."""
+    names = ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey"]
+    lines = _stream(spark, folder, "lineitem").select(names)
+    kept = keyed.KeyedTable(spark, shared_dir(spark, "keyed-table"), lines.schema, names[:2], names[2:], buckets=16)
+    start_stream(lines, shared_dir(spark, "stream-state"), kept.write, interval=None).awaitTermination()
+    return kept.read().withColumn("l_shipdate", times.date_text("l_shipdate"))
+
+
 QUERIES.update(
     {
         function.__name__: function
         for function in (
             stream_page_window, stream_keyword_window, stream_new_visitor_repair, stream_unique_visitor, stream_user_jump,
-            stream_home_detail, stream_login_back, stream_cart_add_window, stream_join_interval, stream_join_left,
+            stream_home_detail, stream_login_back, stream_cart_add_window, stream_join_interval, stream_join_left, stream_upsert,
             keyed_new_visitor_repair, keyed_unique_visitor, keyed_user_jump, keyed_home_detail, keyed_login_back, keyed_sku_order_window,
         )
     }

@@ -14,7 +14,7 @@ STREAMS = sorted(n for n in QUERIES if n.startswith("stream_"))
 def cut(spark, folder, tmp_path_factory):
     """The tables in four files by a hash of their id, so every file of the events spans all times."""
     base = tmp_path_factory.mktemp("cut")
-    for name, key, order in (("events", "event_id", "props"), ("orders", "o_orderkey", "o_comment"), ("customer", "c_custkey", "c_name")):
+    for name, key, order in (("events", "event_id", "props"), ("orders", "o_orderkey", "o_comment"), ("customer", "c_custkey", "c_name"), ("lineitem", "l_partkey", "l_comment")):
         table = spark.read.parquet(f"{folder}/{name}.parquet")
         order = order if order in table.columns else key
         table.repartition(4, key).sortWithinPartitions(order).write.parquet(f"{base}/{name}.parquet")

@@ -38,6 +38,7 @@ from millrace.llm.tables import counted, stored
 from millrace.llm.words import NOT_SPACE, find_words, mixed, run_starts, runs_of_words, slices
 
 _SEEN_AT_MOST = 200_000
+_SLICE_BYTES = 1 << 20
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -227,7 +228,7 @@ def describe(docs: DataFrame, join: Join) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=_SLICE_BYTES):
                 sets = shingle_sets(part.column(1), join.shingle_words)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sets.counts), *(pa.array(sets.sums(k).view(np.int64)) for k in (1, 2))],
@@ -243,7 +244,7 @@ def _signature_rows(docs: DataFrame, join: Join) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
-            for part in slices(batch, limit=1 << 20):
+            for part in slices(batch, limit=_SLICE_BYTES):
                 sets = shingle_sets(part.column(1), join.shingle_words)
                 fresh = []
                 for d, digest in enumerate(zip(sets.sums(1).tolist(), sets.sums(2).tolist(), strict=True)):
@@ -287,7 +288,7 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=_SLICE_BYTES):
                 sets = shingle_sets(part.column(1), join.shingle_words)
                 items = pa.LargeListArray.from_arrays(pa.array(sets.first, pa.int64()), pa.array(sets.items.view(np.int64)))
                 counts = sets.counts

@@ -33,6 +33,7 @@ from millrace.llm.tables import counted, stored
 from millrace.llm.words import slices, text_bytes
 
 _KEY = "millrace_toxic__"
+_SLICE_BYTES = 1 << 20
 _SEPARATORS = r"[^\p{L}\p{N}]+"
 #: Scripts that don't part words by spaces, and the first bytes of their characters in UTF-8.
 _UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
@@ -79,7 +80,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=_SLICE_BYTES):
                 words, first = words_of(part.column(0))
                 coded = words.dictionary_encode()
                 n = max(1, len(coded.dictionary))
@@ -192,7 +193,7 @@ def _wanted_keys(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=_SLICE_BYTES):
                 words, first = words_of(part.column(2))
                 coded = words.dictionary_encode()
                 keys = _keys(coded.dictionary)
@@ -217,7 +218,7 @@ def _signs(rows: DataFrame, counts: Counts, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=_SLICE_BYTES):
                 signs = map(pa.array, scorer.signs(part.column(text), table.value))
                 yield pa.RecordBatch.from_arrays([*part.columns, *signs], names=[*part.schema.names, *SIGNS])
 
@@ -227,7 +228,7 @@ def _signs(rows: DataFrame, counts: Counts, settings: Settings) -> DataFrame:
     # the table is large: each text comes with the counts of its own expressions
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=_SLICE_BYTES):
                 signs, found = np.zeros((2, part.num_rows)), part.column(part.num_columns - 1)
                 for d in range(part.num_rows):
                     own = found[d].values

@@ -7,6 +7,7 @@ of one comparison share a hash with a probability of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ LETTER_OR_DIGIT = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 SLICE_BYTES = 2 << 20
 _HASHED_AT_ONCE = 1 << 20
+#: glibc's; other C libraries have none
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -103,7 +106,14 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES,
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
         yield batch.slice(row, end - row)
         row = end
-    pa.default_memory_pool().release_unused()  # workers live on, and stages of other needs follow
+    release_memory()
+
+
+def release_memory() -> None:
+    """Gives back what the allocators hold: workers live on, and stages of other needs follow."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def _word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, values: np.ndarray) -> np.ndarray:

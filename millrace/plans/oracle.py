@@ -547,3 +547,4 @@ ORACLE["keyed_home_detail"] = ORACLE["home_detail_uv_window"]
 ORACLE["keyed_login_back"] = ORACLE["login_back_window"]
 ORACLE["keyed_sku_order_window"] = ORACLE["sku_order_window"]
 ORACLE["stream_upsert"] = ORACLE["upsert_latest"]
+ORACLE["stream_delivery"] = _sql(f"SELECT log_id, mid, page_id, {_TS_MS}, CAST(log_id % 3 AS INT) AS batch_id FROM page_log", "page_log")

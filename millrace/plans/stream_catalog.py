@@ -17,7 +17,7 @@ from millrace.operators import joins, trade, visits, windows
 from millrace.plans import feeds
 from millrace.plans.catalog import AMOUNTS, QUERIES, _rounded, _sku, _wide
 from millrace.session import shared_dir
-from millrace.sinks import changelog, keyed
+from millrace.sinks import changelog, delivery, keyed
 from millrace.sinks.reports import start_stream
 from millrace.streaming import joins as stream_joins
 from millrace.streaming import visits as streams
@@ -231,12 +231,23 @@ def stream_upsert(spark, folder):
     return kept.read().withColumn("l_shipdate", times.date_text("l_shipdate"))
 
 
+def stream_delivery(spark, folder):
+    """The page log in slices, delivered exactly once; the stream is stopped after each and started again."""
+    rows = _page_rows(spark, folder)
+    source, out, state = (shared_dir(spark, f"delivery-{name}") for name in ("in", "out", "state"))
+    for k in range(SLICES):
+        rows.where(F.pmod("log_id", F.lit(SLICES)) == k).write.mode("append").parquet(source)
+        delivery.start_delivery(spark.readStream.schema(rows.schema).parquet(source), out, state).awaitTermination()
+    delivered = delivery.read_delivered(spark, out, rows.schema)
+    return delivered.select("log_id", "mid", "page_id", F.unix_millis("ts").alias("ts_ms"), F.col("batch_id").cast("int").alias("batch_id"))
+
+
 QUERIES.update(
     {
         function.__name__: function
         for function in (
             stream_page_window, stream_keyword_window, stream_new_visitor_repair, stream_unique_visitor, stream_user_jump,
-            stream_home_detail, stream_login_back, stream_cart_add_window, stream_join_interval, stream_join_left, stream_upsert,
+            stream_home_detail, stream_login_back, stream_cart_add_window, stream_join_interval, stream_join_left, stream_upsert, stream_delivery,
             keyed_new_visitor_repair, keyed_unique_visitor, keyed_user_jump, keyed_home_detail, keyed_login_back, keyed_sku_order_window,
         )
     }

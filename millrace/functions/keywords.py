@@ -21,6 +21,18 @@ def explode_words(df: DataFrame, text: str, word: str = "keyword", pattern: str
     return df.select(*[c for c in df.columns if c != text], F.explode(words_of(F.col(text), pattern)).alias(word))
 
 
+def register_words(spark: SparkSession, name: str = "keyword_words", pattern: str = WORD_PATTERN) -> None:
+    """Register ``words_of`` as the SQL table function ``name(text) -> (word)``, which stays in the JVM.
+
+    ``SELECT word FROM log, LATERAL keyword_words(log.text)``
+    """
+    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE (word STRING) "
+        f"RETURN SELECT explode(regexp_extract_all(lower(text), '{quoted}', 0))"
+    )
+
+
 def register_tokenizer(
     spark: SparkSession, tokenize: Callable[[str], Iterable[str]], name: str = "split_words"
 ) -> None:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import times
+from millrace.functions.keywords import explode_words, register_words
 from millrace.operators import asof, changelog, dims, joins, log_split, trade, visits, windows
+from millrace.operators.segment import longest_words
 from millrace.plans import feeds
 from millrace.session import shared_dir
 from millrace.sinks.dims import route_and_store
@@ -202,6 +204,25 @@ def keyword_count_docs(spark, folder):
     return windows.keyword_count(feeds.table(spark, folder, "documents"), "text")
 
 
+@query
+def keyword_count_lateral(spark, folder):
+    """The same in SQL, with the words from a table function."""
+    register_words(spark)
+    feeds.table(spark, folder, "documents").createOrReplaceTempView("keyword_documents")
+    return spark.sql(
+        "SELECT word AS keyword, count(*) AS keyword_count FROM keyword_documents AS d, LATERAL keyword_words(d.text) GROUP BY word"
+    )
+
+
+@query
+def words_by_list(spark, folder):
+    """Product names without spaces cut into words of the documents, the longest first."""
+    names = feeds.table(spark, folder, "part").selectExpr("p_partkey", "concat(replace(p_name, ' ', ''), p_type) AS name")
+    listed = explode_words(feeds.table(spark, folder, "documents").select("text"), "text", "word", "[a-z0-9]+")
+    cut = longest_words(names, "name", listed, "word", 12)
+    return cut.select("p_partkey", F.array_join("words", "|").alias("words"))
+
+
 # --- change log ---------------------------------------------------------------------------------------------
 
 

@@ -548,3 +548,18 @@ ORACLE["keyed_login_back"] = ORACLE["login_back_window"]
 ORACLE["keyed_sku_order_window"] = ORACLE["sku_order_window"]
 ORACLE["stream_upsert"] = ORACLE["upsert_latest"]
 ORACLE["stream_delivery"] = _sql(f"SELECT log_id, mid, page_id, {_TS_MS}, CAST(log_id % 3 AS INT) AS batch_id FROM page_log", "page_log")
+ORACLE["keyword_count_lateral"] = ORACLE["keyword_count_docs"]
+ORACLE["words_by_list"] = r"""
+    WITH RECURSIVE listed AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM documents),
+    texts AS (SELECT DISTINCT lower(replace(p_name, ' ', '') || p_type) AS t FROM part),
+    best AS (
+        SELECT t, p.place, max(s.size) AS size FROM texts, range(1, 65) AS p(place), range(1, 13) AS s(size)
+        WHERE p.place + s.size - 1 <= length(t) AND substr(t, p.place, s.size) IN (SELECT w FROM listed) GROUP BY t, p.place),
+    sized AS (
+        SELECT t, p.place, coalesce(size, 1) AS size, size IS NOT NULL OR regexp_matches(substr(t, p.place, 1), '[\p{L}\p{N}]') AS known
+        FROM (SELECT t, r.place FROM texts, range(1, 65) AS r(place) WHERE r.place <= length(t)) p LEFT JOIN best USING (t, place)),
+    walk AS (
+        SELECT t, 1::BIGINT AS place, '' AS words FROM texts
+        UNION ALL SELECT w.t, w.place + s.size, w.words || CASE WHEN s.known THEN '|' || substr(w.t, w.place, s.size) ELSE '' END
+        FROM walk w JOIN sized s ON w.t = s.t AND w.place = s.place)
+    SELECT p_partkey, substr(words, 2) AS words FROM part JOIN walk ON t = lower(replace(p_name, ' ', '') || p_type) AND walk.place = length(t) + 1"""

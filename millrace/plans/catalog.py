@@ -16,7 +16,7 @@ from millrace.operators.segment import longest_words
 from millrace.plans import feeds
 from millrace.session import shared_dir
 from millrace.sinks.dims import route_and_store
-from millrace.sources import click_log, tables
+from millrace.sources import click_log, snapshot, tables
 from millrace.sources.kafka import as_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -274,6 +274,21 @@ def dim_config_apply(spark, folder):
     return changelog.current_config(feeds.config_records(rows)).select("source_table", "sink_table", "sink_columns")
 
 
+@query
+def snapshot_cut_over(spark, folder):
+    """A table that every event changes, read in eight chunks at different times and carried on from the change log."""
+    log = feeds.events(spark, folder).selectExpr(
+        "user_id", "k", "user_id % 8 AS chunk", "CASE WHEN event_type = 'purchase' THEN 'd' ELSE 'u' END AS op", "event_id AS seq"
+    )
+    last = log.agg(F.max("seq").alias("last"))
+    marks = last.selectExpr("explode(sequence(0, 7)) AS chunk", "last").selectExpr(
+        "chunk", "last * (chunk + 1) DIV 16 AS low", "last * (chunk + 3) DIV 16 AS high", "last * (chunk + 2) DIV 16 AS seen"
+    )
+    before = log.join(F.broadcast(marks.select("chunk", "seen")), "chunk").where("seq <= seen").drop("seen")
+    rows = snapshot.current_rows(before, ["user_id"])
+    return snapshot.current_rows(snapshot.cut_over(rows, log, marks, ["user_id"]), ["user_id"]).select("user_id", "k")
+
+
 @query
 def dim_routing(spark, folder):
     config = changelog.current_config(feeds.config_rows(spark))

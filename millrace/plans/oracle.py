@@ -563,3 +563,6 @@ ORACLE["words_by_list"] = r"""
         UNION ALL SELECT w.t, w.place + s.size, w.words || CASE WHEN s.known THEN '|' || substr(w.t, w.place, s.size) ELSE '' END
         FROM walk w JOIN sized s ON w.t = s.t AND w.place = s.place)
     SELECT p_partkey, substr(words, 2) AS words FROM part JOIN walk ON t = lower(replace(p_name, ' ', '') || p_type) AND walk.place = length(t) + 1"""
+ORACLE["snapshot_cut_over"] = _sql(
+    "SELECT user_id, max_by(k, event_id) AS k FROM ev GROUP BY user_id HAVING max_by(event_type, event_id) <> 'purchase'", "ev"
+)

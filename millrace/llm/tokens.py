@@ -22,9 +22,9 @@ from millrace.llm.tables import stored
 from millrace.llm.words import kept_in_worker, slices
 
 #: Pieces kept by a worker; beyond that it begins anew.
-PIECES_AT_MOST = 1_000_000
+PIECES_AT_MOST = 500_000
 _PIECES_AT_ONCE = 400
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 2 << 20
 _IRREGULAR = re.compile(r" (?:\s|$)")
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+HEAP_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 SETTINGS = {
     # Plans are re-sized at run time: partitions are merged or split to the advisory size, and hot join keys
@@ -23,7 +27,7 @@ SETTINGS = {
     # above it Spark falls back to a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    STATE_PROVIDER: ROCKSDB_PROVIDER,
 }
 
 
@@ -61,6 +65,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def several_states(spark: SparkSession) -> Iterator[None]:
+    """Streams started in this block can hold several states per key, in sessions made elsewhere too: Spark's default store holds one only.
+
+    A stream takes its settings when it is started, and one with a checkpoint those it began with. A store that was chosen for the session stays.
+    """
+    before = spark.conf.get(STATE_PROVIDER)
+    if before != HEAP_PROVIDER:
+        yield
+        return
+    spark.conf.set(STATE_PROVIDER, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_PROVIDER, before)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for one run, under the checkpoint folder the cluster names (``spark.checkpoint.dir``).
 

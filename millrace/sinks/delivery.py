@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from millrace.session import several_states
+
 _COMMIT = "batch_id long, file string, n_rows long"
 
 
@@ -113,4 +115,6 @@ def start_delivery(df: DataFrame, path: str, checkpoint: str, interval: str | No
     """Starts the stream; ``interval`` None works off what is there and stops."""
     df.sparkSession.dataSource.register(Delivery)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-    return df.writeStream.format("delivery").option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    stream = df.writeStream.format("delivery").option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger)
+    with several_states(df.sparkSession):
+        return stream.start()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.session import several_states
 from millrace.sinks.changelog import BatchWriter
 
 # How often state is committed, and how long a topic transaction may last.
@@ -52,7 +53,8 @@ def topic_options(servers: str) -> dict[str, str]:
 def start_topic_stream(df: DataFrame, servers: str, checkpoint: str, interval: str = COMMIT_INTERVAL) -> StreamingQuery:
     """Publish ``topic, key, value`` rows continuously."""
     writer = df.writeStream.format("kafka").options(**topic_options(servers))
-    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+    with several_states(df.sparkSession):
+        return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
 
 
 def start_stream(
@@ -69,11 +71,13 @@ def start_stream(
     """
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     stream = df.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger)
-    if write is not None:
-        return stream.foreachBatch(write).start()
-    return stream.format("parquet").option("path", path).outputMode("append").start()
+    with several_states(df.sparkSession):
+        if write is not None:
+            return stream.foreachBatch(write).start()
+        return stream.format("parquet").option("path", path).outputMode("append").start()
 
 
 def start_print(df: DataFrame, rows: int = 20) -> StreamingQuery:
     """Show the results of a stream on the console."""
-    return df.writeStream.format("console").option("numRows", rows).option("truncate", "false").start()
+    with several_states(df.sparkSession):
+        return df.writeStream.format("console").option("numRows", rows).option("truncate", "false").start()

@@ -2,7 +2,11 @@
 
 import pytest
 
-from millrace.session import SETTINGS, shared_dir, shuffle_partitions
+from millrace.plans.catalog import QUERIES
+from millrace.plans.oracle import ORACLE
+from millrace.plans import stream_catalog  # noqa: F401  registers the streams
+from millrace.session import HEAP_PROVIDER, SETTINGS, STATE_PROVIDER, shared_dir, shuffle_partitions
+from tests.compare import connect, difference
 
 
 def test_partitions_follow_the_data():
@@ -34,3 +38,14 @@ def test_no_local_folder_on_a_cluster(monkeypatch):
         shared_dir(Session, "x")
     Session.sparkContext.master = "local[2]"
     assert "/x-" in shared_dir(Session, "x")
+
+
+@pytest.mark.parametrize("name", ["keyed_unique_visitor", "stream_join_left"])
+def test_keyed_state_in_a_session_made_elsewhere(spark, folder, name):
+    """Spark's default state store holds one state per key only; the session keeps its setting."""
+    other = spark.newSession()
+    other.conf.set(STATE_PROVIDER, HEAP_PROVIDER)
+    other.conf.set("spark.sql.shuffle.partitions", "2")
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    assert difference(QUERIES[name](other, folder), connect(folder), ORACLE[name]) is None
+    assert other.conf.get(STATE_PROVIDER) == HEAP_PROVIDER

@@ -1,7 +1,8 @@
 """Lookups as of a row's time: of all versions of a key, the last one that is not later than the row.
 
-Two plans give the same rows. ``as_of_ranges`` turns versions into ranges of validity and joins on key equality and range: no shuffle of the rows where the versions are
-few enough to be broadcast, but a row meets every version of its key. ``as_of_chunks`` cuts time into chunks: rows and versions of a key and chunk are put
+Two plans give the same rows. ``as_of_ranges`` numbers a key's versions and keeps them in pages, with pages of the pages' first times above them: a row finds
+its page from level to level by equality of key and page number, so it meets one page of each level and not all versions of its key. Small levels are
+broadcast, and rows of a key with very many versions are spread over its pages. ``as_of_chunks`` cuts time into chunks: rows and versions of a key and chunk are put
 in order together, after one version that is carried in from the chunks before, so a key with a third of all rows, or with very many
 versions, is spread over its chunks, and a version that holds for years is copied to chunks with rows only.
 
@@ -22,6 +23,11 @@ from millrace.sources.tables import broadcast_if_small
 
 DAY_MILLIS = 24 * 3600 * 1000
 
+#: Versions in a page, and pages in a page of the level above.
+PAGE = 64
+#: Up to so many entries a level is broadcast.
+BROADCAST_ENTRIES = 100_000
+
 
 @dataclass(frozen=True)
 class Versions:
@@ -61,15 +67,39 @@ class Versions:
         return rows.select(*columns, *values)
 
 
-def as_of_ranges(rows: DataFrame, versions: Versions, on: Sequence[str], time: str, inner: bool = False) -> DataFrame:
-    """By ranges of validity. ``rows`` may be a stream; ``versions`` is a table."""
+def as_of_ranges(
+    rows: DataFrame, versions: Versions, on: Sequence[str], time: str, inner: bool = False, page: int = PAGE
+) -> DataFrame:
+    """By pages of versions. ``rows`` may be a stream; ``versions`` is a table."""
     keys = versions.key_names()
-    later = F.lead("_asof_time").over(Window.partitionBy(*keys).orderBy("_asof_time", "_asof_order"))
-    ranges = broadcast_if_small(versions.packed().withColumn("_asof_until", later))
-    at = F.unix_micros(rows[time])
-    equal = reduce(lambda a, b: a & b, [rows[c] == ranges[k] for c, k in zip(on, keys, strict=True)])
-    within = (at >= ranges["_asof_time"]) & (ranges["_asof_until"].isNull() | (at < ranges["_asof_until"]))
-    return versions.unpacked(rows.join(ranges, equal & within, "left"), rows.columns, inner)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    single = versions.packed().where(known).groupBy(*keys, "_asof_time").agg(F.max_by("_asof_entry", "_asof_order").alias("_asof_entry"))
+    numbered = single.withColumn("_asof_place", F.row_number().over(Window.partitionBy(*keys).orderBy("_asof_time")) - 1)
+    most, total, n_keys = single.groupBy(*keys).count().agg(F.max("count"), F.sum("count"), F.count(F.lit(1))).first()
+    step = 1  # versions from one entry of a level to the next
+    while step * page < (most or 0):
+        step *= page
+    at = F.unix_micros(time)
+    found = rows.withColumn("_asof_page", F.lit(0).cast("long"))
+    while step:
+        pages = _pages(numbered, keys, step, page)
+        if (total or 0) // step + n_keys <= BROADCAST_ENTRIES:
+            pages = F.broadcast(pages) if step > 1 else broadcast_if_small(pages)
+        same = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in zip(on, keys, strict=True)], F.col("_asof_page") == F.col("_asof_number"))
+        met = F.try_element_at(F.filter("_asof_held", lambda entry: entry["time"] <= at), F.lit(-1))
+        found = found.join(pages, same, "inner" if inner else "left")
+        found = found.select(*rows.columns, met["entry"].alias("_asof_page" if step > 1 else "_asof_entry"))
+        step //= page
+    return versions.unpacked(found, rows.columns, inner)
+
+
+def _pages(numbered: DataFrame, keys: Sequence[str], step: int, page: int) -> DataFrame:
+    """Pages of a level as keys, ``_asof_number`` and ``_asof_held``: every ``step``-th version's time, with the version itself or the number of the page that begins with it."""
+    number = F.floor(F.col("_asof_place") / (step * page)).cast("long")
+    entry = F.col("_asof_entry") if step == 1 else F.floor(F.col("_asof_place") / step).cast("long")
+    held = F.collect_list(F.struct(F.col("_asof_time").alias("time"), entry.alias("entry")))
+    in_order = F.array_sort(held, lambda a, b: F.when(a["time"] < b["time"], -1).when(a["time"] > b["time"], 1).otherwise(0))
+    return numbered.where(F.col("_asof_place") % step == 0).groupBy(*keys, number.alias("_asof_number")).agg(in_order.alias("_asof_held"))
 
 
 def as_of_chunks(

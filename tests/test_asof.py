@@ -60,3 +60,26 @@ def test_a_hot_key_is_dealt_over_its_chunks(spark):
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "_asof_chunk" in text.split("Window")[1] and "Cartesian" not in text
     assert [r.name for r in plan.orderBy("n").collect()] == [f"v{k // 10 * 10}" for k in range(100)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_pages_of_pages(spark, seed):
+    """Several levels, in the order of the search by hand."""
+    rnd = random.Random(seed)
+    versions = [(rnd.choice("aaab"), rnd.randrange(400), k, f"name {k}", rnd.random() < 0.2) for k in range(300)]
+    rows = [(rnd.choice("abc"), rnd.randrange(-9, 450), k) for k in range(300)]
+    asked, table = frames(spark, rows, versions)
+    wanted = sorted([(k, n, name) for k, _, n, name, _ in by_hand(rows, versions)], key=str)
+    for page in (2, 5, 64, 1000):
+        got = as_of_ranges(asked, table, ["code"], "ts", page=page)
+        assert sorted([(r.code, r.n, r.name) for r in got.collect()], key=str) == wanted
+
+
+def test_a_row_does_not_meet_all_versions_of_its_key(spark):
+    """Joins are equalities of key and page, of which there are few per row."""
+    asked, table = frames(spark, [("a", k, k) for k in range(50)], [("a", k, k, f"v{k}", False) for k in range(50)])
+    got = as_of_ranges(asked, table, ["code"], "ts", page=4)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 3 and not any("<" in line or ">" in line for line in joins)
+    assert [r.name for r in got.orderBy("n").collect()] == [f"v{k}" for k in range(50)]

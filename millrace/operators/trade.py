@@ -72,11 +72,12 @@ def cart_add_user_times(facts: DataFrame) -> DataFrame:
 
 
 def order_pre_process(
-    changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: int | None = None
+    changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: int | None = None, extras: bool = True
 ) -> DataFrame:
     """Wide order lines: line, every state of its order, activity, coupon and source name.
 
-    One row per line and order change, as a change log; the order facts below pick theirs from it.
+    One row per line and order change, as a change log; the order facts below pick theirs from it. Without ``extras`` the columns of activities and
+    coupons are null and rows are not repeated for them: for readers of tables that keep one version of a line id and use none of these columns.
     """
     data = F.col("data")
     lines = select_changes(
@@ -123,10 +124,13 @@ def order_pre_process(
     activities = _timed(activities, "act_time", within)
     coupons = _timed(coupons, "cou_time", within)
 
-    # the line-level sides share the line id, so they are joined before the order key takes over
-    wide = _join(lines, activities, [("id", "act_od_id")], "od_time", "act_time", within, "left")
-    wide = _join(wide, coupons, [("id", "cou_od_id")], "od_time", "cou_time", within, "left")
-    wide = _join(wide, orders, [("order_id", "oi_id")], "od_time", "oi_time", within)
+    if not extras:
+        wide = _join(lines, orders, [("order_id", "oi_id")], "od_time", "oi_time", within)
+        wide = wide.withColumns({c: F.lit(None).cast("string") for c in ("activity_id", "activity_rule_id", "coupon_id")})
+    else:  # the line-level sides share the line id, so they are joined before the order key takes over
+        wide = _join(lines, activities, [("id", "act_od_id")], "od_time", "act_time", within, "left")
+        wide = _join(wide, coupons, [("id", "cou_od_id")], "od_time", "cou_time", within, "left")
+        wide = _join(wide, orders, [("order_id", "oi_id")], "od_time", "oi_time", within)
     return (
         wide.withColumn("date_id", times.date_of_text("create_time"))
         .withColumn("operate_date_id", times.date_of_text("operate_time"))
@@ -304,8 +308,13 @@ def latest_measures(orders: DataFrame, *tie: str) -> DataFrame:
 
     The rows are cut down to what the report needs before they are shuffled by id.
     """
-    extra = ("row_op_ts", *[c for c in tie if c not in ("order_id", "user_id", "sku_id")])
-    return latest_by_key(order_measures(orders, *extra), "id", ("row_op_ts", *tie)).drop(*extra)
+    order = ("row_op_ts", *tie)
+    extra = [c for c in order if c not in ("order_id", "user_id", "sku_id")]
+    rows = order_measures(orders, *extra)
+    rest = [c for c in rows.columns if c != "id" and c not in order]
+    # the greatest row and not the one by the greatest order: the order's columns move once
+    last = rows.groupBy("id").agg(F.max(F.struct(*order, *rest)).alias("_row"))
+    return last.select(*[F.col("id") if c == "id" else F.col(f"_row.{c}").alias(c) for c in rows.columns if c not in extra])
 
 
 def flag_order_users(lines: DataFrame) -> DataFrame:

@@ -353,9 +353,9 @@ def cart_add_users(spark, folder):
     return trade.cart_add_users(facts).select("user_id", "ts")
 
 
-def _wide(spark, folder):
+def _wide(spark, folder, extras=True):
     return trade.order_pre_process(
-        feeds.change_log(spark, folder), feeds.dictionary(spark), times.operation_time("create_time")
+        feeds.change_log(spark, folder), feeds.dictionary(spark), times.operation_time("create_time"), extras=extras
     )
 
 
@@ -419,7 +419,7 @@ def refund_pay_fact(spark, folder):
 
 def _measures(spark, folder):
     ties = ("split_total_amount", "sku_id", "source_id", "sku_num")
-    return trade.flag_order_users(trade.latest_measures(trade.order_detail(_wide(spark, folder)), *ties))
+    return trade.flag_order_users(trade.latest_measures(trade.order_detail(_wide(spark, folder, extras=False)), *ties))
 
 
 @query

@@ -3,6 +3,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace import codes, schemas
@@ -215,3 +216,23 @@ def test_delimited_lines(spark, tmp_path):
     text = spark.createDataFrame([("3,king,x,3000",), ("4,short",)], "value string")
     split = tables.split_lines(text, spark.createDataFrame([], schema).schema).orderBy("empno").collect()
     assert [tuple(r) for r in split] == [(3, "king", None, 3000), (4, "short", None, None)]
+
+
+@pytest.mark.parametrize("name", ["order_uu_flag", "sku_order_window"])
+def test_product_reports_do_not_move_activities_and_coupons(spark, folder, name):
+    """One version of a line is kept and none of their columns is read, so lines are not shuffled to meet them."""
+    from millrace.plans.catalog import QUERIES
+
+    plan = QUERIES[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "act_od_id" not in plan and "cou_od_id" not in plan
+
+
+def test_latest_measures_do_not_depend_on_repeats(spark):
+    """Lines repeated for activities, and versions of one line that differ in one place of the order."""
+    columns = "id order_id user_id sku_id split_original_amount split_activity_amount split_coupon_amount split_total_amount ts row_op_ts source_id".split()
+    line = lambda i, sku, op, source: (i, "o", "u", sku, "3", None, "1", "2", "1704067200", op, source)
+    rows = [line("a", "1", "1", None), line("a", "2", "1", "x"), line("a", "2", "1", "x"), line("b", "9", None, None), line("b", "3", "0", None)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    once, twice = (trade.latest_measures(d, "sku_id", "source_id").orderBy("id").collect() for d in (df, df.union(df)))
+    assert once == twice and [(r.id, r.sku_id, r.order_amount) for r in once] == [("a", "2", 2), ("b", "3", 2)]
+    assert list(once[0].asDict()) == "id order_id user_id sku_id original_amount activity_amount coupon_amount order_amount ts".split()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,23 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """Queries run in this block send rows to Python in batches of about ``n_bytes``, and a longer row alone.
+
+    By default a batch has 10,000 rows or 64 MB, which Spark and the worker each hold, whatever the worker then takes from it at once.
+    """
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, str(n_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
 #: Ids are broadcast only up to this many (16 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 

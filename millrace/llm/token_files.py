@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.shards import committed, dealt_by_range, file_system
+from millrace.llm.tables import small_batches
 from millrace.llm.tokens import BYTES_AT_ONCE, default_vocabulary, encoder
-from millrace.llm.words import slices
+from millrace.llm.words import let_go, release_memory, slices
 
 END_ID = 0
 BLOCK_IDS = 1 << 16
@@ -183,7 +184,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
             )
 
     written = rows.mapInArrow(run, "shard long, file string, n_docs long, n_ids long")
-    written.write.parquet(f"{path}/manifest")
+    with small_batches(docs.sparkSession, BYTES_AT_ONCE):
+        written.write.parquet(f"{path}/manifest")
     return read_manifest(docs.sparkSession, path)
 
 
@@ -200,6 +202,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     files = max(1, manifest.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # the files are written, and reading needs no encoder
+        release_memory()
         for batch in batches:
             for row in batch.to_pylist():
                 found = [

@@ -18,13 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import stored
+from millrace.llm.tables import small_batches, stored
 from millrace.llm.words import kept_in_worker, slices
 
 #: Pieces kept by a worker; beyond that it begins anew.
 PIECES_AT_MOST = 1_000_000
 _PIECES_AT_ONCE = 400
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 1 << 20
 _IRREGULAR = re.compile(r" (?:\s|$)")
 
 
@@ -160,7 +160,8 @@ def length_histogram(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     Written out, since answers read it more than once and encoding is dear.
     """
-    return stored(encoded_lengths(docs, path).groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "length-histogram")
+    with small_batches(docs.sparkSession, BYTES_AT_ONCE):
+        return stored(encoded_lengths(docs, path).groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "length-histogram")
 
 
 def with_suffix_sums(histogram: DataFrame) -> DataFrame:

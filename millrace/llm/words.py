@@ -98,8 +98,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES,
     Workers live on from stage to stage. Unless ``keep``, what another operator has kept in this one is let go first.
     """
     if not keep:
-        while kept_in_worker:
-            kept_in_worker.pop()()
+        let_go()
     _, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
     row = 0
     while row < batch.num_rows:
@@ -109,6 +108,12 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES,
     release_memory()
 
 
+def let_go() -> None:
+    """Clears what operators have kept in this worker."""
+    while kept_in_worker:
+        kept_in_worker.pop()()
+
+
 def release_memory() -> None:
     """Gives back what the allocators hold: workers live on, and stages of other needs follow."""
     pa.default_memory_pool().release_unused()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import decontaminate, jaccard, pii, quality, token_files, tokens, toxicity, warc
+from millrace.llm import decontaminate, jaccard, pii, quality, tables, token_files, tokens, toxicity, warc
 from millrace.llm.words import LETTER_OR_DIGIT, NOT_SPACE, find_words, slices
 from tests.llm import brute
 
@@ -169,3 +169,20 @@ def test_toxicity_joined_or_broadcast(spark, documents):
 def test_cues_of_any_case(text):
     found = [(text[a:b], kind) for a, b, kind in pii.Finder().spans(text) if kind in ("account", "url")]
     assert found == [(text.split(" ")[-1], "url" if "://" in text else "account")]
+
+
+def test_token_workers_get_small_batches(spark, tmp_path, monkeypatch):
+    """Whole batches of 64 MB beside what is taken from them at once went over an executor's memory."""
+
+    def watched(batch, *args, **named):
+        if batch.nbytes > 3 * tokens.BYTES_AT_ONCE:
+            raise AssertionError(f"{batch.nbytes} bytes in a batch")
+        return slices(batch, *args, **named)
+
+    monkeypatch.setattr(token_files, "slices", watched)
+    before = spark.conf.get(tables.BATCH_BYTES)
+    docs = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 30000) AS text")
+    token_files.write_token_files(docs, str(tmp_path / "ids"))
+    back = token_files.read_documents(spark, str(tmp_path / "ids")).collect()
+    assert len({r.doc_id for r in back}) == 40 and len({r.ids_crc32 for r in back}) == 1
+    assert spark.conf.get(tables.BATCH_BYTES) == before

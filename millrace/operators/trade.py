@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace import codes, schemas
@@ -71,6 +71,23 @@ def cart_add_user_times(facts: DataFrame) -> DataFrame:
 # --- orders ---------------------------------------------------------------------------------------------------
 
 
+def _with_added(lines: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
+    """Tables of lines with their activities and coupons, dealt out by order id for a join with orders. Lines without order id are left out.
+
+    Only ids move by line id. What is found there goes by order id to where the lines go too, so a line moves once. A join on both
+    ids would move it again, as Spark parts a join by all its keys; a window is content with one of them.
+    """
+    lines = lines.where("order_id IS NOT NULL")
+    ids = lines.select("id", "order_id").repartition("id").distinct()  # each pair once, however many versions a line has
+    found = regular_join(ids, activities, [("id", "act_od_id")], "left")
+    found = regular_join(found, coupons, [("id", "cou_od_id")], "left").where("act_od_id IS NOT NULL OR cou_od_id IS NOT NULL")
+    added = found.select("id", "order_id", F.struct("activity_id", "activity_rule_id", "coupon_id").alias("_added"))
+    rows = lines.unionByName(added, allowMissingColumns=True).repartition("order_id")
+    own = F.collect_list("_added").over(Window.partitionBy("order_id", "id"))
+    rows = rows.withColumn("_own", own).where("_added IS NULL").withColumn("_one", F.explode_outer("_own"))
+    return rows.select(*lines.columns, "_one.*")
+
+
 def order_pre_process(
     changes: DataFrame, dictionary: DataFrame, row_op_ts: Column | None = None, within: int | None = None, extras: bool = True
 ) -> DataFrame:
@@ -127,6 +144,8 @@ def order_pre_process(
     if not extras:
         wide = _join(lines, orders, [("order_id", "oi_id")], "od_time", "oi_time", within)
         wide = wide.withColumns({c: F.lit(None).cast("string") for c in ("activity_id", "activity_rule_id", "coupon_id")})
+    elif within is None:
+        wide = regular_join(_with_added(lines, activities, coupons), orders, [("order_id", "oi_id")])
     else:  # the line-level sides share the line id, so they are joined before the order key takes over
         wide = _join(lines, activities, [("id", "act_od_id")], "od_time", "act_time", within, "left")
         wide = _join(wide, coupons, [("id", "cou_od_id")], "od_time", "cou_time", within, "left")

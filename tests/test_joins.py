@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import joins
+from millrace.operators import joins, trade
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +81,38 @@ def test_unequal_bounds(spark):
     right = spark.createDataFrame([(1, t) for t in times], "rk int, r_ms long").withColumn("r_ts", F.timestamp_millis("r_ms"))
     got = joins.join_within(left, right, [("k", "rk")], "l_ts", "r_ts", 10_000, 2_000)
     assert sorted(r.r_ms for r in got.collect()) == [40_000, 50_000, 52_000]
+
+
+def _changes(spark, table, rows):
+    data = [("shop", table, "insert", str(1700000000 + n), row, None) for n, row in enumerate(rows)]
+    return spark.createDataFrame(data, "database string, table string, type string, ts string, data map<string,string>, old map<string,string>")
+
+
+def test_wide_lines_move_once(spark):
+    """Copies of a line, ids in two orders, several activities of a line, no ids; and lines cross one exchange, not one by line id and one by order id."""
+    line = lambda i, o, n: {"id": i, "order_id": o, "sku_num": n, "sku_name": "x", "source_type": "2401", "order_price": "1"}
+    lines = [line("a", "1", "1"), line("a", "1", "1"), line("a", "2", "2"), line("b", "1", "3"), line(None, "2", "4"), line("c", None, "5"), line("d", "9", "6")]
+    extras = [{"order_detail_id": i, "activity_id": a} for i, a in (("a", "p"), ("a", "q"), ("d", "r"), (None, "s"), ("z", "t"))]
+    coupons = [{"order_detail_id": i, "coupon_id": c} for i, c in (("a", "u"), ("b", "v"), ("b", None))]
+    changes = _changes(spark, "order_detail", lines).union(_changes(spark, "order_info", [{"id": "1"}, {"id": "2"}, {"id": "1"}]))
+    changes = changes.union(_changes(spark, "order_detail_activity", extras)).union(_changes(spark, "order_detail_coupon", coupons))
+    names = spark.createDataFrame([("2401", "n")], "dic_code string, dic_name string")
+    got = trade.order_pre_process(changes, names, F.lit(None))
+    found = [(x["order_detail_id"], a) for x in extras for a in [x["activity_id"]]]
+    expected = sorted(
+        repr((x["id"], x["order_id"], x["sku_num"], a, c))
+        for x in lines
+        for _ in range({"1": 2, "2": 1}.get(x["order_id"], 0))
+        for a in ([v for k, v in found if k is not None and k == x["id"]] or [None])
+        for c in ([y["coupon_id"] for y in coupons if y["order_detail_id"] == x["id"]] or [None])
+    )
+    assert sorted(repr(tuple(r)) for r in got.select("id", "order_id", "sku_num", "activity_id", "coupon_id").collect()) == expected
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = trade.order_pre_process(changes, spark.createDataFrame([], names.schema).hint("broadcast"), F.lit(None))
+        text = plan._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    moves = [part for part in text.split("\n\n") if "Exchange" in part.split("\n")[0] and "Broadcast" not in part.split("\n")[0] and "sku_name" in part]
+    assert len(moves) == 1

@@ -330,10 +330,13 @@ def latest_measures(orders: DataFrame, *tie: str) -> DataFrame:
     order = ("row_op_ts", *tie)
     extra = [c for c in order if c not in ("order_id", "user_id", "sku_id")]
     rows = order_measures(orders, *extra)
-    rest = [c for c in rows.columns if c != "id" and c not in order]
+    # what the order's columns give again does not move beside them
+    again = {"order_amount": F.col("split_total_amount").try_cast(AMOUNT)} if "split_total_amount" in order else {}
+    rest = [c for c in rows.columns if c != "id" and c not in order and c not in again]
     # the greatest row and not the one by the greatest order: the order's columns move once
     last = rows.groupBy("id").agg(F.max(F.struct(*order, *rest)).alias("_row"))
-    return last.select(*[F.col("id") if c == "id" else F.col(f"_row.{c}").alias(c) for c in rows.columns if c not in extra])
+    last = last.select("id", "_row.*").withColumns(again)
+    return last.select(*[c for c in rows.columns if c not in extra])
 
 
 def flag_order_users(lines: DataFrame) -> DataFrame:

@@ -116,3 +116,17 @@ def test_wide_lines_move_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     moves = [part for part in text.split("\n\n") if "Exchange" in part.split("\n")[0] and "Broadcast" not in part.split("\n")[0] and "sku_name" in part]
     assert len(moves) == 1
+
+
+def test_order_amount_moves_as_text_alone(spark):
+    """The amount that is one of the columns that settle equal times is made again behind the exchange, with the same value."""
+    names = ("id", "order_id", "user_id", "sku_id", "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts", "row_op_ts")
+    rows = [("a", "1", "u", "s", "4", None, "1", total, "1700000000", "t") for total in ("3.5", "12", None)] + [("b", "2", "u", "s", "4", None, None, "x", "1700000000", "t")]
+    orders = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    last = trade.latest_measures(orders, "split_total_amount")
+    got = {r.id: r.order_amount for r in last.collect()}
+    assert got["b"] is None and float(got["a"]) == 3.5  # the greatest text
+    whole = [r for r in trade.order_measures(orders, "split_total_amount").collect() if r.id == "a" and r.split_total_amount == "3.5"]
+    assert got["a"] == whole[0].order_amount and last.columns == [c for c in trade.order_measures(orders).columns]
+    picked = [x for x in last._jdf.queryExecution().optimizedPlan().toString().split("\n") if "max(struct(" in x]
+    assert picked and not any("order_amount, order_amount" in x for x in picked)

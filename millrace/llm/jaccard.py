@@ -15,7 +15,7 @@ of all sets never adds a difference, so no link is lost.
 Every candidate pair is verified on whole sets. Before whole sets move, sketches are compared: the parities of the elements by hash bit. Every bit in which two
 sketches differ stands for at least one element in one of the sets only, so pairs with more such bits than linked sets have differences fall without a look at the sets. A set is first verified against one candidate; what is linked then needs no
 further comparison, and the rest goes on in rounds: in each round, members of a signature are compared with some more members that
-are not yet in their component, until no such pair is left. So groups of near copies cost a few comparisons per member.
+are not yet in their component, until no such pair is left. What is left is compared in one round where it is little, or where rounds link little. So groups of near copies cost a few comparisons per member.
 
 A set has one band, or two when it is near the lower edge of its own. Null texts and texts without words have an empty set, no links and their own id
 as component. Texts with fewer words than a shingle have their whole sequence as one. Documents that share an id count as one document that has
@@ -53,6 +53,10 @@ class Join:
     small_segment_cost: float = 32.0
     #: a signature of more sets than this is left out where the remaining ones suffice
     frequent: int = 24
+    #: all that is left is compared in one round if the members that a set meets in its signatures but not in its component are so many a row on average,
+    others_at_once: int = 4
+    #: or, after a round that linked a quarter of its pairs at most, all members that it meets
+    met_at_once: int = 256
 
 
 @dataclass(frozen=True)
@@ -445,17 +449,21 @@ def similarity_links(docs: DataFrame, copies: DataFrame, join: Join) -> DataFram
     pairs = shared.where("rank > 0").join(first, "sig").where(_compatible(join)).groupBy(F.col("doc_id").alias("u")).agg(F.min("v").alias("v"))
     tried = stored(pairs, "jaccard-tried")
     joined = components(_verified(tried, sets, join))
-    low, step = 0, 2
+    rows, low, step, apart = shared.count(), 0, 2, False
     while True:
         placed = shared.where(F.col("members") > low + 1).join(
             joined.select(F.col("u").alias("doc_id"), F.col("v").alias("top")), "doc_id", "left"
         ).select("sig", "doc_id", "rank", "n", "r", F.coalesce("top", "doc_id").alias("top"))
-        sig = Window.partitionBy("sig")
-        open_ = placed.withColumns({"a": F.min("top").over(sig), "z": F.max("top").over(sig)}).where("a < z").drop("a", "z")
-        open_ = stored(open_, "jaccard-open")
-        if open_.isEmpty():
+        sig, here = Window.partitionBy("sig"), F.count(F.lit(1))
+        open_ = placed.withColumns({"a": F.min("top").over(sig), "z": F.max("top").over(sig), "met": here.over(sig)}).where("a < z").drop("a", "z")
+        open_ = stored(open_.withColumn("others", F.col("met") - here.over(Window.partitionBy("sig", "top"))), "jaccard-open")
+        left = open_.agg(F.sum("met").alias("met"), F.sum("others").alias("others")).first()
+        if left["met"] is None:
             return joined
-        centres = open_.where((F.col("rank") >= low) & (F.col("rank") < low + step)).select(
+        # a round spares comparisons only by what it links
+        at_once = left["others"] <= join.others_at_once * rows or (apart and left["met"] <= join.met_at_once * rows)
+        centres = open_ if at_once else open_.where((F.col("rank") >= low) & (F.col("rank") < low + step))
+        centres = centres.select(
             "sig", F.col("doc_id").alias("v"), F.col("rank").alias("v_rank"), F.col("top").alias("v_top"),
             F.col("n").alias("v_n"), F.col("r").alias("v_r"),
         )
@@ -466,8 +474,12 @@ def similarity_links(docs: DataFrame, copies: DataFrame, join: Join) -> DataFram
         pairs = stored(pairs, "jaccard-pairs")
         tried = tried.unionByName(pairs)
         links = stored(_verified(pairs, sets, join), "jaccard-links")
-        if not links.isEmpty():
+        n_links = links.count()
+        if n_links:
             joined = components(links.unionByName(joined))
+        if at_once:
+            return joined
+        apart = 4 * n_links <= pairs.count()
         low, step = low + step, step * 4
 
 

@@ -2,7 +2,7 @@
 
 The tokenizer splits a text before every single space that a word follows, so what lies between two such places is encoded alone with the same result.
 A batch of texts is cut there in bulk, each different piece is encoded once, and the ids of the texts are put together from
-the pieces. Pieces met before are kept, up to a bound. Texts in which that rule doesn't hold, with blanks after blanks or with an added token of
+the pieces. Pieces met before are kept in arrays, up to a bound, and of them those that are met again and again. Texts in which that rule doesn't hold, with blanks after blanks or with an added token of
 the vocabulary, are encoded whole.
 """
 
@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tables import small_batches, stored
-from millrace.llm.words import kept_in_worker, slices
+from millrace.llm.words import kept_in_worker, slices, text_bytes, text_hashes
 
-#: Pieces kept by a worker; beyond that it begins anew.
+#: Pieces kept by a worker, and their ids; beyond that it lets those go that it has met least.
 PIECES_AT_MOST = 1_000_000
+IDS_AT_MOST = 8_000_000
 _PIECES_AT_ONCE = 400
 BYTES_AT_ONCE = 1 << 20
 _IRREGULAR = re.compile(r" (?:\s|$)")
@@ -34,6 +35,36 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _begins(sizes: np.ndarray) -> np.ndarray:
+    return (np.cumsum(sizes) - sizes).astype(np.int32)
+
+
+def _places(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of each range, one range after the other."""
+    places = np.repeat(begins - _begins(sizes), sizes)
+    places += np.arange(len(places), dtype=np.int32)
+    return places
+
+
+class _Store:
+    """Numbers put one after the other in an array that grows."""
+
+    def __init__(self, kind: type) -> None:
+        self.held, self.filled = np.zeros(1 << 16, kind), 0
+
+    def put(self, values: np.ndarray) -> int:
+        """Where the values lie now."""
+        if self.filled + len(values) > len(self.held):
+            more = max(len(values), len(self.held) // 2)
+            self.held = np.concatenate([self.held[: self.filled], np.zeros(more, self.held.dtype)])
+        self.held[self.filled : self.filled + len(values)] = values
+        self.filled += len(values)
+        return self.filled - len(values)
+
+    def of(self, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return self.held[_places(begins, sizes)]
+
+
 class Encoder:
     """Ids of many texts at once. One per task process."""
 
@@ -51,41 +82,83 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.starts = np.zeros(PIECES_AT_MOST * 2, np.int64)
-        self.ends = np.zeros(PIECES_AT_MOST * 2, np.int64)
-        self.filled = 0
+        #: hashes of the pieces, ascending, and the number of the piece of each
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        #: by number: where the bytes and the ids of a piece lie, how many there are, and in how many batches it was met
+        self.bytes_at, self.n_bytes, self.ids_at, self.n_ids, self.met = (np.zeros(0, np.int32) for _ in range(5))
+        self.bytes, self.ids = _Store(np.uint8), _Store(np.uint32)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: pa.Array) -> None:
         """Encodes pieces not met before, many in one call: each begins with a space, and no other token does."""
-        for k in range(0, len(pieces), _PIECES_AT_ONCE):
-            some = pieces[k : k + _PIECES_AT_ONCE]
-            ids = self._whole(["".join(f" {p}" for p in some)])[0]
+        ids_at, n_ids = [self.ids_at], [self.n_ids]
+        texts = pieces.to_numpy(zero_copy_only=False).tolist()
+        for k in range(0, len(texts), _PIECES_AT_ONCE):
+            some = texts[k : k + _PIECES_AT_ONCE]
+            ids = self._whole([" " + " ".join(some)])[0]
             begins = np.flatnonzero(self.opens[ids])
             if len(begins) != len(some):
                 raise AssertionError("the vocabulary joins or splits pieces at spaces")
-            while self.filled + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-            self.ids[self.filled : self.filled + len(ids)] = ids
-            first = len(self.known)
-            self.starts[first : first + len(some)] = self.filled + begins
-            self.ends[first : first + len(some)] = self.filled + np.concatenate([begins[1:], [len(ids)]])
-            self.known.update(zip(some, range(first, first + len(some)), strict=True))
-            self.filled += len(ids)
-
-    def _pieces(self, dictionary: list[str]) -> np.ndarray:
-        new = [p for p in dictionary if p not in self.known]
-        if len(self.known) + len(new) > PIECES_AT_MOST:
-            self._clear()
-            new = dictionary
-        if len(new) > len(self.starts):
-            self.starts, self.ends = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, dictionary), np.int64, len(dictionary))
+            ids_at.append((self.ids.put(ids) + begins).astype(np.int32))
+            n_ids.append(np.diff(begins, append=len(ids)).astype(np.int32))
+        data, offsets = text_bytes(pieces)
+        self.bytes_at = np.concatenate([self.bytes_at, (self.bytes.put(data) + offsets[:-1]).astype(np.int32)])
+        self.n_bytes = np.concatenate([self.n_bytes, np.diff(offsets).astype(np.int32)])
+        self.ids_at, self.n_ids = np.concatenate(ids_at), np.concatenate(n_ids)
+        self.met = np.concatenate([self.met, np.zeros(len(texts), np.int32)])
+
+    def _forget(self) -> None:
+        """Keeps the pieces that were met in most batches, half of the bound at most; those met before count half next time."""
+        stay = np.zeros(len(self.met), bool)
+        stay[self.numbers] = True
+        least = 1
+        while np.count_nonzero(self.met[stay] > least) > PIECES_AT_MOST // 2:
+            least += 1
+        stay &= self.met > least
+        if self.n_ids[stay].sum() > IDS_AT_MOST // 2:
+            stay[:] = False
+        kept = stay[self.numbers]
+        keys, numbers = self.keys[kept], (np.cumsum(stay) - 1).astype(np.int32)[self.numbers[kept]]
+        data, ids = self.bytes.of(self.bytes_at[stay], self.n_bytes[stay]), self.ids.of(self.ids_at[stay], self.n_ids[stay])
+        n_bytes, n_ids, met = self.n_bytes[stay], self.n_ids[stay], self.met[stay] // 2
+        self._clear()
+        self.keys, self.numbers, self.n_bytes, self.n_ids, self.met = keys, numbers, n_bytes, n_ids, met
+        self.bytes.put(data)
+        self.ids.put(ids)
+        self.bytes_at, self.ids_at = _begins(n_bytes), _begins(n_ids)
+
+    def _pieces(self, pieces: pa.Array) -> np.ndarray:
+        """Numbers of different pieces. Found by hash and compared byte by byte; of pieces with one hash the first is kept."""
+        if len(self.met) > PIECES_AT_MOST or self.ids.filled > IDS_AT_MOST:
+            self._forget()
+        data, offsets = text_bytes(pieces)
+        keys, n_bytes = text_hashes(data, offsets), np.diff(offsets).astype(np.int32)
+        order = np.argsort(keys)
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.searchsorted(self.keys, keys[order])
+        numbers = np.full(len(keys), -1, np.int32)
+        here = np.flatnonzero(at < len(self.keys))
+        here = here[self.keys[at[here]] == keys[here]]
+        numbers[here] = self.numbers[at[here]]
+        here = here[self.n_bytes[numbers[here]] == n_bytes[here]]
+        own = data[_places(offsets[here].astype(np.int32), n_bytes[here])]
+        equal = own == self.bytes.of(self.bytes_at[numbers[here]], n_bytes[here])
+        known = np.zeros(len(keys), bool)
+        known[here] = np.logical_and.reduceat(equal, _begins(n_bytes[here])) if len(here) else False
+        fresh = np.flatnonzero(~known)
+        if len(fresh):
+            first = len(self.met)
+            self._learn(pieces.take(pa.array(fresh)))
+            named = numbers[fresh] < 0  # others share the hash of a known piece
+            numbers[fresh] = first + np.arange(len(fresh))
+            new, which = np.unique(keys[fresh[named]], return_index=True)
+            place = at[fresh[named]][which]
+            self.keys = np.insert(self.keys, place, new)
+            self.numbers = np.insert(self.numbers, place, numbers[fresh[named]][which])
+        self.met[numbers] += 1
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and where each text begins in it. Null is an empty text."""
@@ -94,24 +167,18 @@ class Encoder:
         plain = ~odd & (pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0)
         parts = pc.split_pattern(texts.filter(pa.array(plain)), " ")
         words, cuts = parts.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        # the first piece of a text has no space before it and is encoded as it stands
-        heads = words.take(pa.array(cuts[:-1]))
-        head_ids = dict(zip(distinct := pc.unique(heads).to_pylist(), self._whole(distinct), strict=True))
         coded = words.dictionary_encode()
-        piece = self._pieces(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
-        starts, lengths = self.starts[piece], self.ends[piece] - self.starts[piece]
-        is_head = np.zeros(len(piece), bool)
-        is_head[cuts[:-1]] = True
-        head_of = [head_ids[h] for h in heads.to_pylist()]
-        lengths[is_head] = [len(h) for h in head_of]
-        at = np.concatenate([[0], np.cumsum(lengths)])
-        out = np.zeros(int(at[-1]), np.uint32)
-        rest = np.flatnonzero(~is_head)
-        spread = np.repeat(starts[rest] - at[rest], lengths[rest])
-        where = np.flatnonzero(~np.repeat(is_head, lengths))
-        out[where] = self.ids[where + spread]
-        for k, ids in zip(cuts[:-1], head_of, strict=True):
-            out[at[k] : at[k] + len(ids)] = ids
+        piece = self._pieces(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int32)
+        begins, lengths = self.ids_at[piece], self.n_ids[piece]
+        # the first piece of a text has no space before it and is encoded as it stands
+        heads = words.take(pa.array(cuts[:-1])).dictionary_encode()
+        head_ids = self._whole(heads.dictionary.to_pylist())
+        head_of, filled = heads.indices.to_numpy(zero_copy_only=False), self.ids.filled
+        begins[cuts[:-1]] = np.array([self.ids.put(ids) for ids in head_ids], np.int32)[head_of]
+        lengths[cuts[:-1]] = np.array([len(ids) for ids in head_ids], np.int32)[head_of]
+        out = self.ids.of(begins, lengths)
+        self.ids.filled = filled
+        at = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         sizes = np.zeros(len(texts), np.int64)
         sizes[plain] = np.diff(at[cuts])
         if not odd.any():

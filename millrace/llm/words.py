@@ -138,6 +138,11 @@ def _word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, values: n
     return hashes
 
 
+def text_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hashes of whole texts, none of them empty."""
+    return _word_hashes(data, offsets[:-1], offsets[1:], _BYTE_VALUES)
+
+
 def find_words(column: pa.Array, word_bytes: np.ndarray, lower: bool = False) -> Words:
     """All words of the texts; ``lower`` takes A-Z as a-z in the hashes."""
     data, offsets = text_bytes(column)

@@ -186,3 +186,19 @@ def test_token_workers_get_small_batches(spark, tmp_path, monkeypatch):
     back = token_files.read_documents(spark, str(tmp_path / "ids")).collect()
     assert len({r.doc_id for r in back}) == 40 and len({r.ids_crc32 for r in back}) == 1
     assert spark.conf.get(tables.BATCH_BYTES) == before
+
+
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_pieces_met_again_and_again_are_encoded_once(monkeypatch, one_hash):
+    monkeypatch.setattr(tokens, "PIECES_AT_MOST", 60)
+    if one_hash:  # pieces are told apart by their bytes
+        monkeypatch.setattr(tokens, "text_hashes", lambda data, offsets: np.ones(len(offsets) - 1, np.uint64))
+    own, asked = tokens.Encoder(tokens.default_vocabulary()), []
+    whole = own._whole
+    monkeypatch.setattr(own, "_whole", lambda texts: asked.extend(texts) or whole(texts))
+    plain = lambda text: own.tokenizer.encode(text, add_special_tokens=False).ids
+    for k in range(12):
+        texts = ["start " + " ".join(f"often sélten {k}x{j}" for j in range(10 * i, 10 * i + 10)) for i in range(3)] + [None, "", "a  b"]
+        ids, first = own.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [plain(t or "") for t in texts]
+    assert one_hash or sum(" often" in t for t in asked) == sum(" sélten" in t for t in asked) == 1

@@ -9,6 +9,8 @@ a key must remember.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,6 +120,7 @@ def stream_join_interval(spark, folder):
 # --- keyed state ------------------------------------------------------------------------------------------------
 
 SLICES = 3
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def _fed_in_time_order(spark, rows: DataFrame, end: DataFrame, build, slices: int = SLICES) -> DataFrame:
@@ -129,14 +132,26 @@ def _fed_in_time_order(spark, rows: DataFrame, end: DataFrame, build, slices: in
     at = F.unix_millis("ts")
     cuts = rows.agg(F.percentile_approx(at, [k / slices for k in range(1, slices)])).first()[0] or []
     bounds = [None, *cuts, None]
-    for low, high in zip(bounds, bounds[1:], strict=False):
-        part = rows if low is None else rows.where(at >= low)
-        part = part if high is None else part.where(at < high)
-        _one_step(spark, part, source, out, state, build)
+    with _without_empty_batches(spark):
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            part = rows if low is None else rows.where(at >= low)
+            part = part if high is None else part.where(at < high)
+            _one_step(spark, part, source, out, state, build)
     result = _one_step(spark, end, source, out, state, build)
     return spark.read.schema(result.schema).parquet(out)
 
 
+@contextmanager
+def _without_empty_batches(spark):
+    """Streams that are started in this block don't run a micro-batch without rows for what the watermark has passed: the next one with rows does its work too."""
+    before = spark.conf.get(EMPTY_BATCHES)
+    spark.conf.set(EMPTY_BATCHES, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(EMPTY_BATCHES, before)
+
+
 def _one_step(spark, part: DataFrame, source: str, out: str, state: str, build) -> DataFrame:
     part.write.mode("append").parquet(source)
     result = build(spark.readStream.schema(part.schema).parquet(source))

@@ -8,18 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from millrace.streaming.pages import GROUP, KEY, Pages
 
+_DAY_MILLIS = 24 * 3600 * 1000
 
 #: Event time in milliseconds since 1970 UTC, next to ``ts``. Columns whose names begin with an underscore lose them on the way to Python.
 MILLIS = "event_millis"
 
 
 def _days(ts: pd.Series) -> pd.Series:
-    return ts.dt.strftime("%Y-%m-%d")
+    """Dates as text, each different one written once."""
+    codes, days = pd.factorize(ts.dt.normalize())
+    return pd.Series(np.append(days.strftime("%Y-%m-%d").to_numpy(dtype=object), None)[codes], index=ts.index, dtype=object)
 
 
 def _plain(frame: pd.DataFrame, columns: list[str]) -> list[tuple]:
@@ -29,12 +34,12 @@ def _plain(frame: pd.DataFrame, columns: list[str]) -> list[tuple]:
 
 
 class FirstOfDay(StatefulProcessor):
-    """Marks rows whose date differs from the last marked row's date.
+    """Marks rows whose date differs from the last marked row's date of their key, for a group of keys (``pages.with_groups``).
 
     Adds ``previous_day`` (text, null at first) and ``is_first`` (0/1). Unless ``keep_all``, only marked rows go on.
 
     State of idle keys goes away in one of two ways. ``ttl_millis``: so long after it was written, in processing time.
-    ``expire``: by an event-time timer two days after the row that set it, so at least a day after its date has ended in any zone; a row
+    ``expire``: by an event-time timer at the first midnight (UTC) two days after the row that set it, so at least a day after its date has ended in any zone; a row
     that is not late has another date by then anyway, so only ``previous_day`` depends on it.
 
     Times of timers come from the column ``MILLIS``, made by Spark: ``ts`` reaches Python as a local time without its zone.
@@ -49,39 +54,56 @@ class FirstOfDay(StatefulProcessor):
         self.ttl_millis = ttl_millis
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last_day = handle.getValueState("last_day", "day string, timer long", self.ttl_millis)
+        # by key: the day, and when it goes away (with a time to live: when it was written)
+        self.last_days = Pages(handle, "last_days", self.ttl_millis)
 
-    def _remember(self, day: str, at: int, old_timer: int | None) -> None:
-        timer = None
-        if self.expire:
-            if old_timer is not None:
-                self.handle.deleteTimer(old_timer)
-            timer = at + 2 * 24 * 3600 * 1000
-            self.handle.registerTimer(timer)
-        self.last_day.update((day, timer))
+    def _goes(self, at: int, now: int) -> int | None:
+        if self.ttl_millis is not None:
+            return now
+        return -(-(at + 2 * _DAY_MILLIS) // _DAY_MILLIS) * _DAY_MILLIS if self.expire else None
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        chunks = []
+        by, chunks = [KEY, *self.order], []
         for chunk in rows:
-            chunk = chunk.sort_values(self.order).assign(_day=lambda f: _days(f["ts"]))
+            chunk = chunk.sort_values(by).assign(_day=lambda f: _days(f["ts"]))
             if not self.keep_all:  # within a chunk only the first row of a run of equal dates can be marked
-                chunk = chunk[chunk["_day"] != chunk["_day"].shift()]
+                chunk = chunk[(chunk[KEY] != chunk[KEY].shift()) | (chunk["_day"] != chunk["_day"].shift())]
             chunks.append(chunk)
-        frame = pd.concat(chunks).sort_values(self.order)
-        last, timer = self.last_day.get() if self.last_day.exists() else (None, None)
+        frame = pd.concat(chunks).sort_values(by, ignore_index=True) if len(chunks) > 1 else chunks[0].reset_index(drop=True)
+        starts = np.flatnonzero(frame[KEY] != frame[KEY].shift())
+        keys = frame[KEY].iloc[starts].tolist()
+        now = timerValues.getCurrentProcessingTimeInMs() if self.ttl_millis is not None else 0
+
+        def gone(value) -> bool:
+            return self.ttl_millis is not None and value[1] + self.ttl_millis <= now
+
+        self.last_days.open()
+        held = [self.last_days.get(k) for k in keys]
         before = frame["_day"].shift().astype(object)
-        before.iloc[0] = last
+        before.iloc[starts] = pd.Series([v[0] if v is not None and not gone(v) else None for v in held], dtype=object)
         first = frame["_day"] != before
         # the date before a marked row is the date of the row before it, as unmarked rows share their mark's date
         frame = frame.assign(previous_day=before.where(before.notna(), None), is_first=first.astype("int64"))
-        if first.any():
-            self._remember(frame["_day"].iloc[-1], int(frame[MILLIS].iloc[-1]), timer)
-        frame = frame.drop(columns="_day")
+        ends = np.append(starts[1:], len(frame)) - 1
+        changed = np.logical_or.reduceat(first.to_numpy(dtype=bool), starts)
+        days, times = frame["_day"].iloc[ends].tolist(), frame[MILLIS].iloc[ends].tolist()
+        first_goes = None
+        for k in np.flatnonzero(changed).tolist():
+            goes = self._goes(int(times[k]), now)
+            self.last_days.put(keys[k], [days[k], goes])
+            if self.expire and (first_goes is None or goes < first_goes):
+                first_goes = goes
+        self.last_days.prune(gone)
+        if first_goes is not None:
+            self.last_days.wake(first_goes)
+        self.last_days.save()
+        frame = frame.drop(columns=["_day", KEY, GROUP])
         yield frame if self.keep_all else frame[first.to_numpy()]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last_day.clear()
+        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        self.last_days.open()
+        self.last_days.sweep(lambda value: value[1] <= passed, lambda value: value[1])
         return iter(())
 
     def close(self) -> None:
@@ -91,8 +113,8 @@ class FirstOfDay(StatefulProcessor):
 class FirstInWindow(StatefulProcessor):
     """Marks the first row of each member of a key's window (0/1 in ``is_first``); rows without member are not marked.
 
-    The state is a map with an entry for every member: a row looks up its own, and no set of all members is read or written. Grouping keys hold the window; an event-time timer at
-    its end, in the column ``ends`` (milliseconds), clears the map.
+    The state is an entry for every member, in pages: a row looks up its own, and no set of all members is read or written. Grouping keys hold the window; an event-time timer at
+    its end, in the column ``ends`` (milliseconds), clears it.
     """
 
     def __init__(self, member: str, ends: str):
@@ -100,25 +122,21 @@ class FirstInWindow(StatefulProcessor):
         self.ends = ends
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.members = handle.getMapState("members", "member string", "seen boolean")
-        self.timer = handle.getValueState("timer", "at long")
+        self.members = Pages(handle, "members")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        self.members.open()
         for chunk in rows:
-            if not self.timer.exists():
-                at = int(chunk[self.ends].iloc[0])
-                self.timer.update((at,))
-                self.handle.registerTimer(at)
+            self.members.wake(int(chunk[self.ends].iloc[0]))
             member = chunk[self.member]
-            fresh = [m for m in member.dropna().unique().tolist() if not self.members.containsKey((m,))]
+            fresh = [m for m in member.dropna().unique().tolist() if self.members.get(m) is None]
             for m in fresh:
-                self.members.updateValue((m,), (True,))
+                self.members.put(m, 1)
             yield chunk.assign(is_first=(member.isin(fresh) & ~member.duplicated()).astype("int64"))
+        self.members.save()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.members.clear()
-        self.timer.clear()
         return iter(())
 
     def close(self) -> None:

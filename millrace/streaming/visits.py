@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from millrace.operators import trade, visits
+from millrace.streaming.pages import GROUP, with_groups
 from millrace.streaming.processors import MILLIS, Bounces, FirstInWindow, FirstOfDay, LatestAfterDelay, NewFlagRepair
 
 # Watermark delay of the reports, wait of the version filter, life of a day's state.
@@ -37,7 +38,7 @@ def _added(rows: DataFrame) -> StructType:
 def _marked(rows: DataFrame, keys: list[str], order, keep_all=False, expire=True) -> DataFrame:
     """First rows per date, in event time: late rows are dropped, and a window report may follow."""
     rows = _timed(rows)
-    return rows.groupBy(*keys).transformWithStateInPandas(
+    return with_groups(rows, keys).groupBy(GROUP).transformWithStateInPandas(
         FirstOfDay(order, keep_all, expire),
         outputStructType=_added(rows),
         outputMode="append",
@@ -70,7 +71,7 @@ def unique_visitors(log: DataFrame, ttl_millis: int | None = None) -> DataFrame:
     it runs on processing time and so never counts as worked off.
     """
     rows = _timed(log.where(visits.is_entry()))
-    marked = rows.groupBy("mid").transformWithStateInPandas(
+    marked = with_groups(rows, ["mid"]).groupBy(GROUP).transformWithStateInPandas(
         FirstOfDay(visits.ORDER, ttl_millis=ttl_millis),
         outputStructType=_added(rows),
         outputMode="append",

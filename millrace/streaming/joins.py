@@ -3,14 +3,17 @@
 A left row whose key has no right row yet gives a version with nulls. The first right row of the key takes these versions back and gives the matched ones.
 So a reader always has a row for every left row, and the rows in force are those of the table form, in whatever order both sides arrive.
 
-The state of a key are three lists: left rows that still wait, left rows that have been matched, and right rows. They are only appended to or moved whole, one
-call per list and chunk. Rows live in them as JSON text, so every type of both sides comes back as it went in. With a time to live, rows older than that are forgotten,
+The state of a key are its left rows, each of which still waits or has been matched, and its right rows. Keys are dealt over groups and kept in pages (``pages``), as a call per key is far
+dearer than a row. Of a key with many rows only the last ones lie in its page, the others in parts that are written once and again when their rows stop waiting. Rows
+live there as JSON text, so every type of both sides comes back as it went in. With a time to live, rows older than that are forgotten,
 counted from when they were written: a right row that comes later finds no left row any more, and a left row no partner.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,74 +22,123 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from millrace.operators.changelog import latest_by_key
+from millrace.streaming.pages import GROUP, KEY, Pages, with_groups
 
 #: What a row of the result does to the table of results.
 INSERT, RETRACT = "+", "-"
-#: Columns of the result besides those of both sides: what the row does, and its place among the changes of its key in a micro-batch.
+#: Columns of the result besides those of both sides: what the row does, and its place among the changes of its group of keys in a micro-batch.
 CHANGE, PLACE = "change", "change_place"
 
 _LEFT, _RIGHT = 0, 1
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _OUT = "join_left string, join_right string, change string, change_place long"
 _ROWS_AT_ONCE = 10_000
+#: Rows of a group that are held in memory until the right ones among them have been worked off, of a key that lie together, and keys that do.
+_ROWS_HELD_BACK, _ROWS_OF_A_PART, _KEYS_OF_A_PAGE = 200_000, 64, 32
+#: Rows of keys are larger than days of keys, and a group holds all of a micro-batch.
+GROUPS = 2048
 
 
 class LeftJoinVersions(StatefulProcessor):
-    """Rows ``join_side, join_row`` of one key in, versions of joined rows out."""
+    """Rows ``join_side, join_row`` of a group of keys in, versions of joined rows out."""
 
     def __init__(self, ttl_millis: int | None = None):
         self.ttl_millis = ttl_millis
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting, self.matched, self.partners = (
-            handle.getListState(name, "join_row string", self.ttl_millis) for name in ("waiting", "matched", "partners")
-        )
-
-    @staticmethod
-    def _held(state) -> list[str]:
-        return [row[0] for row in state.get()] if state.exists() else []
-
-    @staticmethod
-    def _append(state, rows: list[str]) -> None:
-        if rows:
-            state.appendList([(row,) for row in rows])
-
-    def _changes(self, lefts: list[str], rights: list[str]) -> Iterator[tuple[str, str | None, str]]:
-        """(left row, right row, what it does) for new rows of both sides: the right ones first, so a left row that comes with its partner never waits."""
-        if rights:
-            waiting = self._held(self.waiting)
-            for row in waiting:
-                yield row, None, RETRACT
-            for row in [*waiting, *self._held(self.matched)]:
-                for partner in rights:
-                    yield row, partner, INSERT
-            self._append(self.matched, waiting)
-            self.waiting.clear()
-            self._append(self.partners, rights)
-        if lefts:
-            partners = self._held(self.partners)
-            for row in lefts:
-                for partner in partners or [None]:
-                    yield row, partner, INSERT
-            self._append(self.matched if partners else self.waiting, lefts)
+        # by key: its last rows of both sides, the first and the next number of each side's full parts, and when it was written; a row is a text, whether it waits, and when it was written
+        self.keys = Pages(handle, "keys", self.ttl_millis, most=_KEYS_OF_A_PAGE)
+        self.parts = handle.getMapState("parts", "join_key string, side long, part long", "held string", self.ttl_millis)
+
+    def _alive(self, rows: list) -> list:
+        return rows if self.ttl_millis is None else [row for row in rows if row[2] + self.ttl_millis > self.now]
+
+    def _of_key(self, key: str) -> list:
+        return self.keys.get(key) or [[], [], [0, 0], [0, 0], 0]
+
+    def _full_parts(self, key: str, held: list, side: int) -> Iterator[tuple[int, list]]:
+        numbers = held[2 + side]
+        for part in range(*numbers):
+            row = self.parts.getValue((key, side, part))
+            if row is not None:
+                yield part, self._alive(json.loads(row[0]))
+            elif part == numbers[0]:  # forgotten
+                numbers[0] += 1
+
+    def _write_part(self, key: str, side: int, part: int, rows: list) -> None:
+        self.parts.updateValue((key, side, part), (json.dumps(rows, separators=(",", ":")),))
+
+    def _keep(self, key: str, held: list, side: int, rows: list[str], waits: int = 0) -> None:
+        last = held[side] + [[row, waits, self.now] for row in rows]
+        full = len(last) - len(last) % _ROWS_OF_A_PART
+        for begin in range(0, full, _ROWS_OF_A_PART):
+            self._write_part(key, side, held[2 + side][1], last[begin : begin + _ROWS_OF_A_PART])
+            held[2 + side][1] += 1
+        held[side] = last[full:]
+        held[4] = self.now
+        self.keys.put(key, held)
+
+    def _met(self, rows: list, rights: list[str]) -> Iterator[tuple[str, str | None, str]]:
+        """What new right rows do to left rows, none of which waits after it."""
+        for row in rows:
+            if row[1]:
+                yield row[0], None, RETRACT
+                row[1], row[2] = 0, self.now
+            for partner in rights:
+                yield row[0], partner, INSERT
+
+    def _right_changes(self, key: str, rights: list[str]) -> Iterator[tuple[str, str | None, str]]:
+        """(left row, right row, what it does) for new right rows of a key."""
+        held = self._of_key(key)
+        for part, rows in self._full_parts(key, held, _LEFT):
+            waits = any(row[1] for row in rows)
+            yield from self._met(rows, rights)
+            if waits:
+                self._write_part(key, _LEFT, part, rows)
+        held[_LEFT] = self._alive(held[_LEFT])
+        yield from self._met(held[_LEFT], rights)
+        self._keep(key, held, _RIGHT, rights)
+
+    def _left_changes(self, key: str, lefts: list[str]) -> Iterator[tuple[str, str | None, str]]:
+        held = self._of_key(key)
+        held[_RIGHT] = self._alive(held[_RIGHT])
+        partners = [row[0] for _, rows in self._full_parts(key, held, _RIGHT) for row in rows] + [row[0] for row in held[_RIGHT]]
+        for row in lefts:
+            for partner in partners or [None]:
+                yield row, partner, INSERT
+        self._keep(key, held, _LEFT, lefts, 0 if partners else 1)
+
+    def _changes(self, chunks: Iterator[pd.DataFrame]) -> Iterator[tuple[str, str | None, str]]:
+        """The right rows first, as long as the left ones can be held back, so a left row that comes with its partner never waits."""
+        lefts: dict[str, list[str]] = {}
+        kept = 0
+        for chunk in chunks:
+            rights: dict[str, list[str]] = {}
+            for key, side, row in zip(chunk[KEY].tolist(), chunk["join_side"].tolist(), chunk["join_row"].tolist(), strict=True):
+                (rights if side == _RIGHT else lefts).setdefault(key, []).append(row)
+            for key, rows in rights.items():
+                yield from self._right_changes(key, rows)
+            kept += len(chunk)
+            if kept >= _ROWS_HELD_BACK:
+                for key, rows in lefts.items():
+                    yield from self._left_changes(key, rows)
+                lefts, kept = {}, 0
+        for key, rows in lefts.items():
+            yield from self._left_changes(key, rows)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        place = 0
-        for chunk in rows:
-            side = chunk["join_side"].to_numpy()
-            found: list[tuple] = []
-            for change in self._changes(chunk["join_row"][side == _LEFT].tolist(), chunk["join_row"][side == _RIGHT].tolist()):
-                found.append((*change, place))
-                place += 1
-                if len(found) >= _ROWS_AT_ONCE:
-                    yield self._frame(found)
-                    found = []
-            if found:
-                yield self._frame(found)
-
-    @staticmethod
-    def _frame(found: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(found, columns=["join_left", "join_right", CHANGE, PLACE]).astype({"join_left": object, "join_right": object})
+        self.now = timerValues.getCurrentProcessingTimeInMs() if self.ttl_millis is not None else 0
+        self.keys.open()
+        changes, place = self._changes(rows), 0
+        while found := list(islice(changes, _ROWS_AT_ONCE)):
+            lefts, rights, does = zip(*found, strict=True)
+            yield pd.DataFrame({
+                "join_left": pd.Series(lefts, dtype=object), "join_right": pd.Series(rights, dtype=object), CHANGE: does, PLACE: range(place, place + len(found)),
+            })
+            place += len(found)
+        if self.ttl_millis is not None:
+            self.keys.prune(lambda held: held[4] + self.ttl_millis <= self.now)
+        self.keys.save()
 
     def close(self) -> None:
         pass
@@ -114,7 +166,8 @@ def left_join_versions(
     whole = F.lit(True)
     for k in keys:
         whole = whole & F.col(k).isNotNull()
-    versions = both.where(whole).groupBy(*keys, "join_salt").transformWithStateInPandas(
+    grouped = with_groups(both.where(whole), [*keys, "join_salt"], GROUPS).select(GROUP, KEY, "join_side", "join_row").groupBy(GROUP)
+    versions = grouped.transformWithStateInPandas(
         LeftJoinVersions(ttl_millis), outputStructType=_OUT, outputMode="append", timeMode="none" if ttl_millis is None else "processingTime"
     )
     lonely = both.where(~whole & (F.col("join_side") == _LEFT)).select(
